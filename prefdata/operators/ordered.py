@@ -14,7 +14,7 @@ _STEPS = 8
 
 def first_rows(
     df: DataFrame,
-    limit: int | dict[str, int],
+    limit: int | dict,
     order: list[str],
     by: str | None = None,
     smallest: int | None = None,
@@ -23,53 +23,82 @@ def first_rows(
 
     ``order`` starts with an integer column and as a whole tells any two rows apart;
     ``limit`` is one number, or a dict of numbers by value of ``by`` (other values are
-    left out).
+    left out). ``smallest`` is a lower bound of the first column, where one is known.
 
     A sort with a limit sends ``limit`` rows of every input partition to one task. Here
-    a narrow pass counts rows per bucket of the key, which shows how far the wanted rows
-    reach; only those are read in full, and they are ranked bucket by bucket, so neither
-    the input nor the result passes through one task. How well the buckets fit the key
-    decides the speed, never the result.
+    a narrow job counts rows per bucket of the key, which shows how far the wanted rows
+    reach. That bound is a literal, so a reader can skip what lies beyond it; the rows
+    within are ranked bucket by bucket, and neither the input nor the result passes
+    through one task. How well the buckets fit the key decides the speed, never the
+    result.
     """
     key = order[0]
-    if isinstance(limit, dict):
-        df = df.filter(F.col(by).isin(list(limit)))
-        quota = F.lit(0)
-        for value, n in limit.items():
-            quota = F.when(F.col(by) == value, F.lit(n)).otherwise(quota)
-    else:
-        quota = F.lit(limit)
-    groups = [by] if by else []
-
-    if smallest is not None:
-        keyed = df.withColumn("_low", F.lit(smallest))
-    elif by:
-        # One row per value of the dict.
-        lows = df.groupBy(by).agg(F.min(key).alias("_low"))
-        keyed = df.join(F.broadcast(lows), by)
-    else:
-        keyed = df.withColumn("_low", df.agg(F.min(key)).scalar())
-    distance = F.col(key).cast("double") - F.col("_low").cast("double")
-    keyed = keyed.withColumn("_bucket", F.floor(F.log2(distance + 1) * _STEPS))
-
-    # At most 512 rows per group.
-    counts = keyed.groupBy(*groups, "_bucket").agg(
-        F.count(F.lit(1)).alias("_n"), F.max(key).alias("_high")
+    group = F.col(by) if by else F.lit(0)
+    quotas = limit if by else {0: limit}
+    if by:
+        df = df.filter(group.isin(list(quotas)))
+
+    lows = dict.fromkeys(quotas, smallest)
+    if smallest is None:
+        # One row per quota.
+        found = df.groupBy(group.alias("_g")).agg(F.min(key).alias("_low")).collect()
+        lows.update({row["_g"]: row["_low"] for row in found})
+    bucket = _by_value(
+        group, {g: _bucket(F.col(key), low) for g, low in lows.items() if low is not None}
     )
-    upto = Window.partitionBy(*groups).orderBy("_bucket")
-    wanted = (
-        counts.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
-        .filter(F.col("_before") < quota)
-        .select(*groups, "_bucket", "_before", "_high")
+
+    # At most 512 rows per quota.
+    counts = (
+        df.groupBy(group.alias("_g"), bucket.alias("_bucket"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(key).alias("_high"))
+        .orderBy("_g", "_bucket")
+        .collect()
     )
-    within = Window.partitionBy(*groups, "_bucket").orderBy(*order)
-    return (
-        keyed.filter(F.col(key) <= wanted.agg(F.max("_high")).scalar())
-        .join(F.broadcast(wanted.drop("_high")), [*groups, "_bucket"])
-        .withColumn("_rank", F.row_number().over(within) + F.col("_before"))
-        .filter(F.col("_rank") <= quota)
+    missing_of = dict(quotas)
+    high_of = dict.fromkeys(quotas)
+    edges = {}  # group -> (bucket that is cut, top key wanted at most, rows still missing)
+    for row in counts:
+        g = row["_g"]
+        if g in edges:
+            continue
+        missing = missing_of[g]
+        if row["_n"] > missing:
+            edges[g] = (row["_bucket"], row["_high"] if missing else high_of[g], missing)
+        missing_of[g], high_of[g] = missing - row["_n"], row["_high"]
+    if not edges:
+        return df
+
+    reach = F.lit(False)
+    for g, (_, high, _) in edges.items():
+        if high is not None:
+            reach = reach | ((group == F.lit(g)) & (F.col(key) <= F.lit(high)))
+    edge = _by_value(group, {g: F.lit(e[0]) for g, e in edges.items()})
+    missing = _by_value(group, {g: F.lit(e[2]) for g, e in edges.items()})
+    within = Window.partitionBy(*([by] if by else []), "_bucket").orderBy(*order)
+    cut = (
+        df.filter(reach)
+        .withColumn("_bucket", bucket)
+        .withColumn("_rank", F.row_number().over(within))
+        .filter((F.col("_bucket") < edge) | (F.col("_rank") <= missing))
         .select(*df.columns)
     )
+    uncut = [g for g in quotas if g not in edges]
+    return cut.unionByName(df.filter(group.isin(uncut))) if uncut else cut
+
+
+def _bucket(key: Column, low: int) -> Column:
+    """Number that never falls as the key grows; finest near ``low``."""
+    distance = key.cast("double") - F.lit(float(low))
+    return F.floor(F.log2(distance + 1) * _STEPS)
+
+
+def _by_value(group: Column, values: dict) -> Column:
+    if len(values) == 1:
+        return next(iter(values.values()))
+    chosen = F.lit(None)
+    for g, value in values.items():
+        chosen = F.when(group == F.lit(g), value).otherwise(chosen)
+    return chosen
 
 
 def shuffle_key(key: Column | str, seed: int = fixed.SEED) -> Column:

@@ -101,36 +101,30 @@ def preference_pairs(
             "rejected",
         )
     )
-    return pairs if n is None else first_rows(pairs, n, [key])
+    # The prefix bounds what reaches the one task of the limit.
+    return pairs if n is None else pairs.orderBy(key).limit(n)
 
 
 def preference_counts(candidates: DataFrame, key: str, n: int) -> DataFrame:
     """Accepted and skipped rows of a run that stops once ``n`` rows were accepted.
 
-    ``candidates``: (key, chosen, rejected), stripped, one row per row read. The run
-    ends at the first row with a long enough chosen text after the ``n``-th accepted
-    one, so short rows in between still count as skipped.
+    ``candidates``: (key, chosen, rejected), stripped, one row per row of the prefix
+    read. The run ends at the first row with a long enough chosen text after the
+    ``n``-th accepted one, so short rows in between still count as skipped.
     """
+    at, long, good = F.col("_key"), F.col("_long"), F.col("_good")
     rows = candidates.select(
         F.col(key).alias("_key"),
         chosen_long_enough().alias("_long"),
         (chosen_long_enough() & rejected_usable()).alias("_good"),
     )
-    accepted = first_rows(rows.filter("_good"), n, ["_key"])
-    nth = accepted.agg(F.when(F.count(F.lit(1)) == n, F.max("_key"))).scalar()
-    stop = (
-        rows.withColumn("_nth", nth)
-        .filter(F.col("_long") & (F.col("_key") > F.col("_nth")))
-        .agg(F.min("_key"))
-        .scalar()
-    )
-    bounded = rows.withColumn("_nth", nth).withColumn("_stop", stop)
-    before = F.col("_stop").isNull() | (F.col("_key") < F.col("_stop"))
-    in_time = F.col("_nth").isNull() | (F.col("_key") <= F.col("_nth"))
-    return bounded.agg(
-        F.count_if(F.col("_good") & in_time).cast("bigint").alias("accepted"),
-        F.count_if(~F.col("_good") & before).cast("bigint").alias("skipped"),
-    )
+    accepted = rows.filter(good).orderBy(at).limit(n)
+    nth = accepted.agg(F.when(F.count(F.lit(1)) == n, F.max(at))).scalar()
+    stop = rows.filter(long & (at > nth)).agg(F.min(at)).scalar()
+    return rows.agg(
+        F.count_if(good).alias("_all_good"),
+        F.count_if(~good & (stop.isNull() | (at < stop))).alias("skipped"),
+    ).select(F.least("_all_good", F.lit(n).cast("bigint")).alias("accepted"), "skipped")
 
 
 def score_pairs(comments: DataFrame, key: str, *keep: str) -> DataFrame:
