@@ -41,21 +41,28 @@ def pack(
         kept = F.right(text, F.lit(overlap)) if overlap > 0 else F.lit("")
         closes = ~fits & (text != "")
         return F.struct(
+            state["blocks"].alias("blocks"),
             F.when(closes, F.concat(state["done"], F.array(strip(text))))
             .otherwise(state["done"])
             .alias("done"),
             F.concat(F.when(fits, text).otherwise(kept), para, F.lit("\n")).alias("open"),
         )
 
+    # The inner fold carries the finished blocks along: it is then the whole next
+    # state, and is not run once per field.
     def add_block(state: Column, block: Column) -> Column:
-        part = F.aggregate(
+        return F.aggregate(
             F.slice(paras, block * _BLOCK + 1, F.lit(_BLOCK)),
-            F.struct(nothing.alias("done"), state["open"].alias("open")),
+            F.struct(
+                state["blocks"].alias("blocks"),
+                nothing.alias("done"),
+                state["open"].alias("open"),
+            ),
             add,
-        )
-        return F.struct(
-            F.concat(state["blocks"], F.array(part["done"])).alias("blocks"),
-            part["open"].alias("open"),
+            lambda end: F.struct(
+                F.concat(end["blocks"], F.array(end["done"])).alias("blocks"),
+                end["open"].alias("open"),
+            ),
         )
 
     last_block = F.floor((F.size(paras) - 1) / _BLOCK).cast("int")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from prefdata.functions import fixed
-from prefdata.functions.text import strip, text_or_empty
+from prefdata.functions.text import as_column, strip, text_or_empty
 
 
 def array_span(reply: Column | str) -> Column:
@@ -14,37 +14,38 @@ def array_span(reply: Column | str) -> Column:
     return F.regexp_extract(text_or_empty(reply), r"(?s)\[.*?\]", 0)
 
 
-def qa_pairs(reply: Column | str) -> Column:
-    """Valid pairs of a reply, as an array of (question, answer).
+def array_items(reply: Column | str) -> Column:
+    """Elements of the JSON array in a reply, null where the span is not JSON."""
+    return F.try_variant_get(F.try_parse_json(array_span(reply)), "$", "array<variant>")
 
-    Parsing is strict. A span that is not JSON, or that holds anything but objects with
-    text fields, gives no pair at all; an object that lacks a field is only left out.
+
+def qa_pairs(items: Column | str) -> Column:
+    """Valid pairs among the elements, as an array of (question, answer).
+
+    One element that is not an object, or has a question or answer that is not text,
+    leaves no pair at all; an object that lacks a field is only left out itself.
     """
-    items = F.try_variant_get(
-        F.try_parse_json(array_span(reply)), "$", "array<variant>"
-    )
+    items = as_column(items)
 
-    def field(item: Column, name: str) -> Column:
-        return F.try_variant_get(item, f"$.{name}", "variant")
+    def kind(item: Column, name: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(item, f"$.{name}", "variant"))
 
     def odd(item: Column) -> Column:
-        not_object = ~F.startswith(F.schema_of_variant(item), F.lit("OBJECT"))
-        wrong = [
-            F.coalesce(F.schema_of_variant(field(item, name)) != "STRING", F.lit(False))
-            for name in ("question", "answer")
-        ]
-        return F.coalesce(not_object | wrong[0] | wrong[1], F.lit(True))
-
-    pairs = F.transform(
-        items,
-        lambda item: F.struct(
+        return (
+            ~F.startswith(F.schema_of_variant(item), F.lit("OBJECT"))
+            | (F.coalesce(kind(item, "question"), F.lit("STRING")) != "STRING")
+            | (F.coalesce(kind(item, "answer"), F.lit("STRING")) != "STRING")
+        )
+
+    def pair(item: Column) -> Column:
+        return F.struct(
             strip(F.try_variant_get(item, "$.question", "string")).alias("question"),
             strip(F.try_variant_get(item, "$.answer", "string")).alias("answer"),
-        ),
-    )
-    valid = F.filter(
-        pairs,
-        lambda p: (p["question"] != "") & (F.length(p["answer"]) >= fixed.MIN_ANSWER),
-    )
+        )
+
+    def valid(p: Column) -> Column:
+        return (p["question"] != "") & (F.length(p["answer"]) >= fixed.MIN_ANSWER)
+
     none = F.array().cast("array<struct<question:string,answer:string>>")
-    return F.when(items.isNull() | F.exists(items, odd), none).otherwise(valid)
+    sound = items.isNotNull() & ~F.exists(items, odd)
+    return F.when(sound, F.filter(F.transform(items, pair), valid)).otherwise(none)

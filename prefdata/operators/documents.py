@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from prefdata.functions import fixed
 from prefdata.functions.chunking import BLANK_LINES, pack, paragraphs
 from prefdata.functions.prompts import qa_request
-from prefdata.functions.replies import qa_pairs
+from prefdata.functions.replies import array_items, qa_pairs
 from prefdata.functions.text import char_count
 
 
@@ -31,9 +31,13 @@ def document_chunks(
 ) -> DataFrame:
     """One row per chunk: (``keep``, chunk_no from 0, chunk)."""
     chunked = _with_chunks(df.select(*keep, text), text, size, overlap, separator)
-    return chunked.select(
-        *keep, F.posexplode("_chunks").alias("chunk_no", "chunk")
-    ).withColumn("chunk_no", F.col("chunk_no").cast("bigint"))
+    # Exploding without "outer" would make Spark test the size of the array first, and
+    # so fold every document twice.
+    return (
+        chunked.select(*keep, F.posexplode_outer("_chunks").alias("_no", "chunk"))
+        .filter("chunk IS NOT NULL")
+        .select(*keep, F.col("_no").cast("bigint").alias("chunk_no"), "chunk")
+    )
 
 
 def chunk_stats(
@@ -60,20 +64,35 @@ def qa_requests(chunks: DataFrame, chunk: str = "chunk") -> DataFrame:
     return chunks.withColumn("prompt", qa_request(chunk))
 
 
+def _with_pairs(replies: DataFrame, reply: str) -> DataFrame:
+    # Two steps, so that each reply is parsed once.
+    return replies.withColumn("_items", array_items(reply)).withColumn(
+        "_pairs", qa_pairs("_items")
+    )
+
+
 def qa_rows(replies: DataFrame, *keep: str, reply: str = "reply") -> DataFrame:
     """Instruction rows out of replies; a reply without valid pairs gives none."""
-    return replies.select(*keep, F.inline(qa_pairs(reply))).select(
-        *keep,
-        F.col("question").alias("instruction"),
-        F.lit("").alias("input"),
-        F.col("answer").alias("output"),
+    return (
+        _with_pairs(replies.select(*keep, reply), reply)
+        .select(*keep, F.inline_outer("_pairs"))
+        .filter("question IS NOT NULL")
+        .select(
+            *keep,
+            F.col("question").alias("instruction"),
+            F.lit("").alias("input"),
+            F.col("answer").alias("output"),
+        )
     )
 
 
 def qa_stats(replies: DataFrame, *by: str, reply: str = "reply") -> DataFrame:
     """Replies and pairs extracted from them."""
     return (
-        replies.select(*by, F.size(qa_pairs(reply)).cast("bigint").alias("_n"))
+        _with_pairs(replies.select(*by, reply), reply)
         .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("n_replies"), F.sum("_n").alias("n_pairs"))
+        .agg(
+            F.count(F.lit(1)).alias("n_replies"),
+            F.sum(F.size("_pairs").cast("bigint")).alias("n_pairs"),
+        )
     )

@@ -97,12 +97,12 @@ def text_files_scan(spark, sf_dir):
 @query
 def partitioned_pairs(spark, sf_dir):
     path = scratch_folder(spark)
-    pairs = _pairs(spark, sf_dir)
+    pairs = materialise(_pairs(spark, sf_dir))
+    models = F.explode(F.array(F.lit("first"), F.lit("second")))
+    sinks.write_per_model(pairs.withColumn("model", models), path)
     swapped = pairs.withColumns(
         {"chosen": F.col("rejected"), "rejected": F.col("chosen")}
     )
-    sinks.write_per_model(pairs.withColumn("model", F.lit("first")), path)
-    sinks.write_per_model(pairs.withColumn("model", F.lit("second")), path)
     sinks.write_per_model(swapped.withColumn("model", F.lit("second")), path)
     schema = "doc_id BIGINT, " + schemas.PREFERENCE + ", model STRING"
     return files.read_jsonl(spark, path, schema)
@@ -141,7 +141,7 @@ def strip_text(spark, sf_dir):
 
 @query
 def answer_stats(spark, sf_dir):
-    return _documents(spark, sf_dir).select(
+    return spread(_documents(spark, sf_dir), "doc_id").select(
         "doc_id",
         T.preview("text", 100).alias("preview"),
         T.has_digit("text").alias("has_digit"),

@@ -1,0 +1,137 @@
+import hashlib
+import random
+
+import pytest
+
+from prefdata.operators import instructions as ins
+from prefdata.operators import ordered
+from prefdata.operators.skew import salted_join, spread
+
+
+def frame(spark, keys):
+    return spark.createDataFrame([(k, f"t{k}") for k in keys], "k long, t string")
+
+
+KEYS = {
+    "dense": list(range(500)),
+    "offset": [10**12 + 3 * i for i in range(400)],
+    "outlier": [0] + [10**15 + i for i in range(400)],
+    "negative": list(range(-200, 200)),
+    "wide": [(-1) ** i * 2 ** (i % 62) + i for i in range(300)],
+}
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_first_rows_of_any_key_distribution(spark, name):
+    keys = sorted(set(KEYS[name]))
+    shuffled = random.Random(1).sample(keys, len(keys))
+    df = frame(spark, shuffled).repartition(7)
+    for n in (0, 1, 2, 37, len(keys) - 1, len(keys), len(keys) + 5):
+        got = ordered.first_rows(df, n, ["k"])
+        assert got.columns == ["k", "t"]
+        assert sorted(r.k for r in got.collect()) == keys[:n]
+
+
+def test_first_rows_of_an_empty_table(spark):
+    assert ordered.first_rows(frame(spark, []), 5, ["k"]).collect() == []
+
+
+def test_ties_of_the_first_key_go_by_the_next(spark):
+    df = spark.createDataFrame([(1, i) for i in range(50)], "k long, j long")
+    got = ordered.first_rows(df, 7, ["k", "j"]).collect()
+    assert sorted(r.j for r in got) == list(range(7))
+
+
+def test_first_rows_pass_through_no_single_task(spark, plan_of, tmp_path):
+    path = str(tmp_path / "t")
+    frame(spark, range(5000)).write.parquet(path)
+    plan = plan_of(ordered.first_rows(spark.read.parquet(path), 40, ["k"]))
+    assert "SinglePartition" not in plan and "TakeOrdered" not in plan
+    assert "LessThanOrEqual(k," in plan  # the reader skips what lies beyond
+
+
+def test_quota_per_source(spark):
+    rows = [("a", i) for i in range(300)] + [("b", 10**9 + i) for i in range(50)]
+    rows += [("c", i) for i in range(9)] + [("d", i) for i in range(9)]
+    df = spark.createDataFrame(rows, "source string, k long").repartition(5)
+    got = ins.source_quota(df, {"a": 40, "b": 10, "c": 100, "e": 3, "d": 0}, "k").collect()
+    want = [("a", i) for i in range(40)] + [("b", 10**9 + i) for i in range(10)]
+    want += [("c", i) for i in range(9)]
+    assert sorted((r.source, r.k) for r in got) == sorted(want)
+
+
+def digest(key, seed=42):
+    return hashlib.md5(f"{seed}:{key}".encode()).hexdigest()
+
+
+def test_shuffle_is_a_permutation_that_does_not_depend_on_partitions(spark):
+    keys = list(range(1000))
+    want = sorted(keys, key=lambda k: (digest(k), k))
+    for parts in (1, 6):
+        got = ordered.seeded_shuffle(frame(spark, keys).repartition(parts), "k")
+        assert [r.k for r in got.collect()] == want
+    assert want != keys
+
+
+def test_sample_has_the_size_and_the_rows_of_the_shuffle(spark):
+    keys = list(range(700))
+    want = sorted(keys, key=lambda k: (digest(k), k))
+    for n in (0, 30, 699, 700, 900):
+        got = ordered.seeded_sample(frame(spark, keys).repartition(3), n, "k").collect()
+        assert sorted(r.k for r in got) == sorted(want[:n])
+    other = ordered.seeded_sample(frame(spark, keys), 30, "k", seed=1).collect()
+    assert {r.k for r in other} != set(want[:30])
+
+
+def test_mix_takes_quotas_from_both_sources(spark):
+    a = spark.createDataFrame(
+        [(i, f"q{i}", "", f"o{i}") for i in range(30)],
+        "id long, instruction string, input string, output string",
+    )
+    b = spark.createDataFrame(
+        [(i, f"s{i}", "positive") for i in range(30)], "id long, input string, output string"
+    )
+    mixed = ins.mix({"a": a, "b": ins.normalize_sentiment(b, "id")}, {"a": 8, "b": 2}, "id")
+    rows = ins.render_training_text(mixed).collect()
+    want = [f"a:{i}" for i in range(8)] + ["b:0", "b:1"]
+    assert [r.row_id for r in rows] == sorted(want, key=digest)
+    assert {r.text for r in rows if r.source == "b"} == {
+        f"指令: s{i}\n输入: \n回答: positive" for i in range(2)
+    }
+
+
+def test_join_with_a_frequent_key(spark):
+    rows = [(0 if i % 3 == 0 else i % 11, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k long, i long")
+    lookup = spark.createDataFrame([(k, k * k) for k in range(8)], "k long, v long")
+    want = sorted((k, i, k * k) for k, i in rows if k < 8)
+    for parts, smallest in [(10_000, 100_000), (20, 1), (10_000, 1)]:
+        got = salted_join(df, lookup, "k", ["i"], parts=parts, smallest_piece=smallest)
+        assert sorted(map(tuple, got.select("k", "i", "v").collect())) == want
+    left = salted_join(df, lookup, "k", ["i"], how="left", parts=20, smallest_piece=1)
+    assert left.count() == 600
+
+
+def test_a_well_split_input_is_not_shuffled_again(spark, plan_of):
+    assert "Exchange" not in plan_of(spread(spark.range(0, 100, 1, 16), "id"))
+    assert "Exchange" in plan_of(spread(spark.range(0, 100, 1, 1), "id"))
+
+
+def test_funnel(spark):
+    counts = ins.funnel_counts(
+        spark.range(10),
+        {"read": ins.F.lit(True), "even": ins.F.expr("id % 2 = 0"), "big": ins.F.expr("id > 5")},
+    )
+    assert sorted(map(tuple, counts.collect())) == [(0, "read", 10), (1, "even", 5), (2, "big", 2)]
+
+
+def test_question_rows(spark):
+    df = spark.createDataFrame(
+        [(None, "q", "r")], "system_prompt string, question string, response string"
+    )
+    assert tuple(ins.normalize_question(df).first()) == ("q", "", "r")
+
+
+def test_topic_subset_looks_at_all_columns(spark):
+    df = spark.createDataFrame([("bond", "x"), ("x", "a BOND"), ("x", "y")], "a string, b string")
+    assert ins.topic_subset(df, ["a", "b"], ["bond"]).count() == 2
