@@ -18,6 +18,7 @@ def batch_generate(
     model_name: str,
     prompt: str = "prompt",
     batch_size: int = 32,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(key, model, text, elapsed_s, error) for each prompt.
 
@@ -26,6 +27,9 @@ def batch_generate(
     its row, with ``text`` null and the ``error``. ``elapsed_s`` is the prompt's share
     of its batch.
 
+    A slow model wants small tasks, that are cheap to repeat when an executor is lost:
+    ``tasks`` spreads the prompts over that many by their key.
+
     Sampling models answer differently each time, so write the result to a table (see
     ``sources.scratch.materialise``) before it is filtered, joined or read twice.
     """
@@ -57,7 +61,10 @@ def batch_generate(
                 yield out
 
     schema = f"`{key}` {key_type}, model string, text string, elapsed_s double, error string"
-    return prompts.select(key, prompt).mapInPandas(run, schema)
+    prompts = prompts.select(key, prompt)
+    if tasks is not None:
+        prompts = prompts.repartition(tasks, key)
+    return prompts.mapInPandas(run, schema)
 
 
 def answered(generations: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from prefdata.functions.prompts import inference_prompt
 from prefdata.functions.text import strip
 from prefdata.functions.transcripts import dialogue_prompt, dialogue_reply
 from prefdata.operators.ordered import first_rows
+from prefdata.operators.skew import with_few_keys
 
 
 def stitch_parts(
@@ -90,9 +91,11 @@ def preference_pairs(
 
     With ``n``: the first ``n`` good rows out of an over-fetched prefix.
     """
+    wanted = generation_input(source, key, n)
+    if n is not None:
+        generations = with_few_keys(generations, wanted, key, over_fetch(n))
     pairs = (
-        generation_input(source, key, n)
-        .join(generations.select(key, strip("text").alias("rejected")), key)
+        wanted.join(generations.select(key, strip("text").alias("rejected")), key)
         .filter(rejected_usable())
         .select(
             key,

@@ -18,6 +18,18 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
+def with_few_keys(rows: DataFrame, keys: DataFrame, key: str, at_most: int) -> DataFrame:
+    """Rows whose key is in ``keys``, of which there are ``at_most`` so many.
+
+    Up to a million keys are broadcast, so that ``rows`` is filtered where it is read;
+    beyond that Spark chooses from the sizes it sees.
+    """
+    keys = keys.select(key)
+    if at_most <= 1_000_000:
+        keys = F.broadcast(keys)
+    return rows.join(keys, key, "left_semi")
+
+
 def salted_join(
     rows: DataFrame,
     lookup: DataFrame,

@@ -20,7 +20,7 @@ from prefdata.operators import grpo
 from prefdata.operators import instructions as ins
 from prefdata.operators import ordered
 from prefdata.operators import preference as pref
-from prefdata.operators.skew import spread
+from prefdata.operators.skew import spread, with_few_keys
 from prefdata.plans import inputs
 from prefdata.sources import files, schemas, sinks
 from prefdata.sources.scratch import materialise, scratch_folder
@@ -275,9 +275,11 @@ def pref_pairs_first(spark, sf_dir):
 @query
 def pref_pairs_counts(spark, sf_dir):
     source, generations = _pair_inputs(spark, sf_dir)
-    read = ordered.first_rows(source, pref.over_fetch(PAIRS_WANTED), ["doc_id"])
+    n_read = pref.over_fetch(PAIRS_WANTED)
+    read = ordered.first_rows(source, n_read, ["doc_id"])
+    answers = with_few_keys(generations, read, "doc_id", n_read)
     return pref.preference_counts(
-        _candidates(read, generations), "doc_id", PAIRS_WANTED
+        _candidates(read, answers), "doc_id", PAIRS_WANTED
     )
 
 
