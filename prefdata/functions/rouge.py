@@ -25,13 +25,16 @@ def rouge_tokens(text: str | None) -> list[str]:
 
 def common_length(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence of two token lists."""
+    if len(a) < len(b):
+        a, b = b, a
     positions: dict[str, int] = {}
-    for i, token in enumerate(a):
-        positions[token] = positions.get(token, 0) | (1 << i)
-    every = (1 << len(a)) - 1
-    free = every
-    for token in b:
-        here = free & positions.get(token, 0)
+    bit = 1
+    for token in a:
+        positions[token] = positions.get(token, 0) | bit
+        bit <<= 1
+    free = every = bit - 1
+    for found in [positions[token] for token in b if token in positions]:
+        here = free & found
         if here:
             free = ((free + here) | (free - here)) & every
     return len(a) - free.bit_count()
@@ -59,9 +62,14 @@ def rouge_l(prediction: pd.Series, reference: pd.Series) -> pd.Series:
 def rouge_l_against(
     answer: pd.Series, chosen: pd.Series, rejected: pd.Series
 ) -> pd.DataFrame:
-    """Both scores of an answer in one pass, so that it is tokenised once."""
-    rows = []
-    for a, c, r in zip(answer, chosen, rejected):
-        tokens = rouge_tokens(a)
-        rows.append((f1(tokens, rouge_tokens(c)), f1(tokens, rouge_tokens(r))))
+    """Both scores of an answer in one pass.
+
+    Models answer the same samples, so each text of a batch is tokenised once.
+    """
+    texts = pd.concat([answer, chosen, rejected]).unique()
+    tokens = {text: rouge_tokens(text) for text in texts}
+    rows = [
+        (f1(tokens[a], tokens[c]), f1(tokens[a], tokens[r]))
+        for a, c, r in zip(answer, chosen, rejected)
+    ]
     return pd.DataFrame(rows, columns=["chosen", "rejected"], dtype="float64")

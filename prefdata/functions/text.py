@@ -46,7 +46,9 @@ def word_tokens(c: Column | str) -> Column:
 
 
 def number_mentions(c: Column | str) -> Column:
-    return F.regexp_count(text_or_empty(c), F.lit(fixed.NUMBER_PATTERN))
+    # Every alternative starts with a digit: one look ahead saves trying them all.
+    pattern = r"(?=\p{Nd})(?:" + fixed.NUMBER_PATTERN + ")"
+    return F.regexp_count(text_or_empty(c), F.lit(pattern))
 
 
 def mentions_any(c: Column | str, keywords: list[str]) -> Column:
