@@ -87,6 +87,10 @@ def summarise(scores: DataFrame) -> DataFrame:
     )
 
 
+def by_name(summary: DataFrame) -> DataFrame:
+    return summary.orderBy("model")
+
+
 def best_models(
     summary: DataFrame, metrics: tuple[str, ...] = ("rouge_l_mean", "win_rate")
 ) -> DataFrame:

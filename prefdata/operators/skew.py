@@ -10,7 +10,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition a small, badly split input before row-local CPU work.
 
     An input that already has a partition per core is left alone: no shuffle is added
-    to a large scan.
+    to a large scan. Meant for scans, whose number of partitions is known unrun.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

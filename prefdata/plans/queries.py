@@ -451,7 +451,7 @@ def win_flag(spark, sf_dir):
 
 @query
 def eval_summary(spark, sf_dir):
-    return _rounded(_summary(spark, sf_dir), *ev.METRICS)
+    return ev.by_name(_rounded(_summary(spark, sf_dir), *ev.METRICS))
 
 
 @query
