@@ -53,6 +53,8 @@ def number_mentions(c: Column | str) -> Column:
 
 def mentions_any(c: Column | str, keywords: list[str]) -> Column:
     """True where one of the keywords stands as a whole word, in any case."""
-    quoted = "|".join(r"\Q" + k.replace(r"\E", r"\E\\E\Q") + r"\E" for k in keywords)
     word = r"[\p{L}\p{N}_]"
-    return text_or_empty(c).rlike(f"(?iu)(?<!{word})(?:{quoted})(?!{word})")
+    quoted = [r"\Q" + k.replace(r"\E", r"\E\\E\Q") + r"\E" for k in keywords]
+    # What stands before a keyword is looked at only where the keyword was found.
+    found = "|".join(f"{k}(?<!{word}{k})" for k in quoted)
+    return text_or_empty(c).rlike(f"(?iu)(?:{found})(?!{word})")

@@ -6,7 +6,7 @@ A model is given as a function without arguments that loads it; see
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from prefdata.functions import fixed
 from prefdata.functions.chunking import BLANK_LINES
 from prefdata.functions.prompts import inference_prompt
+from prefdata.functions.rewards import DEFAULT_REGISTRY, Scorer
 from prefdata.operators import documents as docs
 from prefdata.operators import evaluation as ev
+from prefdata.operators import grpo
 from prefdata.operators import instructions as ins
 from prefdata.operators import preference as pref
 from prefdata.operators.generate import Model, answered, batch_generate
@@ -68,6 +70,22 @@ def preference_data(
     )
 
 
+def advantage_data(
+    completions: DataFrame,
+    group: str,
+    sample: str,
+    registry: Mapping[str, tuple[float, Scorer]] = DEFAULT_REGISTRY,
+) -> DataFrame:
+    """Rewards of every completion and its advantage inside its group.
+
+    The rewards are stored, without the texts, before the two passes over each group:
+    the rules run once.
+    """
+    names = [f"{name}_reward" for name in registry]
+    scored = grpo.score(completions, registry).select(group, sample, *names, "reward")
+    return grpo.group_advantage(materialise(scored), group, sample)
+
+
 def document_data(
     spark: SparkSession,
     folder: str,

@@ -111,6 +111,22 @@ def document_completions(documents: DataFrame) -> DataFrame:
     )
 
 
+def document_posts(documents: DataFrame) -> DataFrame:
+    """Documents as posts: each line is a comment, scored by its length."""
+    comments = F.transform(
+        F.split("text", "\n"),
+        lambda line: F.struct(
+            line.alias("body"), F.length(line).cast("bigint").alias("score")
+        ),
+    )
+    return documents.select(
+        "doc_id",
+        F.col("lang").alias("title"),
+        F.col("source").alias("selftext"),
+        comments.alias("comments"),
+    )
+
+
 def transcripts(conversations: DataFrame) -> DataFrame:
     """Whole dialogues with marks: (conv_id, part, text)."""
     mark = (

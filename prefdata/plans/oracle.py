@@ -303,6 +303,10 @@ SELECT doc_id, replace(left(text, 100), chr(10), ' ') AS preview,
 FROM documents""",
     "normalize_sentiment": """
 SELECT doc_id AS id, text AS instruction, '' AS input, lang AS output FROM documents""",
+    "normalize_question": """
+SELECT doc_id, 'What is written in ' || lang AS instruction,
+  CASE WHEN source = 'src0' THEN '' ELSE source END AS input, text AS output
+FROM documents""",
     "render_prompt": f"""
 WITH {PAIR} SELECT {PAIR_ID} AS id, {prompt("prompt")} AS prompt FROM pair""",
     "render_sft_text": f"""
@@ -363,6 +367,19 @@ ranked AS (
 SELECT b.conv_id, b.completion AS chosen, w.completion AS rejected,
   round(b.score, 9) AS chosen_score, round(w.score, 9) AS rejected_score
 FROM ranked b JOIN ranked w USING (conv_id)
+WHERE b.best = 1 AND w.worst = 1 AND b.score > w.score""",
+    "post_pairs": f"""
+WITH lines AS (
+  SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS body,
+    generate_subscripts(string_split(text, chr(10)), 1) AS position FROM documents),
+ranked AS (
+  SELECT *, length(body) AS score,
+    row_number() OVER (PARTITION BY doc_id ORDER BY length(body) DESC, position) AS best,
+    row_number() OVER (PARTITION BY doc_id ORDER BY length(body), position DESC) AS worst
+  FROM lines)
+SELECT b.doc_id, {prompt("b.lang", "b.source")} AS prompt, b.body AS chosen,
+  w.body AS rejected
+FROM ranked b JOIN ranked w USING (doc_id)
 WHERE b.best = 1 AND w.worst = 1 AND b.score > w.score""",
     # Rewards
     "reward_length": ONE_REWARD.format(length_reward("text")),

@@ -21,7 +21,7 @@ from prefdata.operators import instructions as ins
 from prefdata.operators import ordered
 from prefdata.operators import preference as pref
 from prefdata.operators.skew import spread, with_few_keys
-from prefdata.plans import inputs
+from prefdata.plans import flows, inputs
 from prefdata.sources import files, schemas, sinks
 from prefdata.sources.scratch import materialise, scratch_folder
 
@@ -156,6 +156,17 @@ def normalize_sentiment(spark, sf_dir):
     return ins.normalize_sentiment(rows, "id")
 
 
+@query
+def normalize_question(spark, sf_dir):
+    rows = _documents(spark, sf_dir).select(
+        "doc_id",
+        F.nullif("source", F.lit("src0")).alias("system_prompt"),
+        F.concat(F.lit("What is written in "), "lang").alias("question"),
+        F.col("text").alias("response"),
+    )
+    return ins.normalize_question(rows, "doc_id")
+
+
 @query
 def render_prompt(spark, sf_dir):
     rows = inputs.pair_instructions(_conversations(spark, sf_dir))
@@ -240,7 +251,7 @@ def hh_pairs(spark, sf_dir):
 
 
 def _pair_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    documents = _documents(spark, sf_dir)
+    documents = spread(_documents(spark, sf_dir), "doc_id")
     labels = inputs.table(spark, sf_dir, "labels")
     return (
         inputs.document_instructions(documents),
@@ -304,6 +315,12 @@ def score_pairs(spark, sf_dir):
     return _rounded(pairs, "chosen_score", "rejected_score")
 
 
+@query
+def post_pairs(spark, sf_dir):
+    posts = inputs.document_posts(_documents(spark, sf_dir))
+    return pref.post_pairs(posts, "doc_id")
+
+
 # Rewards
 
 
@@ -488,7 +505,5 @@ QUERIES["rouge_l"] = QUERIES.pop("rouge_l_scores")
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rewards of every completion and its advantage inside its prompt's group."""
     pairs = inputs.turn_pairs(_conversations(spark, sf_dir))
-    scored = grpo.score(pairs).select(
-        F.col("conv_id").alias("prompt_id"), F.col("turn").alias("sample_id"), "reward"
-    )
-    return grpo.group_advantage(scored)
+    named = pairs.withColumnsRenamed({"conv_id": "prompt_id", "turn": "sample_id"})
+    return flows.advantage_data(named, "prompt_id", "sample_id")

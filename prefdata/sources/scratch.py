@@ -12,6 +12,7 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new path under the folder that ``spark.checkpoint.dir`` names.
 
     Only a local session may do without that setting; it gets a temporary folder.
+    Nothing is removed from it here, as the caller may still read what was written.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:

@@ -46,5 +46,8 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry(spark):
     rows = entry_module.entry(spark)
-    assert rows.columns == ["prompt_id", "sample_id", "reward", "advantage"]
+    assert rows.columns == [
+        "prompt_id", "sample_id", "length_reward", "number_reward", "no_repeat_reward",
+        "format_reward", "reward", "advantage",
+    ]
     assert rows.count() > 0

@@ -52,6 +52,9 @@ def test_keywords_are_whole_words_in_any_case(spark):
     assert [bool(r.v) for r in df.select(hit.alias("v")).collect()] == [
         True, False, False, True, True, False,
     ]
+    nested = spark.createDataFrame([("vagabond",), ("vagabonds",), ("xbond",)], "t string")
+    hit = text.mentions_any("t", ["bond", "vagabond"])
+    assert [r.v for r in nested.select(hit.alias("v")).collect()] == [True, False, False]
 
 
 def test_prompts(spark):
