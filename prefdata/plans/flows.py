@@ -21,7 +21,7 @@ from prefdata.operators import grpo
 from prefdata.operators import instructions as ins
 from prefdata.operators import preference as pref
 from prefdata.operators.generate import Model, answered, batch_generate
-from prefdata.operators.ordered import seeded_sample
+from prefdata.operators.ordered import first_rows, seeded_sample
 from prefdata.sources import sinks
 from prefdata.sources.files import read_documents
 from prefdata.sources.scratch import materialise
@@ -70,6 +70,21 @@ def preference_data(
     )
 
 
+def transcript_data(
+    transcripts: DataFrame, key: str, path: str, n: int = fixed.NUM_TRANSCRIPTS
+) -> None:
+    """Triples from the first ``n`` pairs of dialogues, as JSON lines."""
+    pairs = pref.transcript_pairs(first_rows(transcripts, n, [key]))
+    sinks.write_jsonl(pairs, path)
+
+
+def prompt_data(
+    source: DataFrame, key: str, path: str, n: int = fixed.NUM_PROMPTS
+) -> None:
+    """Short enough prompts of the first ``n`` instruction rows, as JSON lines."""
+    sinks.write_jsonl(ins.prompt_set(first_rows(source, n, [key])), path)
+
+
 def advantage_data(
     completions: DataFrame,
     group: str,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from prefdata.functions import fixed
 from prefdata.functions import text as T
 from prefdata.functions.prompts import inference_prompt, prompt_fits
 from prefdata.functions.rewards import SCORERS
@@ -81,7 +82,7 @@ def text_files_scan(spark, sf_dir):
     (
         _documents(spark, sf_dir)
         .select("lang", "text")
-        .write.option("maxRecordsPerFile", 10_000)
+        .write.option("maxRecordsPerFile", 1000)
         .partitionBy("lang")
         .text(path)
     )
@@ -210,14 +211,14 @@ def source_quota(spark, sf_dir):
 
 @query
 def sft_mix(spark, sf_dir):
-    mixed = ins.mix(_mix_sources(spark, sf_dir), ins.fixed.SFT_QUOTAS, "id")
+    mixed = ins.mix(_mix_sources(spark, sf_dir), fixed.SFT_QUOTAS, "id")
     return ins.render_training_text(mixed).select("shuffle_key", "row_id", "text")
 
 
 @query
 def seeded_sample(spark, sf_dir):
     sample = ordered.seeded_sample(
-        _documents(spark, sf_dir), ins.fixed.NUM_EVAL_SAMPLES, "doc_id"
+        _documents(spark, sf_dir), fixed.NUM_EVAL_SAMPLES, "doc_id"
     )
     return sample.select("shuffle_key", "doc_id", "text")
 

@@ -63,6 +63,22 @@ def test_preference_data(spark, source, loader, tmp_path):
     assert all(r.rejected == "rejected: " + r.prompt for r in rows)
 
 
+def test_transcript_and_prompt_data(spark, source, tmp_path):
+    mark = "\n\nAssistant:"
+    dialogues = spark.createDataFrame(
+        [(i, f"\n\nHuman: {i}{mark} " + "c" * (8 + i), f"{mark} " + "r" * 20) for i in range(9)],
+        "id long, chosen string, rejected string",
+    )
+    flows.transcript_data(dialogues, "id", str(tmp_path / "t"), n=6)
+    assert sorted(len(r["chosen"]) for r in lines(tmp_path / "t")) == [11, 12, 13]
+
+    long = source.withColumn("input", ins.F.expr("IF(id = 2, repeat('x', 300), '')"))
+    flows.prompt_data(long, "id", str(tmp_path / "p"), n=5)
+    assert sorted(r["prompt"].split("\n")[0] for r in lines(tmp_path / "p")) == [
+        f"指令: q{i}" for i in (0, 1, 3, 4)
+    ]
+
+
 def test_document_data(spark, loader, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
