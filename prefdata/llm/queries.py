@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from prefdata.llm import mixing, quality, sos_packing, token_output, toxicity
+from prefdata.llm import (
+    ann,
+    html_extract,
+    jaccard_join,
+    mixing,
+    ngram_lm,
+    quality,
+    sos_packing,
+    token_output,
+    topk,
+    toxicity,
+)
 from prefdata.llm.common import table
 
 
@@ -19,10 +30,15 @@ def _of(operator: Callable[..., DataFrame], *names: str) -> Callable[[SparkSessi
 
 QUERIES = {
     "op1_quality": _of(quality.op1_quality, "documents", "labels"),
+    "op2_ngram_lm": _of(ngram_lm.op2_lm, "documents"),
+    "op3_jaccard_join": _of(jaccard_join.op3_jaccard_join, "documents"),
     "op4_packing": _of(sos_packing.op4_packing, "documents"),
     "op5_token_output": _of(token_output.op5_token_output, "documents"),
     "op6_toxicity": _of(toxicity.op6_toxicity, "documents", "labels"),
+    "op7_topk": _of(topk.op7_topk, "embeddings"),
+    "op8_html": _of(html_extract.op8_html, "pages"),
     "op9_mixing": _of(mixing.op9_mixing, "documents"),
+    "op10_ann": _of(ann.op10_ann, "embeddings"),
 }
 
 # What these operators compute (learned scores, packings, flows, extracted texts) SQL cannot
