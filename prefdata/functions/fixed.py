@@ -39,6 +39,17 @@ HUMAN_MARK = "\n\nHuman:"
 # Weights of the combined reward, added up in this order.
 REWARD_WEIGHTS = {"length": 0.4, "number": 0.3, "no_repeat": 0.2, "format": 0.1}
 
+# Length reward: (characters at most, reward), then the reward beyond.
+LENGTH_REWARDS = [(9, -1.0), (49, 0.0), (500, 1.0), (800, 0.5)]
+LENGTH_REWARD_BEYOND = 0.0
+
+# Number reward: (mentions at least, reward), from the top; without a mention 0.
+NUMBER_REWARDS = [(3, 1.0), (1, 0.5)]
+
+# Repetition reward: (share of own words in the prompt above which, reward), from the top.
+REPEAT_REWARDS = [(0.8, -0.5), (0.6, 0.0)]
+NO_REPEAT_REWARD = 0.5
+
 # Length limits, in characters.
 MIN_CHOSEN = 20
 MIN_REJECTED = 10

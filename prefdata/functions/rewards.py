@@ -15,31 +15,27 @@ Scorer = Callable[[Column, Column], Column]
 
 
 def length_reward(completion: Column, prompt: Column | None = None) -> Column:
-    n = F.length(strip(completion))
-    return (
-        F.when(n < 10, F.lit(-1.0))
-        .when(n < 50, F.lit(0.0))
-        .when(n <= 500, F.lit(1.0))
-        .when(n <= 800, F.lit(0.5))
-        .otherwise(F.lit(0.0))
-    )
+    reward = F.lit(fixed.LENGTH_REWARD_BEYOND)
+    for most, value in reversed(fixed.LENGTH_REWARDS):
+        reward = F.when(F.length(strip(completion)) <= most, F.lit(value)).otherwise(reward)
+    return reward
 
 
 def number_reward(completion: Column, prompt: Column | None = None) -> Column:
-    n = number_mentions(completion)
-    return F.when(n >= 3, F.lit(1.0)).when(n >= 1, F.lit(0.5)).otherwise(F.lit(0.0))
+    n, reward = number_mentions(completion), F.lit(0.0)
+    for least, value in reversed(fixed.NUMBER_REWARDS):
+        reward = F.when(n >= least, F.lit(value)).otherwise(reward)
+    return reward
 
 
 def no_repeat_reward(completion: Column, prompt: Column) -> Column:
     own = F.array_distinct(word_tokens(completion))
     shared = F.size(F.array_intersect(own, word_tokens(prompt)))
     overlap = F.try_divide(shared.cast("double"), F.size(own).cast("double"))
-    return (
-        F.when(overlap.isNull(), F.lit(-1.0))
-        .when(overlap > 0.8, F.lit(-0.5))
-        .when(overlap > 0.6, F.lit(0.0))
-        .otherwise(F.lit(0.5))
-    )
+    reward = F.lit(fixed.NO_REPEAT_REWARD)
+    for above, value in reversed(fixed.REPEAT_REWARDS):
+        reward = F.when(overlap > above, F.lit(value)).otherwise(reward)
+    return F.when(overlap.isNull(), F.lit(-1.0)).otherwise(reward)
 
 
 def format_reward(completion: Column, prompt: Column | None = None) -> Column:

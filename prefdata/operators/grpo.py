@@ -47,20 +47,22 @@ def group_advantage(
 ) -> DataFrame:
     """Reward relative to the mean and spread of its group, as ``advantage``.
 
-    A group of one has advantage 0. Group figures are combined on the map side and
+    A group of one has advantage 0; rows without a group are a group. Group figures are combined on the map side and
     joined back in pieces, so a group of any size is never held in one task.
     """
-    figures = df.groupBy(group).agg(
+    # As JSON a null group is a key like any other.
+    df = df.withColumn("_group", F.to_json(F.struct(group)))
+    figures = df.groupBy("_group").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.avg(reward).alias("_mean"),
         F.stddev_samp(reward).alias("_spread"),
     )
     joined = salted_join(
         df,
-        figures.select(group, "_mean", "_spread"),
-        group,
+        figures.select("_group", "_mean", "_spread"),
+        "_group",
         [group, sample],
-        sizes=figures.select(group, "n_rows"),
+        sizes=figures.select("_group", "n_rows"),
         smallest_piece=smallest_piece,
     )
     relative = (F.col(reward) - F.col("_mean")) / (
@@ -68,4 +70,4 @@ def group_advantage(
     )
     return joined.withColumn(
         "advantage", F.when(F.col("_spread").isNull(), 0.0).otherwise(relative)
-    ).drop("_mean", "_spread")
+    ).drop("_group", "_mean", "_spread")

@@ -51,7 +51,9 @@ def mix(
     key: str,
     seed: int = fixed.SEED,
 ) -> DataFrame:
-    """Quota per source, all together, in a seeded order."""
+    """Quota per source, all together, in a seeded order. Every source needs a quota."""
+    if missing := sources.keys() - quotas.keys():
+        raise ValueError(f"no quota for {sorted(missing)}")
     named = [df.withColumn("source", F.lit(name)) for name, df in sources.items()]
     taken = source_quota(concatenate(*named), quotas, key)
     row_id = F.concat_ws(":", "source", F.col(key).cast("string"))

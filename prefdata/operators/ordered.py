@@ -7,98 +7,124 @@ from pyspark.sql import functions as F
 
 from prefdata.functions import fixed
 
-# Buckets per doubling of the distance from the smallest key. At most 512 buckets
-# cover the 64 doublings of a BIGINT.
+# Buckets per doubling of the key's size; with both signs at most 1,025 buckets per group.
 _STEPS = 8
+# The bucket that is cut is counted again in this many parts, until it has few rows.
+_PARTS = 256
+_EDGE_ROWS = 100_000
 
 
 def first_rows(
-    df: DataFrame,
-    limit: int | dict,
-    order: list[str],
-    by: str | None = None,
-    smallest: int | None = None,
+    df: DataFrame, limit: int | dict, order: list[str], by: str | None = None
 ) -> DataFrame:
     """The first ``limit`` rows in ``order``, or the first rows of each ``by`` value.
 
-    ``order`` starts with an integer column and as a whole tells any two rows apart;
-    ``limit`` is one number, or a dict of numbers by value of ``by`` (other values are
-    left out). ``smallest`` is a lower bound of the first column, where one is known.
+    ``order`` as a whole tells any two rows apart; nulls of its first column come last.
+    ``limit`` is one number, or a dict of numbers by value of ``by`` (rows of other values are left
+    out).
 
     A sort with a limit sends ``limit`` rows of every input partition to one task. Here
-    a narrow job counts rows per bucket of the key, which shows how far the wanted rows
-    reach. That bound is a literal, so a reader can skip what lies beyond it; the rows
-    within are ranked bucket by bucket, and neither the input nor the result passes
-    through one task. How well the buckets fit the key decides the speed, never the
-    result.
+    a job counts rows per bucket of the first column; the bucket in which the limit falls is
+    counted again in finer parts until it has at most ``_EDGE_ROWS`` rows or a single
+    value. Rows before it are passed on as they are, by a literal bound that a reader can use to
+    skip; only the rows of the last bucket are ranked. How the keys are spread decides the
+    speed, never the result.
     """
     key = order[0]
+    number = _number(df, key)
     group = F.col(by) if by else F.lit(0)
     quotas = limit if by else {0: limit}
     if by:
         df = df.filter(group.isin(list(quotas)))
-
-    lows = dict.fromkeys(quotas, smallest)
-    if smallest is None:
-        # One row per quota.
-        found = df.groupBy(group.alias("_g")).agg(F.min(key).alias("_low")).collect()
-        lows.update({row["_g"]: row["_low"] for row in found})
-    bucket = _by_value(
-        group, {g: _bucket(F.col(key), low) for g, low in lows.items() if low is not None}
-    )
-
-    # At most 512 rows per quota.
-    counts = (
-        df.groupBy(group.alias("_g"), bucket.alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_n"), F.max(key).alias("_high"))
-        .orderBy("_g", "_bucket")
-        .collect()
-    )
-    missing_of = dict(quotas)
-    high_of = dict.fromkeys(quotas)
-    edges = {}  # group -> (bucket that is cut, top key wanted at most, rows still missing)
-    for row in counts:
-        g = row["_g"]
-        if g in edges:
-            continue
-        missing = missing_of[g]
-        if row["_n"] > missing:
-            edges[g] = (row["_bucket"], row["_high"] if missing else high_of[g], missing)
-        missing_of[g], high_of[g] = missing - row["_n"], row["_high"]
-    if not edges:
-        return df
-
-    reach = F.lit(False)
-    for g, (_, high, _) in edges.items():
-        if high is not None:
-            reach = reach | ((group == F.lit(g)) & (F.col(key) <= F.lit(high)))
-    edge = _by_value(group, {g: F.lit(e[0]) for g, e in edges.items()})
-    missing = _by_value(group, {g: F.lit(e[2]) for g, e in edges.items()})
-    within = Window.partitionBy(*([by] if by else []), "_bucket").orderBy(*order)
-    cut = (
-        df.filter(reach)
-        .withColumn("_bucket", bucket)
-        .withColumn("_rank", F.row_number().over(within))
-        .filter((F.col("_bucket") < edge) | (F.col("_rank") <= missing))
-        .select(*df.columns)
+    size = F.floor(F.log2(F.abs(number.cast("double")) + 1) * _STEPS)
+    edges = {g: _Edge(g, n) for g, n in quotas.items()}
+    for row in _counts(df, group, number, F.signum(number.cast("double")) * size):
+        edges[row["_g"]].add(row)
+    while wide := [e for e in edges.values() if e.is_wide()]:
+        within, part = F.lit(False), F.lit(None).cast("long")
+        for e in wide:
+            here = (group == F.lit(e.group)) & number.between(e.low, e.high)
+            within = within | here
+            width = (e.high - e.low) // _PARTS + 1
+            part = F.when(here, F.floor((number - F.lit(e.low)) / width)).otherwise(part)
+            e.open()
+        for row in _counts(df.filter(within), group, number, part):
+            edges[row["_g"]].add(row)
+    return _cut(df, list(edges.values()), group, number, order, by)
+
+
+class _Edge:
+    """Where the limit falls within one group."""
+
+    def __init__(self, group, limit: int):
+        self.group, self.missing = group, limit
+        self.low = self.high = None  # of the bucket that is cut
+        self.rows, self.found, self.in_nulls = 0, False, False
+
+    def add(self, row) -> None:
+        """The next bucket in order."""
+        if self.found:
+            return
+        if row["_n"] <= self.missing:
+            self.missing -= row["_n"]
+        else:
+            self.found, self.rows = True, row["_n"]
+            self.low, self.high, self.in_nulls = row["_low"], row["_high"], row["_low"] is None
+
+    def is_wide(self) -> bool:
+        return self.found and not self.in_nulls and self.rows > _EDGE_ROWS and self.low < self.high
+
+    def open(self) -> None:
+        self.found = False
+
+
+def _counts(df: DataFrame, group: Column, number: Column, bucket: Column) -> list:
+    """Rows per group and bucket in order, nulls last: a bounded number for each group."""
+    counts = df.groupBy(group.alias("_g"), bucket.alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high")
     )
-    uncut = [g for g in quotas if g not in edges]
-    return cut.unionByName(df.filter(group.isin(uncut))) if uncut else cut
+    return sorted(counts.collect(), key=lambda r: (r["_low"] is None, r["_low"] or 0))
 
 
-def _bucket(key: Column, low: int) -> Column:
-    """Number that never falls as the key grows; finest near ``low``."""
-    distance = key.cast("double") - F.lit(float(low))
-    return F.floor(F.log2(distance + 1) * _STEPS)
-
-
-def _by_value(group: Column, values: dict) -> Column:
-    if len(values) == 1:
-        return next(iter(values.values()))
-    chosen = F.lit(None)
-    for g, value in values.items():
-        chosen = F.when(group == F.lit(g), value).otherwise(chosen)
-    return chosen
+def _cut(
+    df: DataFrame, edges: list[_Edge], group: Column, number: Column, order: list[str], by: str | None
+) -> DataFrame:
+    whole = at_edge = F.lit(False)
+    missing = F.lit(None)
+    for e in edges:
+        own = F.lit(True) if by is None else group == F.lit(e.group)
+        if not e.found:
+            whole = whole | own
+        elif e.in_nulls:
+            whole = whole | (own & number.isNotNull())
+            at_edge = at_edge | (own & number.isNull())
+        else:
+            whole = whole | (own & (number < F.lit(e.low)))
+            at_edge = at_edge | (own & (number >= F.lit(e.low)) & (number <= F.lit(e.high)))
+        missing = F.when(group == F.lit(e.group), F.lit(e.missing)).otherwise(missing)
+    before = df.filter(whole)
+    if not any(e.found and e.missing for e in edges):
+        return before
+    rank = Window.partitionBy(group).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    last = df.filter(at_edge).withColumn("_rank", F.row_number().over(rank))
+    return before.unionByName(last.filter(F.col("_rank") <= missing).drop("_rank"))
+
+
+def _number(df: DataFrame, key: str) -> Column:
+    """A whole number that never falls as the key grows; of a text, its first bytes."""
+    kind = df.schema[key].dataType.simpleString()
+    if kind == "bigint":
+        return F.col(key)
+    if kind in ("tinyint", "smallint", "int"):
+        return F.col(key).cast("bigint")
+    if kind in ("string", "binary"):
+        digits = F.rpad(F.substring(F.hex(F.col(key).cast("binary")), 1, 14), 14, "0")
+        return F.conv(digits, 16, 10).cast("bigint")
+    if kind == "date":
+        return F.unix_date(key).cast("bigint")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(key).cast("timestamp"))
+    raise TypeError(f"no prefix by a key of type {kind}")
 
 
 def shuffle_key(key: Column | str, seed: int = fixed.SEED) -> Column:
@@ -121,9 +147,6 @@ def seeded_sample(
     # 60 leading bits as a number sort like the text and are spread evenly.
     leading = F.conv(F.substring("shuffle_key", 1, 15), 16, 10).cast("bigint")
     first = first_rows(
-        keyed.withColumn("_leading", leading),
-        n,
-        ["_leading", "shuffle_key", key],
-        smallest=0,
+        keyed.withColumn("_leading", leading), n, ["_leading", "shuffle_key", key]
     )
     return first.drop("_leading")

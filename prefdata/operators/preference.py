@@ -10,10 +10,10 @@ from prefdata.functions.prompts import inference_prompt
 from prefdata.functions.text import strip
 from prefdata.functions.transcripts import dialogue_prompt, dialogue_reply
 from prefdata.operators.ordered import first_rows
-from prefdata.operators.skew import with_few_keys
+from prefdata.sources.scratch import materialise
 
 
-def stitch_parts(
+def stitch(
     df: DataFrame,
     key: str,
     position: str,
@@ -21,19 +21,54 @@ def stitch_parts(
     separator: str,
     part_size: int = 4096,
 ) -> DataFrame:
-    """Ordered texts of each key joined to one: (key, part, text).
+    """Ordered texts of each key joined to one: (key, text).
 
-    Positions are unique within a key. Each run of ``part_size`` positions is a part of
-    its own, so a key of any length is never gathered in one task; a text that fits in
-    one part, as nearly all do, is whole in part 0.
+    Runs of ``part_size`` positions are joined first, in tasks of their own; the last step
+    gathers a text per run and nothing but the value it returns. The result doesn't
+    depend on ``part_size``.
     """
     pieces = F.sort_array(F.collect_list(F.struct(position, text)))
-    return (
-        df.groupBy(key, F.floor(F.col(position) / part_size).alias("part"))
-        .agg(pieces.alias("_pieces"))
-        .select(
-            key, "part", F.array_join(f"_pieces.{text}", separator).alias(text)
-        )
+    runs = df.groupBy(key, F.floor(F.col(position) / part_size).alias("_part")).agg(
+        F.array_join(pieces[text], separator).alias(text)
+    )
+    parts = F.sort_array(F.collect_list(F.struct("_part", text)))
+    return runs.groupBy(key).agg(F.array_join(parts[text], separator).alias(text))
+
+
+def turn_triples(
+    turns: DataFrame, key: str, position: str, text: str, partner: Column, *,
+    shortest: int | None = None,
+) -> DataFrame:
+    """Triples of dialogues of any length: (key, position, prompt, chosen, rejected).
+
+    ``turns`` has a row per turn with its marks; ``partner`` is the key of the dialogue
+    whose reply is the rejected one. The prompt ends with the last assistant mark, which the
+    last marked turn holds; it is given turn by turn, so no task holds a dialogue. The two replies
+    are in the row of the prompt's last turn. ``shortest``: length that both replies need.
+    """
+    last_mark = F.max(F.when(F.contains(text, F.lit(fixed.ASSISTANT_MARK)), F.col(position)))
+    ends = turns.groupBy(key).agg(last_mark.alias("_mark"), F.max(position).alias("_end"))
+    placed = turns.select(key, position, text).join(ends, key)
+    at_mark = F.col(position) == F.col("_mark")
+    after = F.when(at_mark, F.substring_index(text, fixed.ASSISTANT_MARK, -1)).otherwise(F.col(text))
+    tail = placed.filter(F.col(position) >= F.col("_mark")).select(key, position, after.alias("_reply"))
+    replied = stitch(tail, key, position, "_reply", "")
+    replies = ends.join(replied, key, "left").select(
+        key, F.coalesce(strip("_reply"), F.lit("")).alias("chosen")
+    )
+    others = replies.select(F.col(key).alias("_partner"), F.col("chosen").alias("rejected"))
+    pairs = replies.withColumn("_partner", partner).join(others, "_partner").drop("_partner")
+    if shortest is not None:
+        pairs = pairs.filter(replies_long_enough(shortest))
+    last = F.col(position) == F.coalesce("_mark", "_end")
+    pieces = placed.filter(F.col(position) <= F.coalesce("_mark", "_end")).select(
+        key, position, F.when(at_mark, dialogue_prompt(text)).otherwise(F.col(text)).alias("prompt"),
+        last.alias("_last"),
+    )
+    return pieces.join(pairs, key).select(
+        key, position, "prompt",
+        F.when(F.col("_last"), F.col("chosen")).alias("chosen"),
+        F.when(F.col("_last"), F.col("rejected")).alias("rejected"),
     )
 
 
@@ -89,11 +124,13 @@ def preference_pairs(
 ) -> DataFrame:
     """Triples from instruction rows and one generated answer (``text``) for each.
 
-    With ``n``: the first ``n`` good rows out of an over-fetched prefix.
+    With ``n``: the first ``n`` good rows out of an over-fetched prefix, which is stored
+    once, as are the pairs in it.
     """
     wanted = generation_input(source, key, n)
     if n is not None:
-        generations = with_few_keys(generations, wanted, key, over_fetch(n))
+        wanted = materialise(wanted)
+        generations = generations.join(wanted.select(key), key, "left_semi")
     pairs = (
         wanted.join(generations.select(key, strip("text").alias("rejected")), key)
         .filter(rejected_usable())
@@ -104,8 +141,7 @@ def preference_pairs(
             "rejected",
         )
     )
-    # The prefix bounds what reaches the one task of the limit.
-    return pairs if n is None else pairs.orderBy(key).limit(n)
+    return pairs if n is None else first_rows(materialise(pairs), n, [key])
 
 
 def preference_counts(candidates: DataFrame, key: str, n: int) -> DataFrame:
@@ -116,12 +152,14 @@ def preference_counts(candidates: DataFrame, key: str, n: int) -> DataFrame:
     ``n``-th accepted one, so short rows in between still count as skipped.
     """
     at, long, good = F.col("_key"), F.col("_long"), F.col("_good")
-    rows = candidates.select(
-        F.col(key).alias("_key"),
-        chosen_long_enough().alias("_long"),
-        (chosen_long_enough() & rejected_usable()).alias("_good"),
+    rows = materialise(
+        candidates.select(
+            F.col(key).alias("_key"),
+            chosen_long_enough().alias("_long"),
+            (chosen_long_enough() & rejected_usable()).alias("_good"),
+        )
     )
-    accepted = rows.filter(good).orderBy(at).limit(n)
+    accepted = first_rows(rows.filter(good), n, ["_key"])
     nth = accepted.agg(F.when(F.count(F.lit(1)) == n, F.max(at))).scalar()
     stop = rows.filter(long & (at > nth)).agg(F.min(at)).scalar()
     return rows.agg(
@@ -134,25 +172,32 @@ def score_pairs(comments: DataFrame, key: str, *keep: str) -> DataFrame:
     """Best and worst scored comment of each post.
 
     ``comments``: (key, position, body, score, ``keep`` columns that are constant within
-    a key). Equal scores go by position; posts whose scores are all equal are left out.
+    a key). Equal scores go by position; posts whose scores are all equal are left out, as are
+    comments without a score. Positions are unique within a key.
     """
+    scored = comments.filter("score IS NOT NULL")
     rank = F.struct(F.col("score"), -F.col("position"))
-    return (
-        comments.groupBy(key)
+    ends = (
+        scored.groupBy(key)
         .agg(
             *[F.min(name).alias(name) for name in keep],
-            F.max(F.struct(rank.alias("rank"), "body", "score")).alias("_best"),
-            F.min(F.struct(rank.alias("rank"), "body", "score")).alias("_worst"),
+            F.max(rank).alias("_best"),
+            F.min(rank).alias("_worst"),
         )
         .filter(F.col("_best.score") > F.col("_worst.score"))
-        .select(
-            key,
-            *keep,
-            F.col("_best.body").alias("chosen"),
-            F.col("_worst.body").alias("rejected"),
-            F.col("_best.score").alias("chosen_score"),
-            F.col("_worst.score").alias("rejected_score"),
-        )
+    )
+    # Only numbers are compared; the two texts of a post are fetched by their place.
+    bodies = scored.join(
+        ends.select(key, F.explode(F.array("_best.col2", "_worst.col2")).alias("_place")), key
+    ).filter(-F.col("position") == F.col("_place"))
+    texts = bodies.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_place", "body"))).alias("_texts"))
+    return ends.join(texts, key).select(
+        key,
+        *keep,
+        F.col("_texts")[F.col("_best.col2")].alias("chosen"),
+        F.col("_texts")[F.col("_worst.col2")].alias("rejected"),
+        F.col("_best.score").alias("chosen_score"),
+        F.col("_worst.score").alias("rejected_score"),
     )
 
 
@@ -160,30 +205,27 @@ def post_pairs(posts: DataFrame, *keep: str) -> DataFrame:
     """The same from posts that hold their comments in an array: no shuffle.
 
     Posts: (title, selftext, comments of (body, score)); the prompt is rendered from
-    title and selftext.
+    title and selftext. Comments without a score are left out.
     """
-    ranked = F.array_sort(
-        F.transform(
-            "comments",
-            lambda c, i: F.struct(
-                (-c["score"]).alias("down"), i.alias("position"), c["body"].alias("body")
-            ),
-        )
+    places = F.transform(
+        "comments",
+        lambda c, i: F.when(
+            c["score"].isNotNull(), F.struct((-c["score"]).alias("down"), i.alias("position"))
+        ),
     )
+    ranked = F.filter(places, lambda c: c.isNotNull())
+
+    def body(at: str) -> Column:
+        return F.element_at("comments", F.col(at)["position"] + 1)["body"]
+
     return (
-        posts.select(*keep, "title", "selftext", ranked.alias("_ranked"))
-        .filter(F.size("_ranked") > 1)
-        .select(
-            *keep,
-            inference_prompt("title", "selftext").alias("prompt"),
-            F.element_at("_ranked", 1).alias("_best"),
-            F.element_at("_ranked", -1).alias("_worst"),
-        )
+        posts.select(*keep, "title", "selftext", "comments", ranked.alias("_ranked"))
+        .withColumns({"_best": F.array_min("_ranked"), "_worst": F.array_max("_ranked")})
         .filter(F.col("_best.down") < F.col("_worst.down"))
         .select(
             *keep,
-            "prompt",
-            F.col("_best.body").alias("chosen"),
-            F.col("_worst.body").alias("rejected"),
+            inference_prompt("title", "selftext").alias("prompt"),
+            body("_best").alias("chosen"),
+            body("_worst").alias("rejected"),
         )
     )

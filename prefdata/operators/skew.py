@@ -6,28 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a small, badly split input before row-local CPU work.
-
-    An input that already has a partition per core is left alone: no shuffle is added
-    to a large scan. Meant for scans, whose number of partitions is known unrun.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+# Inputs below this size are shared out over all cores before row-local work.
+SMALL_INPUT_BYTES = 256 << 20
 
 
-def with_few_keys(rows: DataFrame, keys: DataFrame, key: str, at_most: int) -> DataFrame:
-    """Rows whose key is in ``keys``, of which there are ``at_most`` so many.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a small scan, so that its row-local CPU work uses all cores.
 
-    Up to a million keys are broadcast, so that ``rows`` is filtered where it is read;
-    beyond that Spark chooses from the sizes it sees.
+    Small is a matter of bytes, as Spark estimates them for the scan: however many cores
+    there are, a large table is not shuffled.
     """
-    keys = keys.select(key)
-    if at_most <= 1_000_000:
-        keys = F.broadcast(keys)
-    return rows.join(keys, key, "left_semi")
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SMALL_INPUT_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def salted_join(

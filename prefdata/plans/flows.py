@@ -49,40 +49,58 @@ def preference_data(
     load_model: Loader,
     model_name: str,
     path: str,
-    n: int | None = fixed.NUM_PREFERENCE_ROWS,
+    n: int | None = None,
     tasks: int | None = None,
-) -> None:
+    most_failed: float = 0.5,
+) -> dict[str, int]:
     """Triples with answers of a model as the rejected side, in the model's folder.
 
-    Only rows that are long enough get an answer, as that is the costly step.
+    Only rows that are long enough get an answer, as that is the costly step. Gives the
+    numbers of rows asked, failed, accepted and skipped; with a greater share of failed rows than
+    ``most_failed`` the run stops. ``n``: as many triples at most.
     """
     wanted = pref.generation_input(source, key, n)
     prompts = wanted.select(key, inference_prompt("instruction", "input").alias("prompt"))
     answers = materialise(
         batch_generate(prompts, key, load_model, model_name, tasks=tasks)
     )
-    pairs = pref.preference_pairs(source, answered(answers), key, n)
+    asked, failed = _counted(answers, most_failed)
+    pairs = materialise(pref.preference_pairs(source, answered(answers), key, n))
     sinks.write_per_model(
         pairs.select(
             "prompt", "chosen", "rejected", F.lit(model_name).alias("model")
         ),
         path,
     )
+    accepted = pairs.count()
+    return {
+        "asked": asked, "failed": failed, "accepted": accepted, "skipped": asked - failed - accepted,
+    }
+
+
+def _counted(answers: DataFrame, most_failed: float) -> tuple[int, int]:
+    """Prompts asked and failed; raises where too many failed."""
+    row = answers.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("failed")).first()
+    if row["failed"] > most_failed * row["n"]:
+        example = answers.filter("error IS NOT NULL").select("error").first()[0]
+        raise RuntimeError(f"{row['failed']} of {row['n']} prompts have no answer: {example}")
+    return row["n"], row["failed"]
 
 
 def transcript_data(
-    transcripts: DataFrame, key: str, path: str, n: int = fixed.NUM_TRANSCRIPTS
+    transcripts: DataFrame, key: str, path: str, n: int | None = None
 ) -> None:
-    """Triples from the first ``n`` pairs of dialogues, as JSON lines."""
-    pairs = pref.transcript_pairs(first_rows(transcripts, n, [key]))
-    sinks.write_jsonl(pairs, path)
+    """Triples from all pairs of dialogues, or from the first ``n``, as JSON lines."""
+    rows = transcripts if n is None else first_rows(transcripts, n, [key])
+    sinks.write_jsonl(pref.transcript_pairs(rows), path)
 
 
 def prompt_data(
-    source: DataFrame, key: str, path: str, n: int = fixed.NUM_PROMPTS
+    source: DataFrame, key: str, path: str, n: int | None = None
 ) -> None:
-    """Short enough prompts of the first ``n`` instruction rows, as JSON lines."""
-    sinks.write_jsonl(ins.prompt_set(first_rows(source, n, [key])), path)
+    """Short enough prompts of all instruction rows, or of the first ``n``, as JSON lines."""
+    rows = source if n is None else first_rows(source, n, [key])
+    sinks.write_jsonl(ins.prompt_set(rows), path)
 
 
 def advantage_data(
@@ -111,8 +129,13 @@ def document_data(
     overlap: int = fixed.CHUNK_OVERLAP,
     separator: str = BLANK_LINES,
     tasks: int | None = None,
-) -> DataFrame:
-    """Question/answer rows about the text files of a folder; gives the rejected files."""
+    most_failed: float = 0.5,
+) -> tuple[DataFrame, dict[str, int]]:
+    """Question/answer rows about the text files of a folder.
+
+    Gives the rejected files, and the numbers of chunks asked and failed and of rows. With a greater
+    share of failed chunks than ``most_failed`` the run stops.
+    """
     documents, rejects = read_documents(spark, folder)
     chunks = docs.document_chunks(
         documents, "path", size=size, overlap=overlap, separator=separator
@@ -123,9 +146,10 @@ def document_data(
     replies = materialise(
         batch_generate(requests, "chunk_id", load_model, model_name, tasks=tasks)
     )
-    rows = docs.qa_rows(answered(replies), reply="text")
+    asked, failed = _counted(replies, most_failed)
+    rows = materialise(docs.qa_rows(answered(replies), reply="text"))
     sinks.write_jsonl(rows, path)
-    return rejects
+    return rejects, {"chunks": asked, "failed": failed, "rows": rows.count()}
 
 
 def evaluation_data(
@@ -137,7 +161,11 @@ def evaluation_data(
     seed: int = fixed.SEED,
     names: list[str] | None = None,
 ) -> DataFrame:
-    """Summary of each model on a seeded sample of triples; also written as JSON."""
+    """Summary of each model on a seeded sample of triples; also written as JSON.
+
+    An answer that fails ends the run: means over the answers that a model gave would make
+    it look better than it is.
+    """
     sample = materialise(
         seeded_sample(pairs, n, key, seed).select(
             F.col(key).alias("sample_id"), "prompt", "chosen", "rejected"
@@ -148,9 +176,9 @@ def evaluation_data(
         for name, load in models.items()
         if not names or name in names
     ]
-    predictions = materialise(
-        answered(ins.concatenate(*answers)).withColumnRenamed("text", "answer")
-    )
+    every = materialise(ins.concatenate(*answers))
+    _counted(every, 0.0)
+    predictions = answered(every).withColumnRenamed("text", "answer")
     scores = ev.sample_scores(predictions, sample, ["sample_id", "model"])
     summary = materialise(ev.summarise(scores))
     sinks.write_results(ev.results_document(summary), path)

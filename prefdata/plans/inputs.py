@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prefdata.functions import fixed
-from prefdata.operators.preference import stitch_parts
+from prefdata.operators.preference import stitch, turn_triples
 
 # Turns looked at together. A conversation of any length is cut at this size.
 TURN_BLOCK = 1024
 
-# Later turns count as one model, so that the number of models is bounded.
-LAST_MODEL_TURN = 9
+# Turns are dealt to this many models.
+MODELS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def turn_pairs(conversations: DataFrame) -> DataFrame:
     """Assistant turns right after a user turn: (conv_id, turn, prompt, completion).
 
-    Turns are numbered without gaps. The last turn of a block is copied to the next
-    block, so neighbours are always found within one block and a long conversation is
+    Turns are numbered without gaps; after a gap there is no pair. The last turn of a block
+    is copied to the next block, so neighbours are always found within one block and a long conversation is
     shared out over tasks.
     """
     block = F.floor(F.col("turn") / TURN_BLOCK)
@@ -127,26 +127,28 @@ def document_posts(documents: DataFrame) -> DataFrame:
     )
 
 
-def transcripts(conversations: DataFrame) -> DataFrame:
-    """Whole dialogues with marks: (conv_id, part, text)."""
+def marked_turns(conversations: DataFrame) -> DataFrame:
+    """Turns with their marks: (conv_id, turn, text)."""
     mark = (
         F.when(F.col("role") == "assistant", fixed.ASSISTANT_MARK)
         .when(F.col("role") == "user", fixed.HUMAN_MARK)
         .otherwise("\n\nSystem:")
     )
-    marked = conversations.select(
+    return conversations.select(
         "conv_id", "turn", F.concat(mark, F.lit(" "), "text").alias("text")
     )
-    return stitch_parts(marked, "conv_id", "turn", "text", "")
 
 
-def transcript_rows(conversations: DataFrame) -> DataFrame:
-    """A dialogue as chosen, the one of the next conversation as rejected."""
-    whole = transcripts(conversations)
-    following = whole.select(
-        (F.col("conv_id") - 1).alias("conv_id"), "part", F.col("text").alias("rejected")
-    )
-    return whole.withColumnRenamed("text", "chosen").join(following, ["conv_id", "part"])
+def transcripts(conversations: DataFrame) -> DataFrame:
+    """Whole dialogues with marks: (conv_id, text)."""
+    return stitch(marked_turns(conversations), "conv_id", "turn", "text", "")
+
+
+def transcript_triples(conversations: DataFrame, shortest: int | None = None) -> DataFrame:
+    """A dialogue as chosen, the one of the next conversation as rejected, turn by turn."""
+    following = F.col("conv_id") + 1
+    turns = marked_turns(conversations)
+    return turn_triples(turns, "conv_id", "turn", "text", following, shortest=shortest)
 
 
 def scored_comments(conversations: DataFrame) -> DataFrame:
@@ -199,9 +201,7 @@ def samples(conversations: DataFrame) -> DataFrame:
 
 
 def model_name(turn: str = "turn"):
-    return F.concat(
-        F.lit("turn_"), F.least(F.col(turn), F.lit(LAST_MODEL_TURN)).cast("string")
-    )
+    return F.concat(F.lit("turn_"), (F.col(turn) % MODELS).cast("string"))
 
 
 def predictions(conversations: DataFrame) -> DataFrame:
@@ -216,6 +216,7 @@ def predictions(conversations: DataFrame) -> DataFrame:
 
 
 def manifest(conversations: DataFrame) -> DataFrame:
-    """(model, file): a model has its configuration if users spoke at that turn."""
-    file = F.when(F.col("role") == "user", "config.json").otherwise("notes.txt")
+    """(model, file): a model has its configuration if it ever spoke as the system, or as
+    the user right after it: turns 0 and 1 of the conversations, and those that share their models."""
+    file = F.when(F.col("turn") % MODELS < 2, "config.json").otherwise("notes.txt")
     return conversations.select(model_name().alias("model"), file.alias("file"))

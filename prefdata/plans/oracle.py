@@ -138,11 +138,13 @@ chunks AS (
 
 
 MARKED = """marked AS (
-  SELECT conv_id, turn // 4096 AS part, string_agg(
+  SELECT conv_id, string_agg(
     CASE role WHEN 'assistant' THEN chr(10) || chr(10) || 'Assistant: '
               WHEN 'user' THEN chr(10) || chr(10) || 'Human: '
               ELSE chr(10) || chr(10) || 'System: ' END || text, '' ORDER BY turn) AS text
-  FROM conversations GROUP BY 1, 2)"""
+  FROM conversations GROUP BY 1)"""
+
+IN_PROMPT = "before < length(p.prompt)"
 
 MARK = "chr(10) || chr(10) || 'Assistant:'"
 
@@ -154,12 +156,27 @@ def dialogue_reply(c: str) -> str:
 
 PARSED = f"""{MARKED},
 parsed AS (
-  SELECT a.conv_id, a.part,
+  SELECT a.conv_id,
     CASE WHEN contains(a.text, {MARK})
          THEN array_to_string(string_split(a.text, {MARK})[:-2], {MARK}) || {MARK}
          ELSE a.text END AS prompt,
     {dialogue_reply("a.text")} AS chosen, {dialogue_reply("b.text")} AS rejected
-  FROM marked a JOIN marked b ON b.conv_id = a.conv_id + 1 AND b.part = a.part)"""
+  FROM marked a JOIN marked b ON b.conv_id = a.conv_id + 1),
+turns AS (
+  SELECT conv_id, turn,
+    CASE role WHEN 'assistant' THEN chr(10) || chr(10) || 'Assistant: '
+              WHEN 'user' THEN chr(10) || chr(10) || 'Human: '
+              ELSE chr(10) || chr(10) || 'System: ' END || text AS text FROM conversations),
+reach AS (
+  SELECT *, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM turns)"""
+
+# The piece of the prompt in each turn; the replies stand where the prompt ends.
+BY_TURN = """
+SELECT conv_id, turn, left(r.text, greatest(0, length(p.prompt) - before)::BIGINT) AS prompt,
+  CASE WHEN before + length(r.text) >= length(p.prompt) THEN chosen END AS chosen,
+  CASE WHEN before + length(r.text) >= length(p.prompt) THEN rejected END AS rejected
+FROM parsed p JOIN reach r USING (conv_id)"""
 
 REPLIES = f"""{PAIR},
 good AS (
@@ -224,7 +241,7 @@ def f1(n: str, a: str, b: str) -> str:
     )
 
 
-MODEL = f"'turn_' || least(turn, {inputs.LAST_MODEL_TURN})::VARCHAR"
+MODEL = f"'turn_' || (turn % {inputs.MODELS})::VARCHAR"
 
 SCORES = f"""{PAIR},
 last AS (
@@ -331,11 +348,11 @@ FROM {quota(fixed.SFT_QUOTAS)}""",
 SELECT md5('{fixed.SEED}:' || doc_id) AS shuffle_key, doc_id, text FROM documents
 ORDER BY shuffle_key, doc_id LIMIT {fixed.NUM_EVAL_SAMPLES}""",
     # Preference triples
-    "transcript_stitch": f"WITH {MARKED} SELECT conv_id, part, text FROM marked",
-    "hh_parse": f"WITH {PARSED} SELECT conv_id, part, prompt, chosen, rejected FROM parsed",
+    "transcript_stitch": f"WITH {MARKED} SELECT conv_id, text FROM marked",
+    "hh_parse": f"WITH {PARSED} {BY_TURN} WHERE {IN_PROMPT}",
     "hh_pairs": f"""
-WITH {PARSED} SELECT conv_id, part, prompt, chosen, rejected FROM parsed
-WHERE length(chosen) > 10 AND length(rejected) > 10""",
+WITH {PARSED} {BY_TURN}
+WHERE {IN_PROMPT} AND length(p.chosen) > 10 AND length(p.rejected) > 10""",
     "pref_pairs": ALL_PAIRS,
     "pref_pairs_first": f"""
 {ALL_PAIRS} AND {READ} ORDER BY doc_id LIMIT {q.PAIRS_WANTED}""",
@@ -448,7 +465,7 @@ SELECT sample_id, turn, model, round(rouge_l, 9) AS rouge_l,
     "eval_filtered": f"""
 WITH {SUMMARY} SELECT model, {ROUNDED} FROM summary
 WHERE model IN ({", ".join(text(m) for m in q.MODELS_WANTED)})
-  AND model IN (SELECT {MODEL} FROM conversations WHERE role = 'user')""",
+  AND model IN (SELECT {MODEL} FROM conversations WHERE turn % {inputs.MODELS} < 2)""",
     "eval_best_model": f"""
 WITH {SUMMARY}, long AS (
   SELECT 'rouge_l_mean' AS metric, model, round(rouge_l_mean, 9) AS value FROM summary

@@ -21,7 +21,7 @@ from prefdata.operators import grpo
 from prefdata.operators import instructions as ins
 from prefdata.operators import ordered
 from prefdata.operators import preference as pref
-from prefdata.operators.skew import spread, with_few_keys
+from prefdata.operators.skew import spread
 from prefdata.plans import flows, inputs
 from prefdata.sources import files, schemas, sinks
 from prefdata.sources.scratch import materialise, scratch_folder
@@ -241,14 +241,14 @@ def transcript_stitch(spark, sf_dir):
 
 @query
 def hh_parse(spark, sf_dir):
-    rows = inputs.transcript_rows(_conversations(spark, sf_dir))
-    return pref.parse_transcripts(rows, "conv_id", "part")
+    return inputs.transcript_triples(_conversations(spark, sf_dir))
 
 
 @query
 def hh_pairs(spark, sf_dir):
-    rows = inputs.transcript_rows(_conversations(spark, sf_dir))
-    return pref.transcript_pairs(rows, "conv_id", "part")
+    return inputs.transcript_triples(
+        _conversations(spark, sf_dir), fixed.MIN_TRANSCRIPT_REPLY
+    )
 
 
 def _pair_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -288,8 +288,8 @@ def pref_pairs_first(spark, sf_dir):
 def pref_pairs_counts(spark, sf_dir):
     source, generations = _pair_inputs(spark, sf_dir)
     n_read = pref.over_fetch(PAIRS_WANTED)
-    read = ordered.first_rows(source, n_read, ["doc_id"])
-    answers = with_few_keys(generations, read, "doc_id", n_read)
+    read = materialise(ordered.first_rows(source, n_read, ["doc_id"]))
+    answers = generations.join(read.select("doc_id"), "doc_id", "left_semi")
     return pref.preference_counts(
         _candidates(read, answers), "doc_id", PAIRS_WANTED
     )

@@ -2,33 +2,33 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: dict[str, list[str]] = {}  # by application
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """A new path under the folder that ``spark.checkpoint.dir`` names.
+    """A new path in a folder that all executors share.
 
-    Only a local session may do without that setting; it gets a temporary folder.
-    Nothing is removed from it here, as the caller may still read what was written.
+    That is the one ``spark.checkpoint.dir`` names, else the session's warehouse.
+    ``remove_scratch`` clears what a session wrote.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _local_folder()
-    return f"{shared.rstrip('/')}/prefdata-{uuid.uuid4().hex}"
-
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{shared.rstrip('/')}/prefdata-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
-_local: list[str] = []
 
-
-def _local_folder() -> str:
-    if not _local:
-        _local.append(tempfile.mkdtemp(prefix="prefdata-"))
-    return _local[0]
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the scratch paths of this application; nothing may read them any more."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def materialise(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -30,29 +30,41 @@ def test_golden_chunks(spark):
         assert [r.chunk_no for r in got.collect()] == list(range(len(want)))
 
 
-def chunks_by_hand(paras, size, overlap):
-    """Brute force over paragraph lengths, for comparison."""
-    done, text = [], ""
-    for para in paras:
-        if len(text) + len(para) > size:
-            done += [text.strip()] if text else []
-            text = text[len(text) - min(overlap, len(text)) :]
-        text += para + "\n"
-    return [c for c in done + [text.strip()] if len(c) >= 50]
-
-
 def test_chunks_of_random_documents(spark):
     """Documents of up to 1,000 paragraphs, so that several blocks are folded."""
     rng = random.Random(7)
     rows = []
     for i in range(40):
         n = rng.choice([0, 1, 2, 5, 255, 256, 257, 512, 1000])
-        rows.append((i, [rng.choice("xyz") * rng.randint(1, 120) for _ in range(n)]))
+        rows.append((i, [f"{k}" + rng.choice("xyz") * rng.randint(1, 116) for k in range(n)]))
     df = spark.createDataFrame(rows, "id int, paras array<string>")
     for size, overlap in [(200, 20), (200, 0), (60, 100)]:
         got = df.select("id", "paras", pack("paras", size, overlap).alias("c")).collect()
         for r in got:
-            assert r.c == chunks_by_hand(r.paras, size, overlap)
+            check_chunks(r.paras, r.c, size, overlap)
+
+
+def check_chunks(paras, chunks, size, overlap):
+    """Every paragraph is in a chunk, in order; chunks are as long as the size allows."""
+    assert all(len(c) >= 50 for c in chunks)
+    at = 0  # paragraphs that the chunks so far end with
+    for chunk in chunks:
+        new = paras.index(chunk.split("\n")[-1]) + 1
+        own = "\n".join(paras[at:new])
+        assert chunk.endswith(own)
+        # What is not new is the end of the text before, no longer than the overlap.
+        carried = chunk.removesuffix(own)
+        assert len(carried) <= overlap
+        assert ("\n".join(paras[:at]) + "\n").endswith(carried)
+        if overlap < 50:  # else a dropped short chunk may be carried whole
+            body = len(carried) + sum(len(p) + 1 for p in paras[at:new])
+            # Only the last newline, or a paragraph of its own, passes the size.
+            assert new == at + 1 or body - 1 <= size
+            # The next paragraph would not have fitted.
+            assert new == len(paras) or body + len(paras[new]) > size
+        at = new
+    # Paragraphs without a chunk are too short for one.
+    assert at == len(paras) or len("\n".join(paras[at:])) < 50
 
 
 def test_paragraphs_are_stripped_and_not_empty(spark):

@@ -52,9 +52,10 @@ def test_instruction_data(source, tmp_path):
 
 def test_preference_data(spark, source, loader, tmp_path):
     path = str(tmp_path / "pairs")
-    flows.preference_data(
+    counts = flows.preference_data(
         source, "id", loader(lambda p: "rejected: " + p, "q5"), "m1", path, n=10, tasks=3
     )
+    assert counts == {"asked": 9, "failed": 1, "accepted": 8, "skipped": 0}
     flows.preference_data(source, "id", loader(lambda p: "no"), "m2", path, n=10)
     rows = files.read_jsonl(spark, path, schemas.PREFERENCE + ", model STRING").collect()
     # Of the first 12 rows, 0, 4 and 8 are too short and 5 has no answer.
@@ -89,9 +90,10 @@ def test_document_data(spark, loader, tmp_path):
     def reply(prompt):
         return 'Here: [{"question": "How long?", "answer": "%d characters"}]' % len(prompt)
 
-    rejects = flows.document_data(
+    rejects, counts = flows.document_data(
         spark, str(folder), loader(reply), "m", str(tmp_path / "rows")
     )
+    assert counts == {"chunks": 3, "failed": 0, "rows": 3}
     rows = lines(tmp_path / "rows")
     assert len(rows) == 3
     assert {(r["instruction"], r["input"]) for r in rows} == {("How long?", "")}
@@ -117,5 +119,8 @@ def test_evaluation_data(spark, loader, tmp_path):
         ("better", 1.0, 3.0),
         ("worse", 0.0, 3.0),
     ]
+    failing = {"better": loader(lambda p: "the good answer", "p3")}
+    with pytest.raises(RuntimeError, match="have no answer: RuntimeError: no answer"):
+        flows.evaluation_data(pairs, "id", failing, str(tmp_path / "failed"), n=50)
     written = json.loads("".join(p.read_text() for p in path.glob("part-*")))
     assert list(written) == ["better", "worse"] and written["better"]["win_rate"] == 1.0

@@ -33,19 +33,23 @@ def test_reply_length_limit(spark):
     ]
 
 
-def by_loop(lengths, n):
-    """Accepted positions and number of skips, row by row."""
-    accepted, skipped = [], 0
-    for i, (chosen, rejected) in enumerate(lengths):
-        if chosen < 20:
-            skipped += 1
-        elif len(accepted) >= n:
-            break
-        elif rejected < 10:
-            skipped += 1
-        else:
-            accepted.append(i)
-    return accepted, skipped
+RUN = """
+WITH flags AS (SELECT id, length(chosen) >= 20 AS long,
+    length(chosen) >= 20 AND length(rejected) >= 10 AS good FROM pairs),
+had AS (SELECT *, count(*) FILTER (good) OVER (ORDER BY id) - good::INT AS before FROM flags)
+SELECT count(*) FILTER (good AND before < {n}), count(*) FILTER (NOT good AND id < coalesce(
+  (SELECT min(id) FROM had WHERE long AND before >= {n}), 1000000)) FROM had"""
+
+
+def counts_by_sql(lengths, n):
+    """Accepted and skipped rows from running counts."""
+    import duckdb
+    import pandas as pd
+
+    rows = [(i, "c" * a, "r" * b) for i, (a, b) in enumerate(lengths)]
+    pairs = pd.DataFrame(rows, columns=["id", "chosen", "rejected"]).astype({"id": "int64"})  # noqa: F841
+    pairs = pairs.astype({"chosen": "string", "rejected": "string"})
+    return duckdb.sql(RUN.format(n=n)).fetchall()[0]
 
 
 def pair_frame(spark, lengths):
@@ -62,7 +66,7 @@ def pair_frame(spark, lengths):
     ],
 )
 def test_golden_counts(spark, lengths, n, accepted, skipped):
-    assert by_loop(lengths, n) == (accepted, skipped)
+    assert counts_by_sql(lengths, n) == (len(accepted), skipped)
     got = pref.preference_counts(pair_frame(spark, lengths), "id", n).first()
     assert (got.accepted, got.skipped) == (len(accepted), skipped)
 
@@ -72,12 +76,11 @@ def test_counts_of_random_runs(spark):
     for _ in range(6):
         lengths = [
             (rng.choice([5, 19, 20, 30]), rng.choice([0, 9, 10, 40]))
-            for _ in range(rng.randint(0, 40))
+            for _ in range(rng.randint(1, 40))
         ]
         n = rng.randint(1, 8)
-        accepted, skipped = by_loop(lengths, n)
         got = pref.preference_counts(pair_frame(spark, lengths), "id", n).first()
-        assert (got.accepted, got.skipped) == (len(accepted), skipped)
+        assert (got.accepted, got.skipped) == counts_by_sql(lengths, n)
 
 
 def test_pairs_from_generated_answers(spark):
@@ -150,10 +153,45 @@ def test_pairs_from_posts_are_the_same_and_need_no_shuffle(spark, plan_of):
     assert "Exchange" not in plan_of(pairs)
 
 
-def test_a_long_dialogue_is_stitched_in_parts(spark):
-    rows = [(0, i, f"t{i}") for i in range(25)] + [(1, 0, "only")]
+def test_stitching_does_not_depend_on_the_parts(spark):
+    rows = [(0, i, f"t{i}") for i in range(25)] + [(1, 0, "only"), (2, 10**9, "x"), (2, 7, "y")]
     df = spark.createDataFrame(rows, "conv long, turn long, text string").repartition(5)
-    parts = pref.stitch_parts(df, "conv", "turn", "text", "\n", part_size=10)
-    got = {(r.conv, r.part): r.text for r in parts.collect()}
-    assert got[(1, 0)] == "only" and len(got) == 4
-    assert "\n".join(got[(0, p)] for p in range(3)) == "\n".join(f"t{i}" for i in range(25))
+    for size in (2, 7, 10_000):
+        got = {r.conv: r.text for r in pref.stitch(df, "conv", "turn", "text", "|", size).collect()}
+        assert got == {0: "|".join(f"t{i}" for i in range(25)), 1: "only", 2: "y|x"}
+
+
+def test_triples_by_turn_are_those_of_the_whole_texts(spark, monkeypatch):
+    rng = random.Random(3)
+    marks = [MARK + " ", "\n\nHuman: ", "\n\nSystem: "]
+    dialogues = [
+        [rng.choice(marks) + rng.choice(["a", f"b{MARK} c", " d ", "e" * 12]) for _ in range(n)]
+        for n in [1, 1, 2, 3, 5, 8, 13, 40, 900]
+    ]
+    dialogues.append(["\n\nHuman: x"] * 4)
+    turns = [(c, 3 * t, text) for c, d in enumerate(dialogues) for t, text in enumerate(d)]
+    df = spark.createDataFrame(turns, "c long, t long, text string").repartition(6)
+    pairs = [(c, "".join(a), "".join(b)) for c, (a, b) in enumerate(zip(dialogues, dialogues[1:]))]
+    whole = spark.createDataFrame(pairs, "c long, chosen string, rejected string")
+    for shortest in (None, 3):
+        want = pref.parse_transcripts(whole, "c")
+        if shortest is not None:
+            want = want.filter(pref.replies_long_enough(shortest))
+        pieces = pref.turn_triples(df, "c", "t", "text", pref.F.col("c") + 1, shortest=shortest).collect()
+        got = {}
+        for r in sorted(pieces, key=lambda r: (r.c, r.t)):
+            prompt, _, _ = got.get(r.c, ("", None, None))
+            got[r.c] = (prompt + r.prompt, r.chosen, r.rejected)
+        assert got == {r.c: (r.prompt, r.chosen, r.rejected) for r in want.collect()}
+
+
+def test_comments_without_a_score_are_left_out(spark):
+    rows = COMMENTS + [("one", 3, "none", None), ("none", 0, "x", None), ("none", 1, "y", 1)]
+    df = spark.createDataFrame(rows, "post string, position long, body string, score long")
+    want = [("first", "y", "w"), ("one", "good", "bad")]
+    assert sorted((r.post, r.chosen, r.rejected) for r in pref.score_pairs(df, "post").collect()) == want
+    posts = df.groupBy("post").agg(
+        pref.F.expr("array_sort(collect_list(struct(position, body, score))) AS comments")
+    ).selectExpr("post AS title", "'' AS selftext", "transform(comments, c -> struct(c.body, c.score)) AS comments")
+    got = pref.post_pairs(posts, "title").collect()
+    assert sorted((r.title, r.chosen, r.rejected) for r in got) == want

@@ -93,3 +93,10 @@ def test_advantage_of_a_frequent_group(spark, smallest_piece):
 def test_advantage_has_no_window_and_broadcasts_only_the_frequent_keys(spark, plan_of):
     df = spark.range(10).selectExpr("id % 3 AS prompt_id", "id AS sample_id", "1.0D AS reward")
     assert "Window" not in plan_of(grpo.group_advantage(df))
+
+
+def test_rows_without_a_group_are_a_group(spark):
+    rows = [(1, 1, 0.0), (1, 2, 1.0), (None, 1, 2.0), (None, 2, 4.0)]
+    df = spark.createDataFrame(rows, "prompt_id long, sample_id long, reward double")
+    got = {(r.prompt_id, r.sample_id): r.advantage for r in grpo.group_advantage(df).collect()}
+    assert len(got) == 4 and got[None, 1] == pytest.approx(-1 / (2**0.5 + 1e-4))

@@ -12,7 +12,9 @@ import __spark_entry__ as entry_module
 NAMES = [
     "render_prompt",
     "transcript_stitch",
+    "hh_parse",
     "hh_pairs",
+    "eval_best_model",
     "score_pairs",
     "group_advantage",
     "win_flag",
