@@ -39,7 +39,7 @@ def store(df: DataFrame) -> DataFrame:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored

@@ -6,8 +6,8 @@ of the smaller coordinates of their points, which an R-tree over points turns in
 node is opened only if the query's point and the node's upper corner allow the overlap that
 the wanted similarity needs. Surviving pairs are verified on the sets.
 
-An R-tree over all documents of a corpus would fit no task, and in 64 dimensions it would open most
-nodes. So trees are built per block, and blocks lose no pair: similar sets share one of their
+An R-tree over all documents of a corpus would fit no task, and in so many dimensions it would open
+most nodes. So trees are built per block, and blocks lose no pair: similar sets share one of their
 rarest shingles (prefix filter), hence documents meet in the block of a rare shingle. How rare
 a shingle is comes from a sketch of fixed size over the whole corpus; any order would give
 the same result. Candidate pairs that pass the trees' bounds join documents to families;
@@ -48,17 +48,18 @@ from prefdata.llm.common import (
 
 WORDS = 4
 SIMILARITY = 85  # per cent
-GROUPS = 64
+GROUPS = 256
 SKETCH_BITS = 20
 SLICES = 64  # of the sketch
 SHARD_ROWS = 1_000_000  # shingles of prefixes in a shard, about
 BLOCK_ROWS = 1024  # documents of a rare shingle in a part
 BLOCK_SHINGLES = 400_000  # shingles of a family in a part, about
 LEAF = 16
+FULL = 255
 
 
-def shingles(text: bytes, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a text."""
+def runs_of(text: bytes, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
+    """Hash of each run of ``size`` words; a shorter text is one run."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
@@ -67,7 +68,12 @@ def shingles(text: bytes, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
     run = h[: len(h) - size + 1]
     for k in range(1, size):
         run = chain(run, h[k : len(h) - size + 1 + k])
-    return np.unique(finish(run))
+    return run
+
+
+def shingles(text: bytes, hashes: WordHashes, size: int = WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a text."""
+    return np.unique(finish(runs_of(text, hashes, size)))
 
 
 def needed(a, b, similarity: int = SIMILARITY):
@@ -80,14 +86,14 @@ def _cells(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch_of(docs: DataFrame, size: int) -> np.ndarray:
-    """Documents per cell of shingles, over the whole corpus. 2 ** SKETCH_BITS numbers."""
+    """Occurrences per cell of shingles, over the whole corpus. 2 ** SKETCH_BITS numbers."""
 
     def count(batches):
-        hashes, cells = WordHashes(), np.zeros(1 << SKETCH_BITS, np.uint32)
+        hashes, cells = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                cells += 0  # keeps the type
-                np.add.at(cells, _cells(shingles(text, hashes, size)), 1)
+            found = [runs_of(t, hashes, size) for t in batch.column("text").to_pylist()]
+            if found:
+                cells += np.bincount(_cells(finish(np.concatenate(found))), minlength=len(cells))
         salt = int(cells[:64].sum()) % 16
         yield {
             "slice": list(range(SLICES)),
@@ -120,8 +126,19 @@ def sketch_of(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def point(hashes: np.ndarray) -> np.ndarray:
-    """Shingles per group. The group is taken from other bits than the sketch's cell."""
-    return np.bincount((hashes % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    """Shingles per group, a byte each. The group is taken from other bits than the sketch's cell.
+
+    A set with more than 254 shingles in a group (tens of thousands in all) has the point
+    ``FULL`` everywhere, which every bound lets pass.
+    """
+    counts = np.bincount((hashes % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
+    return np.full(GROUPS, FULL, np.uint8) if counts.max() >= FULL else counts.astype(np.uint8)
+
+
+def bounds(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Shingles that points allow at most: the sum of the smaller coordinates."""
+    least = np.minimum(a, b).sum(axis=-1, dtype=np.int64)
+    return np.where((a[..., 0] == FULL) | (b[..., 0] == FULL), 1 << 40, least)
 
 
 def rare_prefix(hashes: np.ndarray, sketch: np.ndarray, similarity: int) -> np.ndarray:
@@ -142,7 +159,7 @@ def _sets(docs: DataFrame, sketch: np.ndarray, size: int, similarity: int) -> Da
                 "doc_id": batch.column("doc_id"),
                 "n_shingles": [len(s) for s in sets],
                 "print": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                "point": [point(s).astype("<u4").tobytes() for s in sets],
+                "point": [point(s).tobytes() for s in sets],
                 "rare": [rare_prefix(s, sent.value, similarity).tobytes() if len(s) else b"" for s in sets],
             }
 
@@ -232,20 +249,40 @@ class CountTree:
             asking, sizes = asking[fits], sizes[fits]
             # The smallest set that is still similar needs the smallest overlap.
             least = needed(sizes, np.maximum(low, -(-similarity * sizes // 100)), similarity)
-            bound = np.minimum(self.points[asking], corner).sum(axis=1)
-            asking = asking[bound >= least]
+            asking = asking[bounds(self.points[asking], corner) >= least]
             if not len(asking):
                 continue
             if children:
                 todo += [(child, asking) for child in children]
                 continue
-            bound = np.minimum(self.points[asking][:, None, :], self.points[own][None, :, :]).sum(axis=2)
+            bound = bounds(self.points[asking][:, None, :], self.points[own][None, :, :])
             a, b = self.sizes[asking][:, None], self.sizes[own][None, :]
             alike = (bound >= needed(a, b, similarity)) & (asking[:, None] != own[None, :])
+            alike &= 100 * np.minimum(a, b) >= similarity * np.maximum(a, b)
             q, r = np.nonzero(alike)
             yield asking[q], own[r]
 
 
+def _alike(points, sizes, start, similarity) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows within a run that may be similar. A run that fits a leaf needs no tree."""
+    end = np.append(start[1:], len(sizes))
+    run_end = np.repeat(end, end - start)
+    small = np.repeat(end - start <= LEAF, end - start)
+    yield np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for gap in range(1, LEAF):
+        a = np.flatnonzero(small & (np.arange(len(sizes)) + gap < run_end))
+        b = a + gap
+        near = 100 * np.minimum(sizes[a], sizes[b]) >= similarity * np.maximum(sizes[a], sizes[b])
+        a, b = a[near], b[near]
+        bound = bounds(points[a], points[b])
+        yield tuple(side[bound >= needed(sizes[a], sizes[b], similarity)] for side in (a, b))
+    for at, to in zip(start, end):
+        if to - at > LEAF:
+            tree = CountTree(points[at:to], sizes[at:to])
+            for a, b in tree.search(np.arange(to - at), similarity):
+                yield a + at, b + at
+
+
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """For each of n nodes the smallest node that it is joined with."""
     label = np.arange(n)
@@ -258,22 +295,30 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
-def _runs(batches, keys: tuple[str, ...]) -> Iterator[pd.DataFrame]:
-    """Consecutive rows with equal keys, from batches sorted by them."""
+def _whole_runs(batches, keys: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of sorted batches with the starts of the runs of equal keys; no run is divided."""
     held = None
     for batch in batches:
-        rows = batch.to_pandas()
-        rows = rows if held is None else pd.concat([held, rows], ignore_index=True)
-        if not len(rows):
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        if not rows.num_rows:
             continue
-        values = rows[list(keys)].to_numpy()
-        edges = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
-        edges = [0, *edges.tolist(), len(rows)]
-        for a, b in zip(edges[:-2], edges[1:-1]):
-            yield rows.iloc[a:b]
-        held = rows.iloc[edges[-2] :]
-    if held is not None and len(held):
-        yield held
+        start = _starts(rows, keys)
+        last = int(start[-1])
+        if last:
+            yield rows.slice(0, last), start[:-1]
+        held = rows.slice(last)
+    if held is not None and held.num_rows:
+        yield held, np.zeros(1, np.int64)
+
+
+def _starts(rows: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for key in keys:
+        values = rows.column(key).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(new)
 
 
 def _sorted_by(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -296,16 +341,13 @@ def _candidate_edges(meetings: DataFrame, leaders: DataFrame, similarity: int) -
 
     def search(batches):
         def each():
-            for run in _runs(batches, ("key", "part_a", "part_b")):
-                if len(run) < 2:
-                    continue
-                points = np.frombuffer(b"".join(run["point"]), "<u4").reshape(len(run), GROUPS).astype(np.int32)
-                tree = CountTree(points, run["n_shingles"].to_numpy())
-                pairs = list(tree.search(np.arange(len(run)), similarity))
-                if pairs:
-                    label = roots(len(run), *(np.concatenate(side) for side in zip(*pairs)))
-                    ids, joined = run["doc_id"].to_numpy(), np.flatnonzero(label != np.arange(len(run)))
-                    yield ids[joined], ids[label[joined]]
+            for rows, start in _whole_runs(batches, ("key", "part_a", "part_b")):
+                points = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint8).reshape(-1, GROUPS)
+                sizes, ids = rows.column("n_shingles").to_numpy(), rows.column("doc_id").to_numpy()
+                pairs = list(_alike(points, sizes, start, similarity))
+                label = roots(len(ids), *(np.concatenate(side) for side in zip(*pairs)))
+                joined = np.flatnonzero(ids != ids[label])
+                yield ids[joined], ids[label[joined]]
 
         yield from _put_out(each(), ("a", "b"))
 
@@ -368,25 +410,16 @@ def _links(docs: DataFrame, families: DataFrame, size: int, similarity: int) ->
 
     def verify(batches):
         def each():
-            for run in _runs(batches, ("family", "part_a", "part_b")):
-                run = run.drop_duplicates(["doc_id", "shingles"])
-                all_sets = [np.frombuffer(s, np.uint64) for s in run["shingles"]]
-                ids, part = run["doc_id"].to_numpy(), run["part"].to_numpy()
-                a = np.flatnonzero(part == run["part_a"].iloc[0])
-                b = np.flatnonzero(part == run["part_b"].iloc[0])
-                if not len(a) or not len(b):
-                    continue
-                size_a, size_b = (np.array([len(all_sets[i]) for i in side]) for side in (a, b))
-                shared = overlaps([all_sets[i] for i in a], [all_sets[i] for i in b])
-                linked = shared >= needed(size_a[:, None], size_b[None, :], similarity)
-                linked &= ids[a][:, None] != ids[b][None, :]
-                x, y = np.nonzero(linked)
-                label = roots(len(run), a[x], b[y])
-                copies, links = run["copies"].to_numpy(), np.zeros(len(run), np.int64)
-                links[a] += linked @ copies[b]
-                if run["part_a"].iloc[0] != run["part_b"].iloc[0]:
-                    links[b] += copies[a] @ linked
-                yield ids, ids[label], links
+            for rows, start in _whole_runs(batches, ("family", "part_a", "part_b")):
+                names = ("doc_id", "copies", "part", "part_a", "part_b")
+                ids, copies, part, part_a, part_b = (rows.column(c).to_numpy() for c in names)
+                packed = rows.column("shingles").to_pylist()
+                for at, to in zip(start, np.append(start[1:], len(ids))):
+                    once = list({(i, s): k for k, (i, s) in enumerate(zip(ids[at:to], packed[at:to]), at)}.values())
+                    a = [k for k in once if part[k] == part_a[k]]
+                    b = [k for k in once if part[k] == part_b[k]]
+                    if a and b:
+                        yield _verified(ids, copies, packed, a, b, similarity)
 
         yield from _put_out(each(), ("doc_id", "root", "links"))
 
@@ -395,6 +428,22 @@ def _links(docs: DataFrame, families: DataFrame, size: int, similarity: int) ->
     )
 
 
+def _verified(ids, copies, packed, a: list[int], b: list[int], similarity: int):
+    """(doc_id, root, links) of the rows a and b of one run: all links between the two sides."""
+    sets = [[np.frombuffer(packed[k], np.uint64) for k in side] for side in (a, b)]
+    sizes = [np.array([len(s) for s in side]) for side in sets]
+    linked = overlaps(*sets) >= needed(sizes[0][:, None], sizes[1][None, :], similarity)
+    linked &= ids[a][:, None] != ids[b][None, :]
+    x, y = np.nonzero(linked)
+    if a == b:
+        own, left, right = ids[a], x, y
+        links = linked @ copies[b]
+    else:
+        own, left, right = ids[a + b], x, y + len(a)
+        links = np.concatenate([linked @ copies[b], copies[a] @ linked])
+    return own, own[roots(len(own), left, right)], links.astype(np.int64)
+
+
 def join(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row."""
     sketch = sketch_of(docs, size)
