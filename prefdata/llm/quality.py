@@ -15,6 +15,7 @@ an empty table gives an empty result; a null doc_id never teaches.
 """
 
 import math
+import re
 from collections import Counter
 from operator import eq
 
@@ -29,12 +30,16 @@ MAX_TRAINING_ROWS = 20_000  # labelled rows that teach
 MAX_EVIDENCE = 12.0  # log-odds that a text can show at most
 STRENGTH = (2.0, 1e4)  # prior documents that a site's parent counts for
 
-_UPPER = bytes(range(65, 91))
-_LOWER = bytes(range(97, 123))
+_LETTERS = bytes([*range(65, 91), *range(97, 123)])
+_INNER_CAPITAL = re.compile(rb"[A-Za-z][A-Z]")
 _DIGITS = b"0123456789"
 _SIGNS = b"!#$%&*+/<=>@[\\]^_`{|}~"
 _SHARES = np.array([0.001, 0.01, 0.03, 0.07, 0.15, 0.3, 0.5, 0.8])
-FEATURES = ("capitals", "digits", "signs", "variety", "echo", "top_word", "word_length", "lines", "length")
+FEATURES = ("capitals", "digits", "signs", "echo", "variety", "top_word", "word_length", "lines")
+# Three features look at repetition; together they count for one and a half.
+WEIGHTS = (1.0, 1.0, 1.0, 0.5, 0.5, 0.5, 1.0, 1.0)
+FEW_WORDS = 16  # too few to tell repetition from chance
+FEW_LINES = 4
 
 
 def features(text: bytes) -> list[int]:
@@ -44,32 +49,30 @@ def features(text: bytes) -> list[int]:
     if not n:
         return [0] * len(FEATURES)
     size = len(text)
-    upper = size - len(text.translate(None, _UPPER))
-    lower = size - len(text.translate(None, _LOWER))
+    letters = size - len(text.translate(None, _LETTERS))
+    signs = size - len(text.translate(None, _SIGNS))
     counts = Counter(words)
     lines = text.split(b"\n")
     size_class = min(int(math.log2(n)), 12)
     shares = np.searchsorted(
         _SHARES,
         [
-            upper / max(1, upper + lower),
+            2 * len(_INNER_CAPITAL.findall(text)) / max(1, letters),
             (size - len(text.translate(None, _DIGITS))) / size,
-            (size - len(text.translate(None, _SIGNS))) / size,
-            len(counts) / n,
+            signs / size,
             sum(map(eq, words, words[1:])) / n,
+            len(counts) / n,
             max(counts.values()) / n,
         ],
     ).tolist()
-    # Variety and top word mean little without the length.
-    shares[3] += 16 * size_class
-    shares[5] += 16 * size_class
-    letters = (size - n) / n
-    return [
-        *shares,
-        min(int(letters), 20),
-        int(np.searchsorted(_SHARES, 1 - len(set(lines)) / len(lines))),
-        size_class,
-    ]
+    # Variety and top word go by the length; of few words neither says anything.
+    for k in (4, 5):
+        shares[k] += 16 * size_class
+    word_length = min(int((size - n - signs) / n), 20)
+    if n < FEW_WORDS:
+        shares[3:], word_length = [0, 0, 0], 0
+    repeated = 1 - len(set(lines)) / len(lines) if len(lines) >= FEW_LINES else 0
+    return [*shares, word_length, int(np.searchsorted(_SHARES, repeated))]
 
 
 def train(
@@ -117,7 +120,9 @@ def evidence_of(model: dict):
     ratios = model["ratios"]
 
     def evidence(texts: list[bytes]) -> np.ndarray:
-        sums = [sum(ratios.get(x, 0.0) for x in enumerate(features(t))) for t in texts]
+        sums = [
+            sum(w * ratios.get(x, 0.0) for w, x in zip(WEIGHTS, enumerate(features(t)))) for t in texts
+        ]
         return np.clip(np.array(sums, dtype=float), -MAX_EVIDENCE, MAX_EVIDENCE)
 
     return evidence

@@ -15,11 +15,10 @@ an empty result; other columns of the input are not looked at.
 import math
 import re
 import unicodedata
-from collections import Counter
-
 import ahocorasick
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +38,9 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "clownfish",
 
 MAX_TRAINING_ROWS = 20_000  # labelled rows that teach
 MAX_TERMS = 5_000  # terms in the lexicon, the best supported first
-MIN_WEIGHT = 3.0  # log-odds of a term
+MIN_WEIGHT = 3.0  # log-odds of a term, less one standard error
+MIN_PLACES = (5, 0.02)  # places of a term in toxic texts: a number, and a share of the texts
+CHANCE_WEIGHT = 4.0  # weight in a text that counts for nothing
 PREFIX = (4, 16)  # letters of a term
 
 _TABLE = {ord(a): b for a, b in zip(CYRILLIC + GREEK + SIGNS, CYRILLIC_AS + GREEK_AS + SIGNS_AS)}
@@ -56,26 +57,28 @@ def fold(text: str) -> str:
     return f" {' '.join(text.translate(_TABLE).split())} "
 
 
-def _incidences(batches):
-    """Texts per folded word, among toxic and other texts."""
-    toxic, other = Counter(), Counter()
+def _contexts(batches):
+    """Distinct (word, word before) of the folded texts, among toxic and other texts."""
+    held: dict[tuple[str, str], int] = {}
     for batch in batches:
         texts, labels = batch.column("text").to_pylist(), batch.column("label").to_pylist()
         for text, label in zip(texts, labels):
-            (toxic if label else other).update(set(fold(text.decode()).split()))
-        if len(toxic) + len(other) > 400_000:
-            yield _counted(toxic, other)
-            toxic, other = Counter(), Counter()
-    if toxic or other:
-        yield _counted(toxic, other)
-
-
-def _counted(toxic: Counter, other: Counter) -> dict:
-    words = list(toxic.keys() | other.keys())
+            words = fold(text.decode()).split()
+            kind = 2 if label else 1
+            for pair in set(zip(words, ["", *words])):
+                held[pair] = held.get(pair, 0) | kind
+        if len(held) > 300_000:
+            yield _listed(held)
+            held = {}
+    if held:
+        yield _listed(held)
+
+
+def _listed(held: dict) -> dict:
     return {
-        "word": words,
-        "toxic": [toxic[w] for w in words],
-        "other": [other[w] for w in words],
+        "word": [w for w, _ in held],
+        "before": [xxhash.xxh3_64_intdigest(b.encode()) >> 1 for _, b in held],
+        "kind": list(held.values()),
     }
 
 
@@ -83,18 +86,21 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, fl
     """Weight of each term, from (text, label).
 
     A term is a word's beginning with a weight of at least ``MIN_WEIGHT`` that no single
-    longer beginning could replace, and of which no part is a term. It has to occur in
-    five toxic texts and in one of two hundred.
+    longer beginning could replace, and of which no part is a term. What counts is after
+    how many different words it stands in toxic and in other texts, as copies of a text
+    repeat its words in the same places; there have to be ``MIN_PLACES`` in toxic texts.
     """
     one_per_text = sample.select(text_bytes().alias("text"), "label").dropDuplicates()
     sizes = one_per_text.groupBy("label").count().collect()
     n = {bool(r["label"]): r["count"] for r in sizes}
     n_toxic, n_other = n.get(True, 0), n.get(False, 0)
-    support = max(5, n_toxic / 200)
+    support = max(MIN_PLACES[0], MIN_PLACES[1] * n_toxic)
     words = (
-        map_batches(one_per_text, _incidences, "word string, toxic long, other long")
+        map_batches(one_per_text, _contexts, "word string, before long, kind int")
+        .groupBy("word", "before")
+        .agg(F.bit_or("kind").alias("kind"))
         .groupBy("word")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+        .agg(F.count_if(F.col("kind") >= 2).alias("toxic"), F.count_if(F.col("kind") % 2 == 1).alias("other"))
     )
     low, high = PREFIX
     lengths = F.sequence(F.lit(low), F.least(F.length("word"), F.lit(high)))
@@ -110,9 +116,10 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, fl
         .filter(F.col("toxic") >= support)
     )
     odds = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("other") + 0.5) / (n_other + 1))
+    # Shares of toxic and other texts, with half a place added to each.
     found = (
         starts.withColumn("weight", F.log(odds))
-        .filter(F.col("weight") >= MIN_WEIGHT)
+        .filter(F.col("weight") - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5)) >= MIN_WEIGHT)
         .orderBy(F.desc("toxic"), "term")
         .limit(4 * max_terms)
         .collect()
@@ -137,30 +144,35 @@ class Matcher:
     def __init__(self, lexicon: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS):
         self.automaton = ahocorasick.Automaton()
         for term, weight in lexicon.items():
-            self.automaton.add_word(f" {term}", (len(term) + 1, weight))
+            self.automaton.add_word(f" {term}", (len(term) + 1, weight, term))
         for phrase in exceptions:
-            self.automaton.add_word(f" {phrase} ", (len(phrase) + 2, None))
+            self.automaton.add_word(f" {phrase} ", (len(phrase) + 2, None, phrase))
         self.empty = not (lexicon or exceptions)
         if not self.empty:
             self.automaton.make_automaton()
 
+    def find(self, folded: str) -> list[tuple[int, int, float, str]]:
+        """(start, end, weight, term) of the hits that no exception phrase holds."""
+        hits, excused = [], []
+        for end, (size, weight, term) in () if self.empty else self.automaton.iter(folded):
+            (excused if weight is None else hits).append((end - size + 1, end, weight, term))
+        if excused:
+            hits = [h for h in hits if not any(x[0] <= h[0] and h[1] <= x[1] for x in excused)]
+        return hits
+
     def weigh(self, text: str) -> tuple[float, int, int]:
         """Weight of all hits, number of hits, words."""
         folded = fold(text)
-        hits, excused = [], []
-        for end, (size, weight) in () if self.empty else self.automaton.iter(folded):
-            span = (end - size + 1, end)
-            (excused if weight is None else hits).append((*span, weight))
-        if excused:
-            hits = [
-                h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in excused)
-            ]
+        hits = self.find(folded)
         return math.fsum(h[2] for h in hits), len(hits), folded.count(" ") - 1
 
 
 def density(weight: float, n_words: int) -> float:
-    """Weight per hundred words; the ten words added keep single words from dominating."""
-    return 100 * weight / (n_words + 10)
+    """Weight per hundred words, beyond what one weak term brings by chance.
+
+    The ten words added keep a text of few words from being all density.
+    """
+    return 100 * max(0.0, weight - CHANCE_WEIGHT) / (n_words + 10)
 
 
 _STEPS = np.array([0.0, *(2.0**k for k in range(-5, 11))])
