@@ -297,6 +297,14 @@ ORACLE: dict[str, str] = {
     "jsonl_roundtrip": """
 SELECT doc_id, 'Write a text in ' || lang AS instruction, source AS input, text AS output
 FROM documents""",
+    "jsonl_lenient": """
+SELECT CASE WHEN lang <> 'fr' THEN doc_id END AS doc_id, CASE WHEN lang <> 'fr' THEN lang END AS lang,
+  CASE WHEN lang <> 'fr' THEN source END AS source,
+  CASE WHEN lang = 'fr' THEN '{"doc_id":' || doc_id END AS _corrupt_record FROM documents""",
+    "text_files_kinds": """
+SELECT DISTINCT lang, CASE WHEN lang = 'de' THEN '.json' ELSE '.txt' END AS extension,
+  CASE WHEN lang = 'de' THEN 'rejected' ELSE 'read' END AS kind,
+  CASE WHEN lang = 'de' THEN '' ELSE '_sft_data.jsonl' END AS output FROM documents""",
     "prefix_scan": f"""
 SELECT doc_id, lang, source, text FROM documents ORDER BY doc_id LIMIT {q.PREFIX_ROWS}""",
     "text_files_scan": """

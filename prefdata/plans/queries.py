@@ -69,6 +69,33 @@ def jsonl_roundtrip(spark, sf_dir):
     return files.read_jsonl(spark, path, "doc_id BIGINT, " + schemas.INSTRUCTION)
 
 
+@query
+def jsonl_lenient(spark, sf_dir):
+    """Lines of French documents are cut off; they come back whole in ``_corrupt_record``."""
+    path = scratch_folder(spark)
+    whole = F.to_json(F.struct("doc_id", "lang", "source"))
+    cut = F.concat(F.lit('{"doc_id":'), F.col("doc_id").cast("string"))
+    line = F.when(F.col("lang") == "fr", cut).otherwise(whole)
+    _documents(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return files.read_jsonl(spark, path, "doc_id BIGINT, lang STRING, source STRING", strict=False)
+
+
+@query
+def text_files_kinds(spark, sf_dir):
+    """Text files are read, and named for their output; German ones are of another kind."""
+    path = scratch_folder(spark)
+    rows = _documents(spark, sf_dir).select("lang", "text")
+    german = F.col("lang") == "de"
+    rows.filter(~german).write.partitionBy("lang").text(path)
+    rows.filter(german).write.mode("append").partitionBy("lang").json(path)
+    read, rejects = files.read_documents(spark, path)
+    lang = F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang")
+    name = F.regexp_extract("output_name", r"/part-[^/_]*(_[^/]*)$", 1)
+    found = read.select(lang, "extension", F.lit("read").alias("kind"), name.alias("output"))
+    other = rejects.select(lang, "extension", F.lit("rejected").alias("kind"), F.lit("").alias("output"))
+    return found.union(other.filter("lang <> ''")).distinct()
+
+
 @query
 def prefix_scan(spark, sf_dir):
     return files.read_prefix(
