@@ -87,13 +87,22 @@ SCHEMA = (
 )
 
 
+def id_type(path: str) -> str:
+    """The smallest unsigned type that holds all ids of a vocabulary."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def packed_rows(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """One row per packed row of the matrix; see ``SCHEMA``. (block, row_no) names it.
 
-    ``ids`` are little-endian uint32; ``cu_seqlens`` are the segments' ends, from 0;
+    ``ids`` are little-endian numbers of ``id_type(path)``, ``ids_crc32`` is taken of them as
+    uint32; ``cu_seqlens`` are the segments' ends, from 0;
     ``position_resets`` are the places at which the position ids start from 0 again.
     """
     path = path or tokenizer_path()
+    kind = id_type(path)
 
     def pack(held: list[tuple]):
         lengths = [len(ids) // 4 for _, _, _, ids in held]
@@ -105,7 +114,8 @@ def packed_rows(docs: DataFrame, capacity: int = CAPACITY, path: str | None = No
             out.append(
                 (
                     name, number, [held[i][0] for i in members], [held[i][1] for i in members],
-                    [held[i][2] for i in members], ends, ends[:-1], ends[-1], zlib.crc32(ids), ids,
+                    [held[i][2] for i in members], ends, ends[:-1], ends[-1], zlib.crc32(ids),
+                    np.frombuffer(ids, "<u4").astype(kind).tobytes(),
                 )
             )
             if len(out) == ROWS_AT_ONCE:
@@ -135,7 +145,8 @@ _NAMES = [part.split()[0] for part in SCHEMA.split(", ")]
 
 def write_packed(docs: DataFrame, path: str, capacity: int = CAPACITY, tokenizer: str | None = None) -> None:
     """Packed rows as Parquet files: ``ids`` as binary, padded with 0 to the full row."""
-    full = F.rpad("ids", 4 * capacity, F.lit(b"\x00"))
+    width = np.dtype(id_type(tokenizer or tokenizer_path())).itemsize
+    full = F.rpad("ids", width * capacity, F.lit(b"\x00"))
     packed_rows(docs, capacity, tokenizer).withColumn("ids", full).write.parquet(path)
 
 

@@ -95,17 +95,17 @@ def test_rows_of_the_matrix(spark, tmp_path):
     ids = {i: whole_ids(t) for i, t in enumerate(TEXTS)}
     seen = defaultdict(list)
     for r in rows:
-        row = np.frombuffer(r["ids"], "<u4")
+        row = np.frombuffer(r["ids"], "<u2")
         assert r["cu_seqlens"][0] == 0 and r["cu_seqlens"][-1] == len(row) == r["length"] <= 256
         assert r["position_resets"] == r["cu_seqlens"][:-1]
-        assert r["ids_crc32"] == zlib.crc32(r["ids"])
+        assert r["ids_crc32"] == zlib.crc32(row.astype("<u4").tobytes())
         for doc, start, a, b in zip(r["doc_ids"], r["starts"], r["cu_seqlens"], r["cu_seqlens"][1:]):
             assert row[a:b].tolist() == ids[doc][start : start + b - a]
             seen[doc].append(b - a)
     assert {i: sum(n) for i, n in seen.items()} == {i: len(x) for i, x in ids.items()}
     T.write_packed(docs, str(tmp_path / "packed"), 256)
     stored = spark.read.parquet(str(tmp_path / "packed")).collect()
-    assert {len(r["ids"]) for r in stored} == {1024}
+    assert {len(r["ids"]) for r in stored} == {512}
     assert T.packed_rows(docs.limit(0)).count() == 0
 
 
