@@ -20,7 +20,7 @@ contexts with a large share of all tokens are spread over shards by the next wor
 Defined cases: a null text is the empty text, which is an end alone; a null doc_id counts as the
 empty text in the fold; rows repeated count each; without training texts every token has an
 equal chance; an empty table gives no rows; other columns are not looked at. Words are told
-apart by 64-bit hashes.
+apart by 64-bit hashes, next words within a context by 40 bits of them.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ ORDER = 2
 MASS = 4.0  # M: weight of the shorter context, in counts
 ADDED = 0.1  # added to each count of the base distribution
 HELD_OUT = 10  # texts whose crc32(doc_id) is 0 modulo this don't train
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 SHARD_TOKENS = 2_000_000  # tokens per shard, about
 FREQUENT = 1000  # a context with more than 1/FREQUENT of all tokens is spread over shards
 QUANTUM = 2e-4  # step of a quantised log10 share; 16 bits reach down to 10**-13
@@ -50,7 +50,7 @@ _END = np.uint64(xxhash.xxh3_64_intdigest(b"\x00 end"))
 
 
 class EliasFano:
-    """A rising sequence of unsigned numbers: low bits as they are, high bits in unary."""
+    """A rising sequence of unsigned numbers: low bits plane by plane, high bits in unary."""
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
@@ -61,8 +61,10 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         low_bits = max(0, (top // max(n, 1)).bit_length() - 1) if top >= n else 0
-        wide = np.arange(low_bits, dtype=np.uint64)
-        low = np.packbits(((values[:, None] >> wide) & np.uint64(1)).astype(np.uint8)) if low_bits else _NONE
+        planes = [
+            np.packbits(((values >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(low_bits)
+        ]
+        low = np.concatenate(planes) if planes else _NONE
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         bits = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
         bits[ones] = 1
@@ -72,10 +74,8 @@ class EliasFano:
         """The sequence, from the two bit arrays."""
         high = np.flatnonzero(np.unpackbits(self.high))[: self.n] - np.arange(self.n)
         found = high.astype(np.uint64) << np.uint64(self.low_bits)
-        if self.low_bits:
-            low = np.unpackbits(self.low)[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            for k in range(self.low_bits):
-                found |= low[:, k].astype(np.uint64) << np.uint64(k)
+        for k, plane in enumerate(self.low.reshape(self.low_bits, -1) if len(self.low) else ()):
+            found |= np.unpackbits(plane)[: self.n].astype(np.uint64) << np.uint64(k)
         return found
 
     def parts(self) -> list[np.ndarray]:
@@ -250,6 +250,27 @@ class _Block:
         return context, word, count, which
 
 
+def _new(values: np.ndarray) -> np.ndarray:
+    """Where a sorted array goes on to another value."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
+def _next_word(word: np.ndarray) -> np.ndarray:
+    """The 40 bits of a word's hash that tell the words after one context apart."""
+    return word >> np.uint64(24)
+
+
+def _asked(context: np.ndarray, word: np.ndarray, shard: np.ndarray, order: int) -> np.ndarray:
+    """The order of a block's questions: by shard, context and word. Contexts come sorted."""
+    if order > 1:
+        rank = np.cumsum(_new(context)).astype(np.uint64)
+        word = rank << np.uint64(40) | _next_word(word)
+    at = np.argsort(word)
+    return at[np.argsort(shard[at].astype(np.uint16 if shard.max(initial=0) < 1 << 16 else np.int64), kind="stable")]
+
+
 def _grow(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return finish(context * np.uint64(0x9E3779B97F4A7C15) + word)
 
@@ -264,24 +285,39 @@ def _ask(blocks: DataFrame, order: int, shards: int, frequent: np.ndarray) -> Da
     """(block, shard, contexts, words, counts): each block's distinct n-grams, by shard."""
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                context, word, count, _ = _Block(row).grams(order)
-                shard = _shards_of(context, word, shards, frequent)
-                at = np.lexsort((word, context, shard))
-                edges = np.searchsorted(shard[at], np.arange(shards + 1))
-                own = [at[a:b] for a, b in zip(edges, edges[1:])]
-                yield {
-                    "block": [row["block"]] * shards,
-                    "shard": list(range(shards)),
-                    "contexts": [_packed_contexts(context[o]) for o in own],
-                    "words": [word[o].tobytes() for o in own],
-                    "counts": [_packed_counts(count[o]) for o in own],
-                }
+        # Row by row, as a row is as large as a task should hold.
+        for row in (b.slice(k, 1).to_pylist()[0] for b in batches for k in range(b.num_rows)):
+            context, word, count, _ = _Block(row).grams(order)
+            shard = _shards_of(context, word, shards, frequent)
+            at = _asked(context, word, shard, order)
+            edges = np.searchsorted(shard[at], np.arange(shards + 1))
+            own = [at[a:b] for a, b in zip(edges, edges[1:])]
+            yield {
+                "block": [row["block"]] * shards,
+                "shard": list(range(shards)),
+                "contexts": [_packed_contexts(context[o]) for o in own],
+                "words": [_packed_words(word[o], order) for o in own],
+                "counts": [_packed_counts(count[o]) for o in own],
+            }
 
     return map_batches(blocks, run, "block long, shard int, contexts binary, words binary, counts binary")
 
 
+def _packed_words(word: np.ndarray, order: int) -> bytes:
+    """Single words whole; next words by the 40 bits of ``_next_word``."""
+    if order == 1:
+        return word.tobytes()
+    return _next_word(word).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _words(raw: bytes, n: int) -> np.ndarray:
+    if len(raw) == 8 * n:
+        return np.frombuffer(raw, np.uint64)
+    whole = np.zeros((n, 8), np.uint8)
+    whole[:, :5] = np.frombuffer(raw, np.uint8).reshape(n, 5)
+    return whole.view("<u8").ravel()
+
+
 def _packed_contexts(context: np.ndarray) -> bytes:
     """Rising contexts as distinct ones and their numbers of words."""
     known, n = np.unique(context, return_counts=True)
@@ -308,14 +344,29 @@ def _counts(raw: bytes) -> np.ndarray:
     return count
 
 
+def _merged(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by context and word, and where another n-gram begins.
+
+    The blocks' questions are sorted, so stable sorts only merge them.
+    """
+    if len(context) and context.any():
+        by_context = np.argsort(context, kind="stable")
+        rank = np.empty(len(context), np.uint64)
+        rank[by_context] = np.cumsum(_new(context[by_context]))
+        if int(rank.max()) >= 1 << 24:
+            order = np.lexsort((word, context))
+            return order, _new(context[order]) | _new(word[order])
+        word = rank << np.uint64(40) | word
+    order = np.argsort(word, kind="stable")
+    return order, _new(word[order])
+
+
 def _sums(rows: pd.DataFrame):
     """Distinct n-grams of a shard in rising order, their counts, and the place of each asked one."""
-    asked = [(_contexts(c), np.frombuffer(w, np.uint64)) for c, w in zip(rows["contexts"], rows["words"])]
+    asked = [(c, _words(w, len(c))) for c, w in zip(map(_contexts, rows["contexts"]), rows["words"])]
     context, word = (np.concatenate(side) for side in zip(*asked))
     count = np.concatenate([_counts(c) for c in rows["counts"]])
-    order = np.lexsort((word, context))
-    new = np.ones(len(order), bool)
-    new[1:] = (context[order[1:]] != context[order[:-1]]) | (word[order[1:]] != word[order[:-1]])
+    order, new = _merged(context, word)
     number = np.empty(len(order), np.int64)
     number[order] = np.cumsum(new) - 1
     total = np.bincount(number, weights=count, minlength=int(new.sum())).astype(np.int64)
@@ -414,7 +465,8 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
             for level in range(1, order + 1):
                 own = said[said["level"] == level].drop_duplicates("shard").sort_values("shard")
                 context, word, _, which = block.grams(level)
-                at = np.lexsort((word, context, _shards_of(context, word, shards, hot if level == 2 else none)))
+                shard = _shards_of(context, word, shards, hot if level == 2 else none)
+                at = _asked(context, word, shard, level)
                 if level > 1:
                     codes[level] = _per_token(at, which, [np.frombuffer(d, "<u2") for d in own["codes"]])
                 if level == 1 or level < order:
