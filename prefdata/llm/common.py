@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from collections.abc import Callable, Iterator
@@ -62,10 +63,19 @@ def map_batches(
             yield pa.RecordBatch.from_arrays(
                 [_array(columns[f.name], f.type) for f in fields], schema=fields
             )
+        give_back_memory()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """A worker lives on after its task; what the task has freed should not stay with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.Array):
         return values.cast(kind)

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from prefdata.llm.common import map_batches, text_bytes
 
 END = 0  # the id after each document
-CACHE_WORDS = 400_000  # in each of two generations
-CACHE_PARTS = 200_000
+CACHE_WORDS = 200_000  # in each of two generations
+CACHE_PARTS = 100_000
 TOKENIZER = "word_bpe_49k.json"
 
 

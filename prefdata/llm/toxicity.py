@@ -37,6 +37,7 @@ QUOTES = "\"'`´‘’“”«»„()[]{}<>*_~|.,;:!?¡¿-–—/\\"
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "clownfish", "idiot proof")
 
 MAX_TRAINING_ROWS = 20_000  # labelled rows that teach
+MAX_HELD = 100_000  # places that a task holds before it passes them on, about
 MAX_TERMS = 5_000  # terms in the lexicon, the best supported first
 MIN_WEIGHT = 3.0  # log-odds of a term, less one standard error
 MIN_PLACES = (5, 0.02)  # places of a term in toxic texts: a number, and a share of the texts
@@ -67,9 +68,9 @@ def _contexts(batches):
             kind = 2 if label else 1
             for pair in set(zip(words, ["", *words])):
                 held[pair] = held.get(pair, 0) | kind
-        if len(held) > 300_000:
-            yield _listed(held)
-            held = {}
+            if len(held) > MAX_HELD:
+                yield _listed(held)
+                held = {}
     if held:
         yield _listed(held)
 
