@@ -78,16 +78,18 @@ def _bounds(rows: DataFrame, ids: np.ndarray, queries: np.ndarray) -> DataFrame:
     return found.groupBy("query").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
 
 
-def _histogram(rows: DataFrame, ids, queries, low, width) -> DataFrame:
-    """(query, bin, n): candidates per bin of ``width`` scores from ``low`` on."""
+def _histogram(rows: DataFrame, ids, queries, low, high, width) -> DataFrame:
+    """(query, bin, n): candidates per bin of ``width`` scores, from ``low`` to ``high``.
+
+    Scores above ``high`` have been counted before.
+    """
 
     def run(batches):
         counts = np.zeros(len(ids) * BINS, np.int64)
         first = np.arange(len(ids)) * BINS
         for _, scores, counted in _scored(batches, ids, queries):
-            inside = counted & (scores >= low)
+            inside = counted & (scores >= low) & (scores <= high)
             bins = np.where(inside, scores - low, 0).astype(np.uint64) // width.astype(np.uint64)
-            inside &= bins < BINS
             counts += np.bincount((bins.astype(np.int64) + first)[inside], minlength=len(counts))
         some = np.flatnonzero(counts)
         yield {"query": (some // BINS).astype(np.int32), "bin": (some % BINS).astype(np.int32), "n": counts[some]}
@@ -104,7 +106,7 @@ def kth_scores(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) ->
     while (high > low).any():
         span = (high.astype(object) - low.astype(object) + BINS) // BINS  # may exceed a long
         width = np.array([min(int(s), _LONG.max) for s in span], np.int64)
-        counts = _histogram(rows, ids, queries, low, width)
+        counts = _histogram(rows, ids, queries, low, high, width)
         above = Window.partitionBy("query").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
         wanted = counts.sparkSession.createDataFrame(
             [(i, int(n)) for i, n in enumerate(rank)], "query int, rank long"

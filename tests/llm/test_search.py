@@ -57,6 +57,14 @@ def test_exact_top_k(spark):
     assert got == exact_top(vectors, 5, whole_product, lambda i: i % 50 == 0)
 
 
+def test_close_scores_and_early_finished_queries(spark):
+    """Scores a few bins apart: a query that is done must not count what lies above its kth."""
+    rng = np.random.default_rng(8)
+    vectors = [(i, (rng.integers(0, 40, 4) / 256).tolist()) for i in range(600)]
+    got = found(T.op7_topk(table(spark, vectors)).collect())
+    assert got == exact_top(vectors, 5, whole_product, lambda i: i % 50 == 0)
+
+
 def test_top_k_block_by_block_and_large_numbers(spark, monkeypatch):
     monkeypatch.setattr(T, "BLOCK", 3)
     vectors = some_vectors(200) + [(500, [3e7, 0.0] * 4), (501, [3e7, 1.0] * 4), (502, [-3e7] * 8)]
