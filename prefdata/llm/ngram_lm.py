@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from prefdata.llm.common import WordHashes, crc_fold, finish, map_batches, parts_for, store, text_bytes
 
-ORDER = 2
+ORDER = 3
 MASS = 4.0  # M: weight of the shorter context, in counts
 ADDED = 0.1  # added to each count of the base distribution
 HELD_OUT = 10  # texts whose crc32(doc_id) is 0 modulo this don't train

@@ -58,6 +58,15 @@ def test_equals_counting(spark, monkeypatch, order, shard):
         assert got[i][5] == pytest.approx(row[5], abs=order * 1.2e-4 * row[1])
 
 
+def test_query_counts_contexts_of_two_words(spark):
+    texts = [prose(k % 9, 30 + k) for k in range(20)] + [None, "the the the"]
+    got = {r["doc_id"]: r["score"] for r in L.op2_lm(frame(spark, texts)).collect()}
+    pairs, triples = (by_hand(enumerate(texts), order, L.MASS) for order in (2, 3))
+    for i, row in triples.items():
+        assert got[i] == pytest.approx(row[5], abs=3 * 1.2e-4 * row[1])
+    assert any(abs(pairs[i][5] - triples[i][5]) > 1 for i in triples)
+
+
 def test_empty_table_and_no_training_texts(spark):
     assert L.score(frame(spark, ["a"]).limit(0)).count() == 0
     held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 10 == 0][0]
