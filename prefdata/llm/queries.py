@@ -12,6 +12,7 @@ from prefdata.llm import (
     jaccard_join,
     mixing,
     ngram_lm,
+    periodic_runs,
     quality,
     sos_packing,
     token_output,
@@ -39,6 +40,7 @@ QUERIES = {
     "op8_html": _of(html_extract.op8_html, "pages"),
     "op9_mixing": _of(mixing.op9_mixing, "documents"),
     "op10_ann": _of(ann.op10_ann, "embeddings"),
+    "op13_periodic_runs": _of(periodic_runs.op13_periodic_runs, "documents"),
 }
 
 # What these operators compute (learned scores, packings, flows, extracted texts) SQL cannot
