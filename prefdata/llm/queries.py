@@ -11,6 +11,7 @@ from prefdata.llm import (
     html_extract,
     jaccard_join,
     mixing,
+    near_dedup,
     ngram_lm,
     periodic_runs,
     quality,
@@ -18,6 +19,7 @@ from prefdata.llm import (
     token_output,
     topk,
     toxicity,
+    whitening,
 )
 from prefdata.llm.common import table
 
@@ -40,6 +42,8 @@ QUERIES = {
     "op8_html": _of(html_extract.op8_html, "pages"),
     "op9_mixing": _of(mixing.op9_mixing, "documents"),
     "op10_ann": _of(ann.op10_ann, "embeddings"),
+    "op11_near_dedup": _of(near_dedup.op11_near_dedup, "embeddings"),
+    "op12_whitening": _of(whitening.op12_whitening, "embeddings"),
     "op13_periodic_runs": _of(periodic_runs.op13_periodic_runs, "documents"),
 }
 
