@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from prefdata.functions import fixed
 from prefdata.functions.rouge import rouge_l_against
 from prefdata.functions.text import word_count
-from prefdata.operators.skew import salted_join
+from prefdata.operators.skew import frequent_keys, salted_join
+from prefdata.sources.buckets import BUCKET_BYTES, Buckets, bucket_count, write_buckets
+from prefdata.sources.scratch import materialise
 
 METRICS = [
     "rouge_l_mean",
@@ -48,21 +52,70 @@ def question_grid(models: DataFrame, questions: list[tuple[str, str]]) -> DataFr
     )
 
 
-def sample_scores(
-    predictions: DataFrame, samples: DataFrame, prediction_id: list[str]
-) -> DataFrame:
-    """ROUGE-L against both answers, win flag and words of each prediction.
+@dataclass(frozen=True)
+class Evaluation:
+    """Predictions and samples stored in buckets of ``sample_id``."""
+
+    predictions: Buckets
+    samples: Buckets
+    prediction_id: list[str]
+
+    def append(self, predictions: DataFrame) -> None:
+        """The predictions of further models."""
+        self.predictions.append(predictions)
+
+    def scores(self) -> DataFrame:
+        """``sample_scores`` of what is stored; bucket meets bucket, without a shuffle.
+
+        Predictions of one sample are as many as there are models. Where a bucket is so large that
+        some samples must have more, their predictions are counted once, in place; those of
+        frequent samples are read by files and joined salted.
+        """
+        predictions, samples = self.predictions.read(), self.samples.read()
+        if self.predictions.largest() <= 4 * BUCKET_BYTES:
+            return _scored(predictions.hint("merge").join(samples, "sample_id"), predictions.columns)
+        sizes = materialise(predictions.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_rows")))
+        frequent = frequent_keys(sizes, "sample_id")
+        few = predictions.join(F.broadcast(frequent), "sample_id", "left_anti")
+        many = self.predictions.read_files().join(F.broadcast(frequent), "sample_id", "left_semi")
+        pairs = few.hint("merge").join(samples, "sample_id").unionByName(
+            salted_join(many, samples, "sample_id", self.prediction_id, sizes)
+        )
+        return _scored(pairs, predictions.columns)
+
+
+def store_evaluation(
+    predictions: DataFrame, samples: DataFrame, prediction_id: list[str], buckets: int | None = None
+) -> Evaluation:
+    """Write both sides once; every metric is then read from there.
 
     ``predictions``: (sample_id, model, answer, elapsed_s and the columns of
     ``prediction_id``, which tell predictions apart); ``samples``: (sample_id, chosen,
     rejected), one row per sample.
     """
+    n = buckets or bucket_count(predictions)
+    return Evaluation(
+        write_buckets(predictions, "sample_id", n), write_buckets(samples, "sample_id", n), prediction_id
+    )
+
+
+def sample_scores(
+    predictions: DataFrame, samples: DataFrame, prediction_id: list[str]
+) -> DataFrame:
+    """ROUGE-L against both answers, win flag and words of each prediction; see ``store_evaluation``.
+
+    For one look at predictions that are not kept; counting them for the join reads them twice.
+    """
     pairs = salted_join(predictions, samples, "sample_id", prediction_id)
+    return _scored(pairs, predictions.columns)
+
+
+def _scored(pairs: DataFrame, keep: list[str]) -> DataFrame:
     scores = pairs.withColumn(
         "_scores", rouge_l_against("answer", "chosen", "rejected")
     )
     return scores.select(
-        *predictions.columns,
+        *keep,
         F.col("_scores.chosen").alias("rouge_l"),
         F.col("_scores.rejected").alias("rouge_l_rejected"),
         win_flag(F.col("_scores.chosen"), F.col("_scores.rejected")).alias("win"),

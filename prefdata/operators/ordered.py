@@ -12,6 +12,8 @@ _STEPS = 8
 # The bucket that is cut is counted again in this many parts, until it has few rows.
 _PARTS = 256
 _EDGE_ROWS = 100_000
+# A text shows this many windows of so many bytes behind its prefix to one job.
+_WINDOWS, _WINDOW = 3, 7
 
 
 def first_rows(
@@ -28,37 +30,31 @@ def first_rows(
     counted again in finer parts until it has at most ``_EDGE_ROWS`` rows or a single
     value. Rows before it are passed on as they are, by a literal bound that a reader can use to
     skip; only the rows of the last bucket are ranked. How the keys are spread decides the
-    speed, never the result.
+    speed, never the result. Parts of a number are ranges of equal width; a text is told apart byte
+    by byte behind what all keys of its bucket begin with, however long that is.
     """
     key = order[0]
-    number = _number(df, key)
+    kind = _TextEdge if df.schema[key].dataType.simpleString() in ("string", "binary") else _NumberEdge
     group = F.col(by) if by else F.lit(0)
     quotas = limit if by else {0: limit}
     if by:
         df = df.filter(group.isin(list(quotas)))
-    size = F.floor(F.log2(F.abs(number.cast("double")) + 1) * _STEPS)
-    edges = {g: _Edge(g, n) for g, n in quotas.items()}
-    for row in _counts(df, group, number, F.signum(number.cast("double")) * size):
+    edges = {g: kind(df, key, g, n) for g, n in quotas.items()}
+    for row in kind.counts(df, key, group, None):
         edges[row["_g"]].add(row)
     while wide := [e for e in edges.values() if e.is_wide()]:
-        within, part = F.lit(False), F.lit(None).cast("long")
         for e in wide:
-            here = (group == F.lit(e.group)) & number.between(e.low, e.high)
-            within = within | here
-            width = (e.high - e.low) // _PARTS + 1
-            part = F.when(here, F.floor((number - F.lit(e.low)) / width)).otherwise(part)
             e.open()
-        for row in _counts(df.filter(within), group, number, part):
+        for row in kind.counts(df, key, group, wide):
             edges[row["_g"]].add(row)
-    return _cut(df, list(edges.values()), group, number, order, by)
+    return _cut(df, list(edges.values()), group, order, by)
 
 
 class _Edge:
     """Where the limit falls within one group."""
 
-    def __init__(self, group, limit: int):
-        self.group, self.missing = group, limit
-        self.low = self.high = None  # of the bucket that is cut
+    def __init__(self, df: DataFrame, key: str, group, limit: int):
+        self.key, self.group, self.missing = F.col(key), group, limit
         self.rows, self.found, self.in_nulls = 0, False, False
 
     def add(self, row) -> None:
@@ -68,40 +64,159 @@ class _Edge:
         if row["_n"] <= self.missing:
             self.missing -= row["_n"]
         else:
-            self.found, self.rows = True, row["_n"]
-            self.low, self.high, self.in_nulls = row["_low"], row["_high"], row["_low"] is None
+            self.found, self.rows, self.in_nulls = True, row["_n"], row["_bucket"] is None
+            if not self.in_nulls:
+                self.narrow(row)
 
     def is_wide(self) -> bool:
-        return self.found and not self.in_nulls and self.rows > _EDGE_ROWS and self.low < self.high
+        return self.found and not self.in_nulls and self.rows > _EDGE_ROWS and not self.is_one()
 
     def open(self) -> None:
         self.found = False
 
+    def of_group(self, group: Column) -> Column:
+        return group == F.lit(self.group)
 
-def _counts(df: DataFrame, group: Column, number: Column, bucket: Column) -> list:
-    """Rows per group and bucket in order, nulls last: a bounded number for each group."""
-    counts = df.groupBy(group.alias("_g"), bucket.alias("_bucket")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high")
-    )
-    return sorted(counts.collect(), key=lambda r: (r["_low"] is None, r["_low"] or 0))
 
+class _NumberEdge(_Edge):
+    """Buckets are ranges of a whole number."""
 
-def _cut(
-    df: DataFrame, edges: list[_Edge], group: Column, number: Column, order: list[str], by: str | None
-) -> DataFrame:
+    def __init__(self, df: DataFrame, key: str, group, limit: int):
+        super().__init__(df, key, group, limit)
+        self.number = _number(df, key)
+        self.low = self.high = None  # of the bucket that is cut
+
+    def narrow(self, row) -> None:
+        self.low, self.high = row["_low"], row["_high"]
+
+    def is_one(self) -> bool:
+        return self.low == self.high
+
+    def before(self) -> Column:
+        return self.number < F.lit(self.low)
+
+    def inside(self) -> Column:
+        return (self.number >= F.lit(self.low)) & (self.number <= F.lit(self.high))
+
+    @staticmethod
+    def counts(df: DataFrame, key: str, group: Column, edges: list["_NumberEdge"] | None) -> list:
+        """Rows per group and bucket in order, nulls last: a bounded number for each group."""
+        number = _number(df, key)
+        if edges is None:
+            size = F.floor(F.log2(F.abs(number.cast("double")) + 1) * _STEPS)
+            within, bucket = F.lit(True), F.signum(number.cast("double")) * size
+        else:
+            within, bucket = F.lit(False), F.lit(None).cast("long")
+            for e in edges:
+                here, width = e.of_group(group) & e.inside(), (e.high - e.low) // _PARTS + 1
+                within = within | here
+                bucket = F.when(here, F.floor((number - F.lit(e.low)) / width)).otherwise(bucket)
+        return _in_order(
+            df.filter(within).groupBy(group.alias("_g"), bucket.alias("_bucket")).agg(
+                F.count(F.lit(1)).alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high")
+            )
+        )
+
+
+class _TextEdge(_Edge):
+    """Buckets are the next byte behind a prefix; keys that end with it come first."""
+
+    def __init__(self, df: DataFrame, key: str, group, limit: int):
+        super().__init__(df, key, group, limit)
+        self.is_text = df.schema[key].dataType.simpleString() == "string"
+        self.prefix, self.whole = b"", False
+
+    def narrow(self, row) -> None:
+        """Add the bucket's byte, and those that all its keys have behind it."""
+        if row["_bucket"] < 0:
+            self.whole = True
+            return
+        first, last = (
+            b"".join(row[f"_{end}{i}"].to_bytes(_WINDOW, "big") for i in range(_WINDOWS)) for end in ("low", "high")
+        )
+        shared = next((i for i, (a, b) in enumerate(zip(first, last)) if a != b), len(first))
+        shared = min(shared, row["_shortest"] - len(self.prefix))
+        self.prefix += first[:shared]
+        self.whole = row["_longest"] == len(self.prefix)
+
+    def is_one(self) -> bool:
+        return self.whole
+
+    def _plain(self) -> str:
+        """The longest start of the prefix that is a text by itself: readers can compare it."""
+        if not self.is_text:
+            return ""
+        try:
+            return self.prefix.decode()
+        except UnicodeDecodeError as bad:
+            return self.prefix[: bad.start].decode()
+
+    def _parts(self) -> tuple[Column, Column, bool]:
+        """The key and the prefix in a type that holds it, and whether that is the key's own."""
+        if self.is_text and self._plain().encode() == self.prefix:
+            return self.key, F.lit(self._plain()), True
+        return self.key.cast("binary"), F.lit(self.prefix), not self.is_text
+
+    def before(self) -> Column:
+        key, prefix, plain = self._parts()
+        if plain:
+            return key < prefix
+        start = F.lit(self._plain())
+        return (self.key < start) | (F.startswith(self.key, start) & (key < prefix))
+
+    def inside(self) -> Column:
+        key, prefix, plain = self._parts()
+        own = key == prefix if self.whole else F.startswith(key, prefix)
+        return own if plain else F.startswith(self.key, F.lit(self._plain())) & own
+
+    @staticmethod
+    def counts(df: DataFrame, key: str, group: Column, edges: list["_TextEdge"] | None) -> list:
+        """The same; at most 257 buckets for each group."""
+        text, within, skipped = F.col(key).cast("binary"), F.lit(True), F.lit(0)
+        if edges is not None:
+            within, skipped = F.lit(False), F.lit(None).cast("int")
+            for e in edges:
+                here = e.of_group(group) & e.inside()
+                within = within | here
+                skipped = F.when(here, F.lit(len(e.prefix))).otherwise(skipped)
+        parts = []
+        for i in range(_WINDOWS):
+            piece = F.substring(text, skipped + F.lit(1 + i * _WINDOW), F.lit(_WINDOW))
+            parts.append(F.conv(F.rpad(F.hex(piece), 2 * _WINDOW, "0"), 16, 10).cast("bigint"))
+        size = F.octet_length(text)
+        first = F.shiftright(parts[0], 8 * (_WINDOW - 1))
+        rows = df.filter(within).select(
+            group.alias("_g"), size.alias("_size"), F.when(size <= skipped, F.lit(-1)).otherwise(first).alias("_bucket"),
+            *[part.alias(f"_part{i}") for i, part in enumerate(parts)],
+        )
+        ends = [
+            f(f"_part{i}").alias(f"_{end}{i}") for i in range(_WINDOWS) for end, f in (("low", F.min), ("high", F.max))
+        ]
+        return _in_order(
+            rows.groupBy("_g", "_bucket").agg(
+                F.count(F.lit(1)).alias("_n"), F.min("_size").alias("_shortest"), F.max("_size").alias("_longest"), *ends
+            )
+        )
+
+
+def _in_order(counts: DataFrame) -> list:
+    return sorted(counts.collect(), key=lambda r: (r["_bucket"] is None, r["_bucket"] or 0))
+
+
+def _cut(df: DataFrame, edges: list[_Edge], group: Column, order: list[str], by: str | None) -> DataFrame:
     whole = at_edge = F.lit(False)
     missing = F.lit(None)
     for e in edges:
-        own = F.lit(True) if by is None else group == F.lit(e.group)
+        own = F.lit(True) if by is None else e.of_group(group)
         if not e.found:
             whole = whole | own
         elif e.in_nulls:
-            whole = whole | (own & number.isNotNull())
-            at_edge = at_edge | (own & number.isNull())
+            whole = whole | (own & e.key.isNotNull())
+            at_edge = at_edge | (own & e.key.isNull())
         else:
-            whole = whole | (own & (number < F.lit(e.low)))
-            at_edge = at_edge | (own & (number >= F.lit(e.low)) & (number <= F.lit(e.high)))
-        missing = F.when(group == F.lit(e.group), F.lit(e.missing)).otherwise(missing)
+            whole = whole | (own & e.before())
+            at_edge = at_edge | (own & e.inside())
+        missing = F.when(e.of_group(group), F.lit(e.missing)).otherwise(missing)
     before = df.filter(whole)
     if not any(e.found and e.missing for e in edges):
         return before
@@ -111,15 +226,12 @@ def _cut(
 
 
 def _number(df: DataFrame, key: str) -> Column:
-    """A whole number that never falls as the key grows; of a text, its first bytes."""
+    """A whole number that never falls as the key grows."""
     kind = df.schema[key].dataType.simpleString()
     if kind == "bigint":
         return F.col(key)
     if kind in ("tinyint", "smallint", "int"):
         return F.col(key).cast("bigint")
-    if kind in ("string", "binary"):
-        digits = F.rpad(F.substring(F.hex(F.col(key).cast("binary")), 1, 14), 14, "0")
-        return F.conv(digits, 16, 10).cast("bigint")
     if kind == "date":
         return F.unix_date(key).cast("bigint")
     if kind.startswith("timestamp"):

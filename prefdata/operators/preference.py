@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +14,10 @@ from prefdata.functions.prompts import inference_prompt
 from prefdata.functions.text import strip
 from prefdata.functions.transcripts import dialogue_prompt, dialogue_reply
 from prefdata.operators.ordered import first_rows
-from prefdata.sources.scratch import materialise
+from prefdata.sources.scratch import materialise, materialise_counted
+
+# A round over-fetches as if at least one row in so many were accepted.
+LEAST_ACCEPTED = 32
 
 
 def stitch(
@@ -37,7 +44,7 @@ def stitch(
 
 def turn_triples(
     turns: DataFrame, key: str, position: str, text: str, partner: Column, *,
-    shortest: int | None = None,
+    shortest: int | None = None, part_size: int = 1024,
 ) -> DataFrame:
     """Triples of dialogues of any length: (key, position, prompt, chosen, rejected).
 
@@ -45,14 +52,29 @@ def turn_triples(
     whose reply is the rejected one. The prompt ends with the last assistant mark, which the
     last marked turn holds; it is given turn by turn, so no task holds a dialogue. The two replies
     are in the row of the prompt's last turn. ``shortest``: length that both replies need.
+
+    A dialogue is cut into ranges of ``part_size`` positions. What is known of a dialogue (where its
+    last mark and its end are, its replies) is a row per range, and turns meet it by (key, range):
+    no join has the key alone, so a dialogue with a third of all turns is many groups. The replies are
+    carried to the range in which the prompt ends, the keys to the others. Positions are unique
+    within a key.
     """
-    last_mark = F.max(F.when(F.contains(text, F.lit(fixed.ASSISTANT_MARK)), F.col(position)))
-    ends = turns.groupBy(key).agg(last_mark.alias("_mark"), F.max(position).alias("_end"))
-    placed = turns.select(key, position, text).join(ends, key)
+    part = F.floor(F.col(position) / part_size)
+    placed = turns.select(key, position, text, part.alias("_part"))
+    marked = F.when(F.contains(text, F.lit(fixed.ASSISTANT_MARK)), F.col(position))
+    ranges = placed.groupBy(key, "_part").agg(F.max(marked).alias("_mark"), F.max(position).alias("_end"))
+    ends = ranges.groupBy(key).agg(F.max("_mark").alias("_mark"), F.max("_end").alias("_end"))
+    known = ranges.select(key, "_part").join(ends, key)
+    mark_part = F.floor(F.col("_mark") / part_size)
+
     at_mark = F.col(position) == F.col("_mark")
     after = F.when(at_mark, F.substring_index(text, fixed.ASSISTANT_MARK, -1)).otherwise(F.col(text))
-    tail = placed.filter(F.col(position) >= F.col("_mark")).select(key, position, after.alias("_reply"))
-    replied = stitch(tail, key, position, "_reply", "")
+    tail = (
+        placed.join(known.filter(F.col("_part") >= mark_part).select(key, "_part", "_mark"), [key, "_part"])
+        .filter(F.col(position) >= F.col("_mark"))
+        .select(key, position, after.alias("_reply"))
+    )
+    replied = stitch(tail, key, position, "_reply", "", part_size)
     replies = ends.join(replied, key, "left").select(
         key, F.coalesce(strip("_reply"), F.lit("")).alias("chosen")
     )
@@ -60,15 +82,27 @@ def turn_triples(
     pairs = replies.withColumn("_partner", partner).join(others, "_partner").drop("_partner")
     if shortest is not None:
         pairs = pairs.filter(replies_long_enough(shortest))
-    last = F.col(position) == F.coalesce("_mark", "_end")
-    pieces = placed.filter(F.col(position) <= F.coalesce("_mark", "_end")).select(
-        key, position, F.when(at_mark, dialogue_prompt(text)).otherwise(F.col(text)).alias("prompt"),
-        last.alias("_last"),
+
+    last = F.coalesce("_mark", "_end")
+    last_part = F.col("_part") == F.floor(last / part_size)
+    heads = (
+        known.filter(F.col("_part") <= F.floor(last / part_size))
+        .join(pairs, key)
+        .select(
+            key, "_part", "_mark", last.alias("_last"),
+            *[F.when(last_part, F.col(c)).alias(c) for c in ("chosen", "rejected")],
+        )
     )
-    return pieces.join(pairs, key).select(
-        key, position, "prompt",
-        F.when(F.col("_last"), F.col("chosen")).alias("chosen"),
-        F.when(F.col("_last"), F.col("rejected")).alias("rejected"),
+    is_last = F.col(position) == F.col("_last")
+    return (
+        placed.join(heads, [key, "_part"])
+        .filter(F.col(position) <= F.col("_last"))
+        .select(
+            key, position,
+            F.when(at_mark, dialogue_prompt(text)).otherwise(F.col(text)).alias("prompt"),
+            F.when(is_last, F.col("chosen")).alias("chosen"),
+            F.when(is_last, F.col("rejected")).alias("rejected"),
+        )
     )
 
 
@@ -144,6 +178,46 @@ def preference_pairs(
     return pairs if n is None else first_rows(materialise(pairs), n, [key])
 
 
+def first_accepted(
+    source: DataFrame, key: str, n: int, answer: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """The first ``n`` good triples in key order, or all if there are fewer.
+
+    Rows are taken in rounds over ranges of the key until ``n`` are accepted: the first round takes
+    what ``over_fetch`` says, the next ones what the share accepted so far lets expect, so a few rounds
+    do for any share. ``answer`` gets (key, prompt) of a round's rows and gives (key, text); as
+    ranges don't overlap, it never sees a key twice. Rows without a key have no place in the order and
+    are left out. The result is that of taking row after row until ``n`` were accepted.
+    """
+    rounds, accepted, read, ask = [], 0, 0, over_fetch(n)
+    rest = source.filter(F.col(key).isNotNull())
+    while accepted < n:
+        rows, seen = materialise_counted(
+            first_rows(rest, ask, [key]), n=F.count(F.lit(1)), last=F.max(key)
+        )
+        if not seen["n"]:
+            break
+        prompts = generation_input(rows, key).select(
+            key, inference_prompt("instruction", "input").alias("prompt")
+        )
+        pairs, good = materialise_counted(
+            preference_pairs(rows, answer(prompts), key), n=F.count(F.lit(1))
+        )
+        rounds.append(pairs)
+        accepted, read = accepted + good["n"], read + seen["n"]
+        if seen["n"] < ask:
+            break
+        rest = source.filter(F.col(key) > F.lit(seen["last"]))
+        ask = over_fetch(math.ceil((n - accepted) * read / max(accepted, read / LEAST_ACCEPTED))) + 1
+    if not rounds:
+        return preference_pairs(source.limit(0), answer(_no_prompts(source, key)), key)
+    return first_rows(functools.reduce(DataFrame.unionByName, rounds), n, [key])
+
+
+def _no_prompts(source: DataFrame, key: str) -> DataFrame:
+    return source.limit(0).select(key, F.lit("").alias("prompt"))
+
+
 def preference_counts(candidates: DataFrame, key: str, n: int) -> DataFrame:
     """Accepted and skipped rows of a run that stops once ``n`` rows were accepted.
 
@@ -173,7 +247,8 @@ def score_pairs(comments: DataFrame, key: str, *keep: str) -> DataFrame:
 
     ``comments``: (key, position, body, score, ``keep`` columns that are constant within
     a key). Equal scores go by position; posts whose scores are all equal are left out, as are
-    comments without a score. Positions are unique within a key.
+    comments without a score. A comment that is there several times is one; of several bodies at a place with
+    one score the largest text counts.
     """
     scored = comments.filter("score IS NOT NULL")
     rank = F.struct(F.col("score"), -F.col("position"))
@@ -186,16 +261,19 @@ def score_pairs(comments: DataFrame, key: str, *keep: str) -> DataFrame:
         )
         .filter(F.col("_best.score") > F.col("_worst.score"))
     )
-    # Only numbers are compared; the two texts of a post are fetched by their place.
-    bodies = scored.join(
-        ends.select(key, F.explode(F.array("_best.col2", "_worst.col2")).alias("_place")), key
-    ).filter(-F.col("position") == F.col("_place"))
-    texts = bodies.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_place", "body"))).alias("_texts"))
+    # Only numbers are compared; the two texts of a post are fetched by score and place.
+    both = F.array(*[F.struct(F.col(at).alias("rank"), F.lit(at).alias("at")) for at in ("_best", "_worst")])
+    wanted = ends.select(key, F.explode(both).alias("_w"))
+    bodies = scored.join(wanted, key).filter(rank == F.col("_w.rank"))
+    texts = bodies.groupBy(key).agg(
+        F.max(F.when(F.col("_w.at") == "_best", F.col("body"))).alias("chosen"),
+        F.max(F.when(F.col("_w.at") == "_worst", F.col("body"))).alias("rejected"),
+    )
     return ends.join(texts, key).select(
         key,
         *keep,
-        F.col("_texts")[F.col("_best.col2")].alias("chosen"),
-        F.col("_texts")[F.col("_worst.col2")].alias("rejected"),
+        "chosen",
+        "rejected",
         F.col("_best.score").alias("chosen_score"),
         F.col("_worst.score").alias("rejected_score"),
     )

@@ -22,6 +22,21 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
+def frequent_keys(
+    sizes: DataFrame, key: str, parts: int = 10_000, smallest_piece: int = 100_000
+) -> DataFrame:
+    """(key, _pieces) of the keys with more than 1/``parts`` of all rows and ``smallest_piece``: fewer
+    than ``parts`` for any data."""
+    share = sizes.agg(
+        F.greatest(F.sum("n_rows") / parts, F.lit(float(smallest_piece))).alias("share")
+    ).scalar()
+    return (
+        sizes.withColumn("_share", share)
+        .filter(F.col("n_rows") > F.col("_share"))
+        .select(key, F.ceil(F.col("n_rows") / F.col("_share")).alias("_pieces"))
+    )
+
+
 def salted_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -43,14 +58,7 @@ def salted_join(
     """
     if sizes is None:
         sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
-    share = sizes.agg(
-        F.greatest(F.sum("n_rows") / parts, F.lit(float(smallest_piece))).alias("share")
-    ).scalar()
-    frequent = F.broadcast(
-        sizes.withColumn("_share", share)
-        .filter(F.col("n_rows") > F.col("_share"))
-        .select(key, F.ceil(F.col("n_rows") / F.col("_share")).alias("_pieces"))
-    )
+    frequent = F.broadcast(frequent_keys(sizes, key, parts, smallest_piece))
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     salted_rows = rows.join(frequent, key, "left").withColumn(
         "_piece", F.pmod(F.xxhash64(*spread_by), pieces)

@@ -6,6 +6,7 @@ A model is given as a function without arguments that loads it; see
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,11 @@ from prefdata.operators import evaluation as ev
 from prefdata.operators import grpo
 from prefdata.operators import instructions as ins
 from prefdata.operators import preference as pref
-from prefdata.operators.generate import Model, answered, batch_generate
+from prefdata.operators.generate import Model, answered, batch_generate, generate_once
 from prefdata.operators.ordered import first_rows, seeded_sample
 from prefdata.sources import sinks
 from prefdata.sources.files import read_documents
-from prefdata.sources.scratch import materialise
+from prefdata.sources.scratch import materialise, materialise_counted
 
 Loader = Callable[[], Model]
 
@@ -52,39 +53,59 @@ def preference_data(
     n: int | None = None,
     tasks: int | None = None,
     most_failed: float = 0.5,
+    exactly: int | None = None,
+    ledger: str | None = None,
 ) -> dict[str, int]:
     """Triples with answers of a model as the rejected side, in the model's folder.
 
     Only rows that are long enough get an answer, as that is the costly step. Gives the
     numbers of rows asked, failed, accepted and skipped; with a greater share of failed rows than
-    ``most_failed`` the run stops. ``n``: as many triples at most.
+    ``most_failed`` the run stops. ``n``: as many triples at most, from one over-fetched prefix;
+    ``exactly``: as many whenever the table holds them, in as many rounds as that takes.
+    ``ledger``: a folder that keeps every answer, so that a run that was broken off asks only the rest.
     """
-    wanted = pref.generation_input(source, key, n)
-    prompts = wanted.select(key, inference_prompt("instruction", "input").alias("prompt"))
-    answers = materialise(
-        batch_generate(prompts, key, load_model, model_name, tasks=tasks)
-    )
-    asked, failed = _counted(answers, most_failed)
-    pairs = materialise(pref.preference_pairs(source, answered(answers), key, n))
-    sinks.write_per_model(
+    asked: Counter = Counter()
+
+    def answer(prompts: DataFrame) -> DataFrame:
+        answers, seen = _ask(prompts, key, load_model, model_name, tasks, ledger)
+        asked.update(asked=seen["asked"], failed=seen["failed"])
+        _stop_if_many(asked, most_failed, seen["example"])
+        return answered(answers)
+
+    if exactly is not None:
+        pairs = pref.first_accepted(source, key, exactly, answer)
+    else:
+        wanted = pref.generation_input(source, key, n)
+        prompts = wanted.select(key, inference_prompt("instruction", "input").alias("prompt"))
+        pairs = pref.preference_pairs(source, answer(prompts), key, n)
+    accepted = sinks.write_per_model(
         pairs.select(
             "prompt", "chosen", "rejected", F.lit(model_name).alias("model")
         ),
         path,
     )
-    accepted = pairs.count()
-    return {
-        "asked": asked, "failed": failed, "accepted": accepted, "skipped": asked - failed - accepted,
-    }
+    skipped = asked["asked"] - asked["failed"] - accepted
+    return {"asked": asked["asked"], "failed": asked["failed"], "accepted": accepted, "skipped": skipped}
+
+
+def _ask(
+    prompts: DataFrame, key: str, load_model: Loader, model_name: str, tasks: int | None = None,
+    ledger: str | None = None,
+) -> tuple[DataFrame, dict]:
+    """Stored answers, and how many were asked and failed, with one error."""
+    counts = {"asked": F.count(F.lit(1)), "failed": F.count("error"), "example": F.min("error")}
+    if ledger is None:
+        return materialise_counted(
+            batch_generate(prompts, key, load_model, model_name, tasks=tasks), **counts
+        )
+    answers = generate_once(prompts, key, load_model, model_name, ledger, tasks=tasks)
+    return answers, answers.agg(*[c.alias(name) for name, c in counts.items()]).first().asDict()
 
 
-def _counted(answers: DataFrame, most_failed: float) -> tuple[int, int]:
-    """Prompts asked and failed; raises where too many failed."""
-    row = answers.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("failed")).first()
-    if row["failed"] > most_failed * row["n"]:
-        example = answers.filter("error IS NOT NULL").select("error").first()[0]
-        raise RuntimeError(f"{row['failed']} of {row['n']} prompts have no answer: {example}")
-    return row["n"], row["failed"]
+def _stop_if_many(seen: Mapping[str, int], most_failed: float, example: str | None) -> None:
+    """Raises where too many prompts failed."""
+    if seen["failed"] > most_failed * seen["asked"]:
+        raise RuntimeError(f"{seen['failed']} of {seen['asked']} prompts have no answer: {example}")
 
 
 def transcript_data(
@@ -130,11 +151,12 @@ def document_data(
     separator: str = BLANK_LINES,
     tasks: int | None = None,
     most_failed: float = 0.5,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
     """Question/answer rows about the text files of a folder.
 
     Gives the rejected files, and the numbers of chunks asked and failed and of rows. With a greater
-    share of failed chunks than ``most_failed`` the run stops.
+    share of failed chunks than ``most_failed`` the run stops. ``ledger``: as in ``preference_data``.
     """
     documents, rejects = read_documents(spark, folder)
     chunks = docs.document_chunks(
@@ -143,13 +165,10 @@ def document_data(
     requests = docs.qa_requests(chunks).withColumn(
         "chunk_id", F.concat_ws("#", "path", F.col("chunk_no").cast("string"))
     )
-    replies = materialise(
-        batch_generate(requests, "chunk_id", load_model, model_name, tasks=tasks)
-    )
-    asked, failed = _counted(replies, most_failed)
-    rows = materialise(docs.qa_rows(answered(replies), reply="text"))
-    sinks.write_jsonl(rows, path)
-    return rejects, {"chunks": asked, "failed": failed, "rows": rows.count()}
+    replies, seen = _ask(requests, "chunk_id", load_model, model_name, tasks, ledger)
+    _stop_if_many(seen, most_failed, seen["example"])
+    rows = sinks.write_jsonl(docs.qa_rows(answered(replies), reply="text"), path)
+    return rejects, {"chunks": seen["asked"], "failed": seen["failed"], "rows": rows}
 
 
 def evaluation_data(
@@ -160,26 +179,48 @@ def evaluation_data(
     n: int = fixed.NUM_EVAL_SAMPLES,
     seed: int = fixed.SEED,
     names: list[str] | None = None,
+    manifest: DataFrame | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Summary of each model on a seeded sample of triples; also written as JSON.
 
     An answer that fails ends the run: means over the answers that a model gave would make
-    it look better than it is.
+    it look better than it is. With a ``manifest`` of (model, file), models without the required
+    file are left out before they are asked. ``ledger``: as in ``preference_data``. Predictions are
+    stored in buckets, model after model, beside the samples.
     """
+    if manifest is not None:
+        listed = manifest.filter(F.col("model").isin(list(models)))
+        having = {r["model"] for r in ev.complete_models(listed, manifest).distinct().collect()}
+        models = {name: load for name, load in models.items() if name in having}
+    models = {name: load for name, load in models.items() if not names or name in names}
+    if not models:
+        raise ValueError("no model to evaluate")
     sample = materialise(
         seeded_sample(pairs, n, key, seed).select(
             F.col(key).alias("sample_id"), "prompt", "chosen", "rejected"
         )
     )
-    answers = [
-        batch_generate(sample, "sample_id", load, name)
-        for name, load in models.items()
-        if not names or name in names
-    ]
-    every = materialise(ins.concatenate(*answers))
-    _counted(every, 0.0)
-    predictions = answered(every).withColumnRenamed("text", "answer")
-    scores = ev.sample_scores(predictions, sample, ["sample_id", "model"])
-    summary = materialise(ev.summarise(scores))
+    stored = None
+    for name, load in models.items():
+        answers, seen = _ask(sample, "sample_id", load, name, ledger=ledger)
+        _stop_if_many(seen, 0.0, seen["example"])
+        predictions = answered(answers).withColumnRenamed("text", "answer")
+        if stored is None:
+            stored = ev.store_evaluation(
+                predictions, sample.select("sample_id", "chosen", "rejected"), ["sample_id", "model"]
+            )
+        else:
+            stored.append(predictions)
+    summary = materialise(ev.summarise(stored.scores()))
     sinks.write_results(ev.results_document(summary), path)
     return ev.by_name(summary)
+
+
+def evaluation_report(summary: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """What an evaluation ends with: the best model by each metric, and the change from each model to the
+    next by name. Both are written as JSON lines, in ``best`` and ``deltas`` below ``path``."""
+    best, deltas = ev.best_models(summary), ev.adjacent_deltas(summary)
+    sinks.write_jsonl(best, f"{path}/best")
+    sinks.write_jsonl(deltas, f"{path}/deltas")
+    return best, deltas

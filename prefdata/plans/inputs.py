@@ -151,6 +151,13 @@ def transcript_triples(conversations: DataFrame, shortest: int | None = None) ->
     return turn_triples(turns, "conv_id", "turn", "text", following, shortest=shortest)
 
 
+def transcript_rows(conversations: DataFrame) -> DataFrame:
+    """Pairs of whole dialogues: (conv_id, chosen, rejected), as they are published."""
+    whole = transcripts(conversations)
+    following = whole.select((F.col("conv_id") - 1).alias("conv_id"), F.col("text").alias("rejected"))
+    return whole.select("conv_id", F.col("text").alias("chosen")).join(following, "conv_id")
+
+
 def scored_comments(conversations: DataFrame) -> DataFrame:
     return turn_pairs(conversations).select(
         "conv_id",

@@ -361,6 +361,14 @@ ORDER BY shuffle_key, doc_id LIMIT {fixed.NUM_EVAL_SAMPLES}""",
     "hh_pairs": f"""
 WITH {PARSED} {BY_TURN}
 WHERE {IN_PROMPT} AND length(p.chosen) > 10 AND length(p.rejected) > 10""",
+    "hh_parse_rows": f"WITH {PARSED} SELECT conv_id, prompt, chosen, rejected FROM parsed",
+    "hh_pairs_rows": f"""
+WITH {PARSED} SELECT conv_id, prompt, chosen, rejected FROM parsed
+WHERE length(chosen) > 10 AND length(rejected) > 10""",
+    "prefix_by_text": f"""
+SELECT 'https://www.example.org/' || source || '/' || lang || '/' || lpad(doc_id::VARCHAR, 9, '0') AS url,
+  doc_id, text
+FROM documents ORDER BY url LIMIT {q.PREFIX_ROWS}""",
     "pref_pairs": ALL_PAIRS,
     "pref_pairs_first": f"""
 {ALL_PAIRS} AND {READ} ORDER BY doc_id LIMIT {q.PAIRS_WANTED}""",

@@ -278,6 +278,27 @@ def hh_pairs(spark, sf_dir):
     )
 
 
+@query
+def hh_parse_rows(spark, sf_dir):
+    return pref.parse_transcripts(inputs.transcript_rows(_conversations(spark, sf_dir)), "conv_id")
+
+
+@query
+def hh_pairs_rows(spark, sf_dir):
+    return pref.transcript_pairs(inputs.transcript_rows(_conversations(spark, sf_dir)), "conv_id")
+
+
+@query
+def prefix_by_text(spark, sf_dir):
+    """Keys that all begin alike, as addresses do."""
+    keyed = _documents(spark, sf_dir).select(
+        F.concat(F.lit("https://www.example.org/"), "source", F.lit("/"), "lang", F.lit("/"),
+                 F.lpad("doc_id", 9, "0")).alias("url"),
+        "doc_id", "text",
+    )
+    return ordered.first_rows(keyed, PREFIX_ROWS, ["url"])
+
+
 def _pair_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     documents = spread(_documents(spark, sf_dir), "doc_id")
     labels = inputs.table(spark, sf_dir, "labels")
@@ -469,11 +490,11 @@ def batch_generate(spark, sf_dir):
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _conversations(spark, sf_dir)
-    return ev.sample_scores(
+    return ev.store_evaluation(
         inputs.predictions(conversations),
         inputs.samples(conversations),
         ["sample_id", "turn"],
-    )
+    ).scores()
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -504,10 +525,10 @@ def eval_filtered(spark, sf_dir):
     conversations = _conversations(spark, sf_dir)
     wanted = ev.only_models(inputs.predictions(conversations), MODELS_WANTED)
     complete = ev.complete_models(wanted, inputs.manifest(conversations))
-    scores = ev.sample_scores(
+    stored = ev.store_evaluation(
         complete, inputs.samples(conversations), ["sample_id", "turn"]
     )
-    return _rounded(ev.summarise(scores), *ev.METRICS)
+    return _rounded(ev.summarise(stored.scores()), *ev.METRICS)
 
 
 @query

@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 _written: dict[str, list[str]] = {}  # by application
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new path in a folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.
 
-    That is the one ``spark.checkpoint.dir`` names, else the session's warehouse.
-    ``remove_scratch`` clears what a session wrote.
+    Only a session whose executors are threads of the driver may do without that setting; it
+    gets its warehouse. Elsewhere a folder below the driver's own would be lost to the executors.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    if shared:
+        return shared
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir names no shared folder, and executors of {master} need one")
+    return spark.conf.get("spark.sql.warehouse.dir")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new path in the shared folder; ``remove_scratch`` clears what a session wrote."""
+    shared = shared_folder(spark)
     path = f"{shared.rstrip('/')}/prefdata-{uuid.uuid4().hex}"
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
@@ -39,8 +50,24 @@ def materialise(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(
+    df: DataFrame, path: str | None = None, **counts: Column
+) -> tuple[DataFrame, dict]:
+    """``materialise`` and aggregates of the rows, taken by the job that writes them.
+
+    They are taken after the last shuffle, in the tasks whose output is committed, so that a task that
+    is run again does not count twice.
+    """
+    seen = Observation()
+    stored = materialise(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), path)
+    return stored, seen.get
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True where a job has written ``path`` to its end."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return marker.getFileSystem(conf).exists(marker)
+    return exists(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from prefdata.sources.scratch import is_complete
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """JSON lines, replacing what is there; nulls are written, text is not escaped."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str) -> int:
+    """JSON lines, replacing what is there; nulls are written, text is not escaped. Gives the rows written,
+    counted by the job that writes them."""
+    seen = Observation()
+    rows = df.observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return seen.get["n"]
 
 
-def write_per_model(df: DataFrame, path: str, model: str = "model") -> None:
-    """One folder per model; only the folders of the models in ``df`` are replaced.
+def write_per_model(df: DataFrame, path: str, model: str = "model") -> int:
+    """One folder per model; only the folders of the models in ``df`` are replaced. Gives the rows written.
 
     The rebalance hint gathers the rows of a model into few files and splits a model
     that has a large share of them.
     """
+    seen = Observation()
     (
         df.hint("rebalance", model)
+        .observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
         .partitionBy(model)
         .json(path)
     )
+    return seen.get["n"]
 
 
 def write_results(document: DataFrame, path: str) -> None:

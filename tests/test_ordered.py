@@ -154,6 +154,73 @@ def test_keys_of_other_types(spark, kind):
     assert sorted(r.id for r in ordered.first_rows(df, 123, ["k"]).collect()) == sorted(want)
 
 
+TEXT_KEYS = {
+    "addresses": [f"https://www.example.org/a/very/long/way/to/the/page/{i:05d}" for i in range(700)],
+    "prefixes of each other": ["ab" * i for i in range(20)] + ["ab" * i + "b" for i in range(20)],
+    "letters of several bytes": [c * n for c in "aéß中文𝄞\x7f\x80" for n in range(1, 9)],
+    "zeros": ["k" + "\x00" * i for i in range(12)] + [f"k\x00{i}" for i in range(12)] + [""],
+}
+
+
+@pytest.mark.parametrize("name", TEXT_KEYS)
+def test_first_rows_by_a_text(spark, monkeypatch, name):
+    monkeypatch.setattr(ordered, "_EDGE_ROWS", 8)
+    keys = sorted(TEXT_KEYS[name], key=str.encode)
+    rows = [(k, i) for i, k in enumerate(random.Random(4).sample(keys, len(keys)))]
+    for kind in ("string", "binary"):
+        df = spark.createDataFrame(rows, "k string, i long").repartition(4)
+        df = df.withColumn("k", ordered.F.col("k").cast(kind))
+        for n in (1, len(keys) // 2 + 3, len(keys) - 1):
+            got = [r.k if kind == "string" else bytes(r.k).decode() for r in ordered.first_rows(df, n, ["k", "i"]).collect()]
+            assert sorted(got, key=str.encode) == keys[:n], (kind, n)
+
+
+def test_bytes_that_are_no_text(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "_EDGE_ROWS", 4)
+    keys = sorted({bytes([a, b, c]) for a in (0x61, 0xC3, 0xFF) for b in (0x00, 0x80, 0xA9, 0xFF) for c in range(0, 256, 17)})
+    df = spark.createDataFrame([(bytearray(k),) for k in keys], "k binary").repartition(3)
+    for as_text in (False, True):
+        some = df.selectExpr("cast(k as string) k") if as_text else df
+        for n in (1, 50, 100, len(keys) - 3):
+            got = ordered.first_rows(some, n, ["k"]).selectExpr("cast(k as binary) k").collect()
+            assert sorted(bytes(r.k) for r in got) == keys[:n]
+
+
+def test_text_quotas_ties_and_nulls(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "_EDGE_ROWS", 5)
+    rows = [(g, f"same/start/{i // 40:03d}", i) for i in range(400) for g in ("a", "b")]
+    rows += [("a", None, 1000 + i) for i in range(30)] + [("c", "x", 0)]
+    df = spark.createDataFrame(rows, "g string, k string, i long").repartition(3)
+    quotas = {"a": 415, "b": 95, "c": 4}
+    got = ordered.first_rows(df, quotas, ["k", "i"], by="g").collect()
+    want = [
+        r for g, n in quotas.items()
+        for r in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, r[1] or "", r[2]))[:n]
+    ]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_few_addresses_are_ranked_and_the_bound_is_pushed_down(spark, plan_of, monkeypatch, tmp_path):
+    """300,000 keys that begin alike: the last bucket is small, and readers get a plain comparison."""
+    path = str(tmp_path / "pages")
+    url = "concat('https://www.example.org/articles/', lpad(pmod(id * 7919, 300000), 7, '0'))"
+    spark.range(300_000, numPartitions=4).selectExpr(f"{url} url", "id").write.parquet(path)
+    ranked = []
+    cut = ordered._cut
+
+    def seen(df, edges, *rest):
+        ranked.extend(e.rows for e in edges if e.found)
+        return cut(df, edges, *rest)
+
+    monkeypatch.setattr(ordered, "_cut", seen)
+    first = ordered.first_rows(spark.read.parquet(path), 123_456, ["url"])
+    plan = plan_of(first)
+    assert first.count() == 123_456 and first.agg({"url": "max"}).first()[0].endswith("0123455")
+    assert max(ranked) <= 100_000
+    assert "LessThan(url,https://www.example.org/articles/0" in plan
+    assert "StringStartsWith(url,https://www.example.org/articles/0" in plan
+
+
 def test_a_source_without_a_quota_is_an_error(spark):
     df = spark.createDataFrame([(1, "q", "", "o")], "id long, instruction string, input string, output string")
     with pytest.raises(ValueError, match="no quota for .'b'"):

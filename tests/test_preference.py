@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -173,18 +174,52 @@ def test_triples_by_turn_are_those_of_the_whole_texts(spark, monkeypatch):
     df = spark.createDataFrame(turns, "c long, t long, text string").repartition(6)
     pairs = [(c, "".join(a), "".join(b)) for c, (a, b) in enumerate(zip(dialogues, dialogues[1:]))]
     whole = spark.createDataFrame(pairs, "c long, chosen string, rejected string")
-    for shortest in (None, 3):
+    for shortest, part_size in ((None, 1024), (3, 1024), (None, 2), (3, 7)):
         want = pref.parse_transcripts(whole, "c")
         if shortest is not None:
             want = want.filter(pref.replies_long_enough(shortest))
-        pieces = pref.turn_triples(df, "c", "t", "text", pref.F.col("c") + 1, shortest=shortest).collect()
+        pieces = pref.turn_triples(
+            df, "c", "t", "text", pref.F.col("c") + 1, shortest=shortest, part_size=part_size
+        )
         got = {}
-        for r in sorted(pieces, key=lambda r: (r.c, r.t)):
+        for r in sorted(pieces.collect(), key=lambda r: (r.c, r.t)):
             prompt, _, _ = got.get(r.c, ("", None, None))
             got[r.c] = (prompt + r.prompt, r.chosen, r.rejected)
         assert got == {r.c: (r.prompt, r.chosen, r.rejected) for r in want.collect()}
 
 
+def test_turns_of_a_long_dialogue_never_meet_by_its_key_alone(spark, tmp_path):
+    """Whatever carries texts of turns is dealt by (dialogue, range)."""
+    rows = [(0 if i % 3 == 0 else i, i, f"{MARK} t{i}") for i in range(3000)]
+    path = str(tmp_path / "turns")
+    spark.createDataFrame(rows, "c long, t long, text string").write.parquet(path)
+    df = spark.read.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        triples = pref.turn_triples(df, "c", "t", "text", pref.F.col("c") + 1, part_size=64)
+        explain = triples._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        assert triples.filter("c = 0").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    sections = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: (\S+, \S+)", explain)
+    with_turns = [how for columns, how in sections if "text#" in columns]
+    assert with_turns and all(re.match(r"hashpartitioning\(c#\d+L?, _part#", how) for how in with_turns)
+
+
+def test_a_comment_that_is_there_twice_is_one(spark):
+    df = spark.createDataFrame(COMMENTS + COMMENTS, "post string, position long, body string, score long")
+    want = [("first", "y", "w"), ("one", "good", "bad")]
+    assert sorted((r.post, r.chosen, r.rejected) for r in pref.score_pairs(df, "post").collect()) == want
+    same_place = spark.createDataFrame(
+        [("p", 1, "best", 5), ("p", 1, "worst", 3), ("p", 2, "mid", 4)],
+        "post string, position long, body string, score long",
+    )
+    assert [(r.chosen, r.rejected) for r in pref.score_pairs(same_place, "post").collect()] == [("best", "worst")]
+
+
 def test_comments_without_a_score_are_left_out(spark):
     rows = COMMENTS + [("one", 3, "none", None), ("none", 0, "x", None), ("none", 1, "y", 1)]
     df = spark.createDataFrame(rows, "post string, position long, body string, score long")
