@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ from prefdata.llm.common import chain, finish, map_batches, store, text_bytes
 SHORTEST = 12
 WHOLE = 1 << 16  # words of a document whose tiles stay in one task
 CHUNK = 1 << 18  # words that are solved at once, about
+AT_ONCE = 4 << 20  # bytes of text that are split into words at once
 FIRST = 2  # the first group has the periods below 8; group g > 2 those from 2**g to 2**(g+1)
 
 _RUN = "struct<start:long,length:long,period:long>"
@@ -250,12 +252,22 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(values, pa.int64()))
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with ``AT_ONCE`` bytes of text, so that few words are held as objects."""
+    sizes, at = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)), 0
+    while at < len(batch):
+        base = sizes[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(sizes, base + AT_ONCE, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _read(prepare: Callable | None, whole: int, key_type: str):
     """Documents with the fragments of the short ones, and tiles of the long ones."""
 
     def run(batches):
         row = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in (part for batch in batches for part in _parts(batch)):
             texts, keys = batch.column("text").to_pylist(), batch.column("key").to_pylist()
             words = [t.split() for t in texts]
             if prepare is not None:
