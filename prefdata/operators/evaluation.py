@@ -93,7 +93,7 @@ def store_evaluation(
     ``prediction_id``, which tell predictions apart); ``samples``: (sample_id, chosen,
     rejected), one row per sample.
     """
-    n = buckets or bucket_count(predictions)
+    n = buckets or bucket_count(predictions.sparkSession)
     return Evaluation(
         write_buckets(predictions, "sample_id", n), write_buckets(samples, "sample_id", n), prediction_id
     )

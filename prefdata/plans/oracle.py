@@ -372,6 +372,7 @@ FROM documents ORDER BY url LIMIT {q.PREFIX_ROWS}""",
     "pref_pairs": ALL_PAIRS,
     "pref_pairs_first": f"""
 {ALL_PAIRS} AND {READ} ORDER BY doc_id LIMIT {q.PAIRS_WANTED}""",
+    "pref_pairs_accepted": f"{ALL_PAIRS} ORDER BY doc_id LIMIT {q.PAIRS_ACCEPTED}",
     "pref_pairs_counts": f"""
 WITH {CANDIDATE},
 flagged AS (SELECT doc_id, {LONG} AS long, {LONG} AND {USABLE} AS good FROM candidate

@@ -33,6 +33,7 @@ LINES = r"\n+"
 PREFIX_ROWS = 300
 QUOTAS = {"instruction": 200, "sentiment": 50}
 PAIRS_WANTED = 500
+PAIRS_ACCEPTED = 700
 KEYWORDS = ["that", "nicht", "avec"]
 MODELS_WANTED = ["turn_1", "turn_2", "turn_3"]
 QUESTIONS = [
@@ -332,6 +333,17 @@ def pref_pairs_first(spark, sf_dir):
     return _pairs(spark, sf_dir, PAIRS_WANTED)
 
 
+@query
+def pref_pairs_accepted(spark, sf_dir):
+    """As many triples as are wanted, however many rows that takes."""
+    source, generations = _pair_inputs(spark, sf_dir)
+
+    def answer(prompts: DataFrame) -> DataFrame:
+        return generations.join(prompts.select("doc_id"), "doc_id", "left_semi")
+
+    return pref.first_accepted(source, "doc_id", PAIRS_ACCEPTED, answer)
+
+
 @query
 def pref_pairs_counts(spark, sf_dir):
     source, generations = _pair_inputs(spark, sf_dir)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 import uuid
 from dataclasses import dataclass
@@ -11,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from prefdata.sources.scratch import scratch_folder
 
-# Bytes that a bucket should hold, about; one with several times as many has a frequent key in it.
+# Bytes that a bucket may hold; in one with several times as many some keys are looked at one by one.
 BUCKET_BYTES = 128 << 20
-FEWEST, MOST = 8, 1 << 16
 
 
 @dataclass(frozen=True)
@@ -50,16 +48,15 @@ class Buckets:
         return max(sizes.values(), default=0)
 
 
-def bucket_count(df: DataFrame) -> int:
-    """A power of two, by the size that Spark estimates for the rows."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return min(MOST, max(FEWEST, 1 << math.ceil(math.log2(max(1, size / BUCKET_BYTES)))))
+def bucket_count(spark: SparkSession) -> int:
+    """As many as the session's shuffles have partitions: a join of buckets stands in for one."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def write_buckets(df: DataFrame, key: str, n: int | None = None) -> Buckets:
     """Store ``df`` in ``n`` buckets of ``key``; tables that are to be joined need the same ``n``."""
     spark, path = df.sparkSession, scratch_folder(df.sparkSession)
-    table = Buckets(spark, f"prefdata_{uuid.uuid4().hex}", path, key, n or bucket_count(df))
+    table = Buckets(spark, f"prefdata_{uuid.uuid4().hex}", path, key, n or bucket_count(spark))
     _write(df, table.name, path, key, table.n, "overwrite")
     return table
 
