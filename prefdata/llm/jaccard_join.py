@@ -173,7 +173,8 @@ def _sets(docs: DataFrame, sketch: np.ndarray, size: int, similarity: int) -> Da
 def _meetings(leaders: DataFrame, n_rare: int) -> DataFrame:
     """(key, part_a, part_b, doc_id): documents that meet as they share a rare shingle.
 
-    Shingles travel as packed arrays, one row per task and shard. A shard holds about ``SHARD_ROWS``.
+    Shingles travel as packed arrays, a row per batch and shard that it has keys for. A shard holds
+    about ``SHARD_ROWS``.
     """
     shards = parts_for(n_rare, SHARD_ROWS)
 
@@ -186,9 +187,10 @@ def _meetings(leaders: DataFrame, n_rare: int) -> DataFrame:
             shard = ((keys >> np.uint64(8)) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             edges = np.searchsorted(shard[order], np.arange(shards + 1))
-            own = [order[a:b] for a, b in zip(edges, edges[1:])]
+            asked = np.flatnonzero(np.diff(edges))  # no row for a shard without keys
+            own = [order[edges[i] : edges[i + 1]] for i in asked]
             yield {
-                "shard": list(range(shards)),
+                "shard": asked.tolist(),
                 "keys": [keys[o].tobytes() for o in own],
                 "ids": [ids[o].astype("<i8").tobytes() for o in own],
             }
@@ -492,15 +494,25 @@ def op3_jaccard_join(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
-    """One row of each component, that with its smallest doc_id, with the columns it had.
+    """One row of each component of near-duplicate rows, with the columns it had.
 
-    Rows with a null doc_id stay.
+    Rows are told apart by a number of their own, so an id that is null or stands at several
+    texts doesn't matter: each such row is judged by its own text. Of a component the row with the
+    smallest doc_id stays (nulls last), then the one with the smallest hash of all its columns, so
+    that a rerun keeps the same. Texts without words are near no other; all such rows stay.
     """
-    found = store(join(docs.select("doc_id", "text"), size, similarity))
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.limit(1).count():
-        one = kept.filter("doc_id is not null").dropDuplicates(["doc_id"])
-        return one.unionByName(kept.filter("doc_id is null"))
-    return kept
+    numbered = store(
+        docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    )
+    found = store(join(numbered.select(F.col("row").alias("doc_id"), "doc.text"), size, similarity))
+    near = found.filter("n_links > 0").select(F.col("doc_id").alias("row"), "component_id")
+    # Only rows with links are compared, by numbers; their texts stay where they are.
+    keys = numbered.select(
+        "row", F.col("doc.doc_id").isNull().alias("_null"), F.col("doc.doc_id").alias("_id"),
+        F.xxhash64("doc").alias("_first"), F.xxhash64(F.lit(1), "doc").alias("_second"),
+    )
+    order = F.struct("_null", "_id", "_first", "_second", "row")
+    best = near.join(keys, "row").groupBy("component_id").agg(F.min(order).alias("_best"))
+    stays = best.select(F.col("_best.row").alias("row"))
+    gone = near.select("row").join(stays, "row", "left_anti")
+    return numbered.join(gone, "row", "left_anti").select("doc.*")

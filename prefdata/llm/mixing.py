@@ -11,8 +11,9 @@ Only sums per pattern enter the flow. Patterns that share no source, even throug
 are separate problems, solved in separate tasks; no document passes through them.
 
 Defined cases: a null text has size 0 and is taken 0 times; a null source is a source of its
-own, last in the order; repeated rows count each and are taken alike, as the order goes by
-doc_id; an empty table gives an empty result; a document without sources is never taken.
+own, last in the order; the order goes by doc_id (null or not) and text, so rows that are equal in both
+count each and are taken alike; an empty table gives an empty result; a document without sources
+is never taken; other columns are kept (``mixed``) or not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
 COPY_COSTS = (1, 4)  # cost a word of the first and second copy; convex
 SEED = 17
-BUCKETS = 1 << 12  # of the seeded order, per pattern
+STEP = 12  # bits of the seeded order that a bucket adds
+EDGE_ROWS = 100_000  # rows of a bucket that are ranked one by one, at most
 
 
 def with_size(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -201,33 +203,52 @@ def order_of(key: Column, seed: int = SEED) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 1)
 
 
+def document_key() -> Column:
+    """What a document's place goes by: its id and its text. A null text is the empty text."""
+    text = F.coalesce("text", F.lit(""))
+    return F.xxhash64("doc_id", text, F.length(text))
+
+
 def cuts(rows: DataFrame, flow: DataFrame, copies: int) -> DataFrame:
     """(pattern, cut0, cut1 ...): copy k takes the documents with an order up to cut k.
 
-    ``rows`` are (pattern, size, _at). Words are added up per bucket of the order; only the bucket
-    in which a copy's words end is ranked row by row, so neither a pattern with a third of
-    all rows nor the whole table is sorted. A document is taken if half of it lies
-    within the words.
+    ``rows`` are (pattern, size, _at). Words are added up per bucket of the order, a bucket for each
+    value of its first ``STEP`` bits; the bucket in which a copy's words end is divided by the next
+    ``STEP`` bits until it has at most ``EDGE_ROWS`` rows. Only these are ranked one by one, so neither a
+    pattern with a third of all rows nor the whole table is sorted. A document is taken if half of it
+    lies within the words; documents at one place are taken alike.
     """
-    shift = 63 - (BUCKETS.bit_length() - 1)
-    placed = rows.filter("size > 0").withColumn("_bucket", F.shiftright("_at", shift))
-    sums = placed.groupBy("pattern", "_bucket").agg(F.sum("size").alias("_sum"))
+    shift = 63 - STEP
+    placed = rows.filter("size > 0").select("pattern", "size", "_at")
+    bucket = F.shiftright("_at", shift)
+    sums = placed.groupBy("pattern", bucket.alias("_bucket")).agg(
+        F.sum("size").alias("_sum"), F.count(F.lit(1)).alias("_n")
+    )
     earlier = Window.partitionBy("pattern").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
-    edges = store(
-        before.join(flow, "pattern")
-        .filter("_before <= words and words < _before + _sum")
-        .select("pattern", "_bucket", "copy", F.col("words") - F.col("_before"))
-        .toDF("pattern", "_bucket", "copy", "_left")
-    )
-    inside = Window.partitionBy("pattern", "copy", "_bucket").orderBy("_at").rowsBetween(
-        Window.unboundedPreceding, -1
+    edges = store(_ends(before.join(flow, "pattern").withColumn("_left", F.col("words"))))
+    while shift > STEP and (edges.agg(F.max("_n")).first()[0] or 0) > EDGE_ROWS:
+        here = placed.withColumn("_bucket", F.shiftright("_at", shift)).join(
+            edges.drop("_n"), ["pattern", "_bucket"]
+        )
+        shift -= STEP
+        parts = here.groupBy("pattern", "copy", "_left", F.shiftright("_at", shift).alias("_bucket")).agg(
+            F.sum("size").alias("_sum"), F.count(F.lit(1)).alias("_n")
+        )
+        earlier = Window.partitionBy("pattern", "copy").orderBy("_bucket").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        edges = store(_ends(parts.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))))
+    inside = Window.partitionBy("pattern", "copy", "_bucket").orderBy("_at").rangeBetween(
+        Window.unboundedPreceding, 0
     )
-    start = F.coalesce(F.sum("size").over(inside), F.lit(0))
     last = (
-        placed.join(edges, ["pattern", "_bucket"])
-        .withColumn("_start", start)
-        .filter(F.col("_start") * 2 + F.col("size") <= F.col("_left") * 2)
+        placed.withColumn("_bucket", F.shiftright("_at", shift))
+        .join(edges.drop("_n"), ["pattern", "_bucket"])
+        .groupBy("pattern", "copy", "_bucket", "_left", "_at")
+        .agg(F.sum("size").alias("size"))
+        .withColumn("_end", F.sum("size").over(inside))
+        .filter(F.col("_end") * 2 - F.col("size") <= F.col("_left") * 2)
         .groupBy("pattern", "copy")
         .agg(F.max("_at").alias("_last"))
     )
@@ -249,6 +270,13 @@ def cuts(rows: DataFrame, flow: DataFrame, copies: int) -> DataFrame:
     )
 
 
+def _ends(buckets: DataFrame) -> DataFrame:
+    """The bucket in which each copy's words end, and the words left for it."""
+    return buckets.filter("_before <= _left and _left < _before + _sum").select(
+        "pattern", "copy", "_bucket", (F.col("_left") - F.col("_before")).alias("_left"), "_n"
+    )
+
+
 def plan(
     sized: DataFrame, weights=WEIGHTS, share: float = TOTAL_SHARE, costs=COPY_COSTS, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
@@ -288,8 +316,9 @@ def copies_taken(copies: int, key: Column, seed: int = SEED) -> Column:
 
 def _one_source(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sized documents of one source each, and what ``plan`` says of them."""
-    sized = store(with_size(docs.select("doc_id", "text", "source"), ["doc_id", "source"]))
-    ends, goal = plan(sized.select(F.col("doc_id").alias("key"), "size", F.array("source").alias("sources")))
+    slim = docs.select("doc_id", "text", "source", document_key().alias("key"))
+    sized = store(with_size(slim, ["doc_id", "source", "key"]))
+    ends, goal = plan(sized.select("key", "size", F.array("source").alias("sources")))
     return sized, ends.withColumn("_source", F.col("sources")[0]).drop("sources"), goal
 
 
@@ -300,7 +329,7 @@ def op9_mixing(docs: DataFrame) -> DataFrame:
     facts = store(
         goal.join(ends, goal["_named"].eqNullSafe(ends["_source"]), "left").drop("_source")
     )
-    copies = F.coalesce(copies_taken(len(COPY_COSTS), F.col("doc_id")), F.lit(0))
+    copies = F.coalesce(copies_taken(len(COPY_COSTS), F.col("key")), F.lit(0))
     return sized.join(facts, sized["source"].eqNullSafe(facts["_named"])).select(
         "doc_id",
         "size",
@@ -319,14 +348,14 @@ def mixed(docs: DataFrame) -> DataFrame:
     """
     _, ends, _ = _one_source(docs)
     has_words = F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]", "")) > 0
-    cut_names = [f"cut{k}" for k in range(len(COPY_COSTS))]
-    ends = ends.toDF(*[c if c == "_source" else f"_{c}" for c in ends.columns])
-    joined = docs.filter(has_words).join(ends, docs["source"].eqNullSafe(ends["_source"]))
-    at = order_of(F.col("doc_id"))
-    copies = sum((at <= F.col(f"_{c}")).cast("int") for c in cut_names)
+    rows = docs.filter(has_words).select(
+        F.struct("*").alias("doc"), F.col("source").alias("_named"),
+        document_key().alias("_key"),
+    )
+    joined = rows.join(ends, rows["_named"].eqNullSafe(ends["_source"]))
     return (
-        joined.withColumn("_copies", copies)
+        joined.withColumn("_copies", copies_taken(len(COPY_COSTS), F.col("_key")))
         .filter("_copies > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select("doc.*")
     )

@@ -10,8 +10,9 @@ stay near the level above. The strength of the shrinking comes from the spread o
 against the global odds.
 
 Defined cases: a null text is the empty text; a null host or path is a site of its own;
-repeated rows count each; without labels of both kinds the evidence is 0 and the prior decides;
-an empty table gives an empty result; a null doc_id never teaches.
+repeated rows count each, and equal rows have equal scores; without labels of both kinds the evidence
+is 0 and the prior decides; an empty table gives an empty result; a null doc_id never teaches;
+other columns are kept (``keep_good``) or not looked at, whatever their names.
 """
 
 import math
@@ -128,8 +129,8 @@ def evidence_of(model: dict):
     return evidence
 
 
-def with_evidence(docs: DataFrame, model: dict, name: str = "_evidence") -> DataFrame:
-    """All columns, and the evidence of ``text``."""
+def _evidence(model: dict):
+    """The evidence of a text (UTF-8) as a function of columns."""
     from pyspark.sql.functions import pandas_udf
 
     state = []
@@ -140,7 +141,12 @@ def with_evidence(docs: DataFrame, model: dict, name: str = "_evidence") -> Data
             state.append(evidence_of(model))
         return pd.Series(state[0](list(texts)))
 
-    return docs.withColumn(name, evidence(text_bytes()))
+    return evidence
+
+
+def with_evidence(docs: DataFrame, model: dict, name: str = "_evidence") -> DataFrame:
+    """All columns, and the evidence of ``text``."""
+    return docs.withColumn(name, _evidence(model)(text_bytes()))
 
 
 def site_posteriors(scored: DataFrame) -> DataFrame:
@@ -192,36 +198,43 @@ def _site(column: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit("-"))
 
 
-def assess(docs: DataFrame, model: dict, host: Column, path: Column) -> DataFrame:
-    """All columns of ``docs`` and ``_evidence``, ``_host_rate``, ``_path_rate``, ``_posterior``."""
-    base = math.log(model["good"] / (1 - model["good"]))
+def _assessed(docs: DataFrame, model: dict, host: Column, path: Column, keep: Column) -> DataFrame:
+    """(doc, evidence, host_rate, path_rate, posterior) of every row; ``doc`` is ``keep``.
 
-    def at_sites(df: DataFrame) -> DataFrame:
-        return df.withColumns({"_host": _site(host), "_path": _site(path)})
-
-    # The sites need numbers only, so this pass shuffles sums and no text.
-    narrow = at_sites(with_evidence(docs, model)).select(
-        "_host", "_path", (1 / (1 + F.exp(-(F.col("_evidence") + base)))).alias("_good")
+    Texts are looked at once: their evidence is stored with what is kept of the row, and both the sites
+    and the rows' posteriors are made from there.
+    """
+    base = math.log(model["good"] / (1 - model["good"]))
+    rows = docs.select(
+        keep.alias("doc"), _site(host).alias("_host"), _site(path).alias("_path"),
+        _evidence(model)(text_bytes()).alias("evidence"),
+    )
+    rows = store(rows)
+    sites = site_posteriors(
+        rows.select("_host", "_path", (1 / (1 + F.exp(-(F.col("evidence") + base)))).alias("_good"))
     )
-    sites = site_posteriors(narrow)
     # sites is a stored table, so Spark knows its size: small ones are broadcast, others
     # joined by a shuffle in which AQE splits frequent sites.
     rate = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_rate")))
-    odds = F.col("_evidence") + F.log(rate / (1 - rate))
-    return (
-        at_sites(with_evidence(docs, model))
-        .join(sites, ["_host", "_path"], "left")
-        .withColumns({"_posterior": 1 / (1 + F.exp(-odds))})
-        .withColumnsRenamed({"host_rate": "_host_rate", "path_rate": "_path_rate"})
-        .drop("_host", "_path")
+    odds = F.col("evidence") + F.log(rate / (1 - rate))
+    return rows.join(sites, ["_host", "_path"], "left").select(
+        "doc", "evidence", "host_rate", "path_rate", (1 / (1 + F.exp(-odds))).alias("posterior")
     )
 
 
+def assess(docs: DataFrame, model: dict, host: Column, path: Column) -> DataFrame:
+    """All columns of ``docs`` and ``_evidence``, ``_host_rate``, ``_path_rate``, ``_posterior``; a column
+    of ``docs`` that has one of these names is left out."""
+    added = ("evidence", "host_rate", "path_rate", "posterior")
+    kept = [c for c in docs.columns if c.lower() not in {f"_{name}" for name in added}]
+    rated = _assessed(docs, model, host, path, F.struct(*[F.col(f"`{c}`") for c in kept]))
+    return rated.select("doc.*", *[F.col(name).alias(f"_{name}") for name in added])
+
+
 def keep_good(docs: DataFrame, model: dict, host: Column, path: Column, threshold: float = 0.5) -> DataFrame:
     """The rows with a posterior of at least ``threshold``, with the columns they had."""
-    return assess(docs, model, host, path).filter(F.col("_posterior") >= threshold).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+    rated = _assessed(docs, model, host, path, F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    return rated.filter(F.col("posterior") >= threshold).select("doc.*")
 
 
 def op1_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -233,13 +246,13 @@ def op1_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     held_out = crc_fold("doc_id", 5) == 0
     model = train(docs, labels, ~held_out)
-    rated = assess(docs.select("doc_id", "text", "source", "lang"), model, F.col("source"), F.col("lang"))
+    rated = _assessed(docs, model, F.col("source"), F.col("lang"), F.struct("doc_id", held_out.alias("held_out")))
     return rated.select(
-        "doc_id",
-        held_out.alias("held_out"),
-        F.col("_evidence").alias("evidence"),
-        F.col("_host_rate").alias("host_rate"),
-        F.col("_path_rate").alias("path_rate"),
-        F.col("_posterior").alias("score"),
-        (F.col("_posterior") >= 0.5).cast("int").alias("predicted"),
+        "doc.doc_id",
+        "doc.held_out",
+        "evidence",
+        "host_rate",
+        "path_rate",
+        F.col("posterior").alias("score"),
+        (F.col("posterior") >= 0.5).cast("int").alias("predicted"),
     )

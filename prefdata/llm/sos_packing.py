@@ -7,11 +7,13 @@ Documents come longest first within blocks of the input; when a block is through
 sequences still open are emptied into each other's gaps as far as that goes.
 
 Documents longer than a sequence are cut losslessly. Placing needs lengths only, so no ids are
-shuffled. The lengths are dealt into packs by a hash of the document; a pack fits into one
-task by construction, whatever the size of the corpus, and each pack ends with a part of a sequence.
+shuffled. The lengths are dealt into packs by a hash of the document and of the number that a
+piece got when it was stored; a pack fits into one task whatever the size of the corpus and
+however often an id is repeated or null, and each pack ends with a part of a sequence.
 
 Defined cases: a null text is the empty text, which has the end id alone; a null doc_id is a
-document as any other; repeated rows are packed each; an empty table gives an empty result.
+document as any other; repeated rows are packed each, ties in their order as stored; an empty table
+gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -119,24 +121,25 @@ def _empty_into_gaps(lengths, members, open_with, capacity) -> None:
 
 
 def place(found: DataFrame, capacity: int = CAPACITY, pack_rows: int = PACK_ROWS) -> DataFrame:
-    """``found`` (stored pieces) with ``sequence_id`` and ``offset``."""
+    """``found`` (pieces) with ``sequence_id`` and ``offset``."""
+    found = store(found.withColumn("_row", F.monotonically_increasing_id()))
     packs = parts_for(found.count(), pack_rows)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema if f.name != "_row")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece"], kind="stable", ignore_index=True)
+        rows = rows.sort_values(["doc_id", "piece", "ids_crc32", "_row"], ignore_index=True)
         number = int(rows["_pack"].iloc[0]) if len(rows) else 0
         sequence, offset = pack(rows["length"].to_numpy(), capacity)
         rows["sequence_id"], rows["offset"] = sequence * packs + number, offset
-        return rows.drop(columns="_pack")
+        return rows.drop(columns=["_pack", "_row"])
 
-    dealt = found.withColumn("_pack", salt(F.struct("doc_id", "piece"), packs))
+    dealt = found.withColumn("_pack", salt(F.struct("doc_id", "piece", "_row"), packs))
     return dealt.groupBy("_pack").applyInPandas(run, f"{kinds}, sequence_id long, offset long")
 
 
 def packed(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece."""
-    return place(store(token_pieces(docs, capacity, path)), capacity)
+    return place(token_pieces(docs, capacity, path), capacity)
 
 
 def op4_packing(docs: DataFrame) -> DataFrame:

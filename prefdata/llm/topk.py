@@ -11,12 +11,14 @@ block, never scores.
 Defined cases: vectors that are null, empty, hold a null or non-finite component or have
 another length than most take no part; a null id neither; rows repeated with the same id
 count each as candidates, a query's own id is never its candidate, and of several query rows with
-one id the smallest vector asks; an empty table gives no rows. Scores are exact; one beyond
-a long is held at its limit.
+one id the smallest vector asks; an empty table gives no rows; other columns are not looked at.
+Scores are exact, whatever finite components; one beyond a long is held at its limit.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -41,22 +43,29 @@ def scaled(vectors: np.ndarray) -> np.ndarray:
 
 
 def inner_products(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Whole-number inner products, exact."""
-    most = rows.shape[1] * np.abs(rows).max(initial=0) * np.abs(queries).max(initial=0)
+    """Inner products of the scaled vectors, whole numbers, exact; held at a long's limits."""
+    with np.errstate(over="ignore"):
+        a, b = scaled(rows), scaled(queries)
+        most = rows.shape[1] * np.abs(a).max(initial=0) * np.abs(b).max(initial=0)
     if most < 2**53:
-        return (rows @ queries.T).astype(np.int64)
-    whole = [[[int(x) for x in r] for r in m.tolist()] for m in (rows, queries)]
+        return (a @ b.T).astype(np.int64)
+    whole = [[[_whole(x) for x in r] for r in m.tolist()] for m in (rows, queries)]
     exact = [
         [max(_LONG.min, min(_LONG.max, sum(a * b for a, b in zip(r, q)))) for q in whole[1]] for r in whole[0]
     ]
     return np.array(exact, np.int64).reshape(len(rows), len(queries))
 
 
+def _whole(x: float) -> int:
+    """floor(SCALE * x), exact: a component beyond 2**60 is a whole number by itself."""
+    return SCALE * int(x) if abs(x) > 1 << 60 else math.floor(SCALE * x)
+
+
 def _scored(batches, ids: np.ndarray, queries: np.ndarray):
     """(vec_ids, scores, counts) of chunks of rows; own rows are not counted."""
     for batch in batches:
         all_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-        rows = scaled(matrix(batch.column("v")))
+        rows = matrix(batch.column("v"))
         for at in range(0, len(all_ids), CHUNK):
             vec_ids = all_ids[at : at + CHUNK]
             scores = inner_products(rows[at : at + CHUNK], queries)
@@ -158,7 +167,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         if not block.num_rows:
             continue
         ids = block.column("vec_id").to_numpy()
-        vectors = scaled(matrix(pa.concat_arrays(block.column("v").chunks)))
+        vectors = matrix(pa.concat_arrays(block.column("v").chunks))
         least = kth_scores(rows, ids, vectors, k)
         part = _selected(rows, ids, vectors, least, k)
         found = part if found is None else found.unionByName(part)

@@ -38,11 +38,10 @@ EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "clownfish",
 
 MAX_TRAINING_ROWS = 20_000  # labelled rows that teach
 MAX_HELD = 100_000  # places that a task holds before it passes them on, about
-MAX_TERMS = 5_000  # terms in the lexicon, the best supported first
 MIN_WEIGHT = 3.0  # log-odds of a term, less one standard error
-MIN_PLACES = (5, 0.02)  # places of a term in toxic texts: a number, and a share of the texts
+MIN_PLACES = 5  # places of a term in toxic texts
 CHANCE_WEIGHT = 4.0  # weight in a text that counts for nothing
-PREFIX = (4, 16)  # letters of a term
+SHORT, LONG = 4, 32  # letters of a term that is the beginning of words
 
 _TABLE = {ord(a): b for a, b in zip(CYRILLIC + GREEK + SIGNS, CYRILLIC_AS + GREEK_AS + SIGNS_AS)}
 _TABLE |= {ord(q): " " for q in QUOTES} | dict.fromkeys((0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF))
@@ -83,19 +82,21 @@ def _listed(held: dict) -> dict:
     }
 
 
-def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, float]:
+def learn_lexicon(sample: DataFrame) -> dict[str, float]:
     """Weight of each term, from (text, label).
 
     A term is a word's beginning with a weight of at least ``MIN_WEIGHT`` that no single
-    longer beginning could replace, and of which no part is a term. What counts is after
+    longer beginning could replace, and of which no part is a term. Words of fewer than ``SHORT``
+    letters are terms as a whole: they end with a blank. What counts is after
     how many different words it stands in toxic and in other texts, as copies of a text
-    repeat its words in the same places; there have to be ``MIN_PLACES`` in toxic texts.
+    repeat its words in the same places; there have to be ``MIN_PLACES`` in toxic texts. The weight
+    less its standard error decides what is chance, at any size of the sample, and no term beyond is
+    left out: the lexicon is bounded by the words of the sample.
     """
     one_per_text = sample.select(text_bytes().alias("text"), "label").dropDuplicates()
     sizes = one_per_text.groupBy("label").count().collect()
     n = {bool(r["label"]): r["count"] for r in sizes}
     n_toxic, n_other = n.get(True, 0), n.get(False, 0)
-    support = max(MIN_PLACES[0], MIN_PLACES[1] * n_toxic)
     words = (
         map_batches(one_per_text, _contexts, "word string, before long, kind int")
         .groupBy("word", "before")
@@ -103,26 +104,24 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, fl
         .groupBy("word")
         .agg(F.count_if(F.col("kind") >= 2).alias("toxic"), F.count_if(F.col("kind") % 2 == 1).alias("other"))
     )
-    low, high = PREFIX
-    lengths = F.sequence(F.lit(low), F.least(F.length("word"), F.lit(high)))
+    # A longer word is its first LONG letters.
+    lengths = F.sequence(F.lit(SHORT), F.least(F.greatest(F.length("word"), F.lit(SHORT)), F.lit(LONG)))
+    beginnings = F.transform(lengths, lambda k: F.substring("word", 1, k))
+    whole = F.array(F.concat("word", F.lit(" ")))
     starts = (
-        words.filter(F.length("word") >= low)
-        .select(
-            F.explode(F.transform(lengths, lambda k: F.substring("word", 1, k))).alias("term"),
-            "toxic",
-            "other",
+        words.select(
+            F.explode(F.when(F.length("word") < SHORT, whole).otherwise(beginnings)).alias("term"), "toxic", "other"
         )
         .groupBy("term")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .filter(F.col("toxic") >= support)
+        .filter(F.col("toxic") >= MIN_PLACES)
     )
     odds = (F.col("toxic") + 0.5) / (n_toxic + 1) / ((F.col("other") + 0.5) / (n_other + 1))
-    # Shares of toxic and other texts, with half a place added to each.
+    # Shares of toxic and other texts, with half a place added to each. The rows are words of at most
+    # MAX_TRAINING_ROWS texts that pass the test.
     found = (
         starts.withColumn("weight", F.log(odds))
         .filter(F.col("weight") - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("other") + 0.5)) >= MIN_WEIGHT)
-        .orderBy(F.desc("toxic"), "term")
-        .limit(4 * max_terms)
         .collect()
     )
     longer = {}
@@ -132,11 +131,10 @@ def learn_lexicon(sample: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, fl
     closed = [r for r in found if longer.get(r["term"], 0) < 0.9 * r["toxic"]]
     lexicon = {}
     for row in sorted(closed, key=lambda r: (len(r["term"]), r["term"])):
-        starts_of = (row["term"][:k] for k in range(low, len(row["term"])))
+        starts_of = (row["term"][:k] for k in range(1, len(row["term"])))
         if not any(s in lexicon for s in starts_of):
             lexicon[row["term"]] = row["weight"]
-    best = sorted(lexicon.items(), key=lambda x: (-x[1], x[0]))[:max_terms]
-    return dict(best)
+    return lexicon
 
 
 class Matcher:

@@ -96,3 +96,17 @@ def test_overlaps():
     sets = [np.unique(np.random.default_rng(k).integers(0, 500, 200).astype(np.uint64)) for k in range(7)]
     got = J.overlaps(sets[:4], sets[3:], columns=64)
     assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[3:]] for a in sets[:4]]
+
+
+def test_one_row_of_each_group_by_rows(spark):
+    """Ids that are null or stand at several texts: every text is judged by itself."""
+    t, u, v = prose(1, 60), prose(2, 60), prose(3, 60)
+    near = t + " and one more"
+    rows = [(1, t), (2, t), (2, u), (None, t), (None, t), (None, u), (None, v), (None, v), (7, near), (None, None), (8, "")]
+    docs = spark.createDataFrame([(i, x, "en", 5) for i, x in rows], "doc_id long, text string, row string, n_links int")
+    for parts in (1, 4):
+        got = J.keep_one(docs.repartition(parts))
+        assert got.dtypes == docs.dtypes
+        kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+        assert sorted(kept, key=str) == sorted([(1, t), (2, u), (None, v), (None, None), (8, "")], key=str)
+    assert J.keep_one(docs.limit(0)).count() == 0

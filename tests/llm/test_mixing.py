@@ -108,3 +108,27 @@ def test_ranks(spark):
     keys = spark.createDataFrame([(k,) for k in ["b", None, "a", "Z", "é", "c"]], "k string").repartition(3)
     got = {r["k"]: r["rank"] for r in M.ranked(keys, "k").collect()}
     assert got == {"Z": 0, "a": 1, "b": 2, "c": 3, "é": 4, None: 5}
+
+
+def test_a_third_of_the_ids_null_and_small_buckets(spark, monkeypatch):
+    """Places go by id and text, and the last bucket is divided until it is small."""
+    monkeypatch.setattr(M, "EDGE_ROWS", 3)
+    rng = random.Random(9)
+    rows = [
+        (None if i % 3 == 0 else i % 40, prose(i, rng.randint(1, 30)), rng.choice(["a", "b", "c", "c", "c"]), 1, 2, "k")
+        for i in range(900)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _source int, _copies int, key string")
+    found = M.op9_mixing(docs).collect()
+    taken, want, size = {}, {}, {}
+    for r in found:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+        want[r["source"]], size[r["source"]] = r["target"], r["source_size"]
+    assert size == {s: sum(len(t.split()) for _, t, x, *_ in rows if x == s) for s in "abc"}
+    assert all(abs(taken[s] - want[s]) <= 40 for s in want)
+    mixed = M.mixed(docs.repartition(5))
+    assert mixed.dtypes == docs.dtypes
+    words = {}
+    for r in mixed.collect():
+        words[r["source"]] = words.get(r["source"], 0) + len(r["text"].split())
+    assert words == taken

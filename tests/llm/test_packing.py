@@ -128,3 +128,49 @@ def test_best_fit_decreasing(lengths):
 def test_positions():
     assert T.positions([3, 1, 2]).tolist() == [0, 1, 2, 0, 0, 1]
     assert T.positions([]).tolist() == []
+
+
+def slow_pack(lengths, capacity):
+    """Gaps of open sequences after each document: the choice with the least sum of squares, smallest gap first."""
+    gaps = []
+    for size in sorted(lengths, reverse=True):
+        best = None
+        for gap in [capacity] + sorted(set(gaps)):
+            if gap < size:
+                continue
+            after = list(gaps)
+            if gap in gaps:
+                after.remove(gap)
+            elif gap != capacity:
+                continue
+            if gap - size:
+                after.append(gap - size)
+            squares = sum(after.count(g) ** 2 for g in set(after))
+            fresh = gap == capacity and gap not in gaps
+            key = (squares, fresh, gap)
+            if best is None or key < best[0]:
+                best = (key, after)
+        gaps = best[1]
+    return sorted(gaps)
+
+
+def test_every_choice_has_the_least_sum_of_squares(monkeypatch):
+    monkeypatch.setattr(S, "_empty_into_gaps", lambda *args: None)
+    rng = np.random.default_rng(4)
+    for _ in range(40):
+        lengths = rng.integers(1, 21, rng.integers(1, 40))
+        sequence, offset = S.pack(lengths, 20)
+        left = [20 - int(lengths[sequence == s].sum()) for s in np.unique(sequence)]
+        assert sorted(g for g in left if g) == slow_pack(lengths.tolist(), 20)
+
+
+def test_a_third_of_the_rows_with_one_id(spark):
+    """The same piece many times is dealt over packs like any others."""
+    rows = [(None if i % 3 else 5, prose(1, 30)) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = S.place(S.token_pieces(docs, 2048), 2048, pack_rows=50)
+    packs = -(-600 // 50)
+    sizes = {}
+    for r in found.collect():
+        sizes[r["sequence_id"] % packs] = sizes.get(r["sequence_id"] % packs, 0) + 1
+    assert sum(sizes.values()) == 600 and len(sizes) == packs and max(sizes.values()) <= 90

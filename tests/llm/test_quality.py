@@ -85,3 +85,24 @@ def test_defined_cases(spark):
     assert {r["evidence"] for r in Q.op1_quality(docs, labels.limit(0)).collect()} == {0.0}
     kept = Q.keep_good(both, Q.train(docs, labels), F.col("source"), F.col("lang"))
     assert kept.columns == docs.columns and 60 < kept.count() <= 104
+
+
+def test_input_columns_with_names_of_the_results(spark):
+    rows = [(i, prose(i, 20 + i), f"h{i % 3}", "p", 7.0, "x", 1) for i in range(40)] + [(None, None, None, "p", None, None, None)]
+    names = "doc_id long, text string, source string, lang string, host_rate double, path_rate string, _evidence int"
+    docs = spark.createDataFrame(rows, names)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = Q.train(docs, labels)
+    rated = Q.assess(docs, model, F.col("source"), F.col("lang"))
+    assert rated.columns == [*docs.columns[:-1], "_evidence", "_host_rate", "_path_rate", "_posterior"]
+    assert dict(rated.dtypes)["_evidence"] == "double" and rated.count() == 41
+    kept = Q.keep_good(docs, model, F.col("source"), F.col("lang"), threshold=0.0)
+    assert kept.dtypes == docs.dtypes and sorted(map(tuple, kept.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_a_very_long_text(spark):
+    text = " ".join([prose(1, 500)] * 400)
+    assert len(Q.features(text.encode())) == len(Q.FEATURES)
+    docs = frame(spark, [text, prose(2, 40)])
+    labels = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    assert Q.op1_quality(docs, labels).count() == 2

@@ -123,3 +123,16 @@ def test_best_bin_first_visits_every_leaf_once_nearest_first():
         assert sorted(order) == list(range(tree.leaves))
         first += order[0] == leaf[i]
     assert first > 90
+
+
+def test_components_of_any_size(spark):
+    vectors = [(0, [1e308, 1.0]), (50, [7e305, -1e308]), (1, [2.0**70, 0.5]), (2, [-3e38, 3.5]), (3, [1e-300, 2.0])]
+    schema = "vec_id long, embedding array<double>, label int"
+    df = spark.createDataFrame([(i, v, 1) for i, v in vectors], schema)
+
+    def exact(a, b):
+        whole = [[256 * int(x) if abs(x) > 2**60 else math.floor(256 * x) for x in v] for v in (a, b)]
+        return max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(*whole))))
+
+    got = found(T.op7_topk(df).collect())
+    assert got == exact_top(vectors, 5, exact, lambda i: i % 50 == 0)

@@ -71,3 +71,47 @@ def test_fold_is_crc32(spark, key, fold):
 
     got = spark.sql(f"select {key}L doc_id").select(crc_fold("doc_id", 5)).first()[0]
     assert got == zlib.crc32(key.encode()) % 5
+
+
+def test_short_words_and_many_terms(spark):
+    """Whole words of three letters are terms, and no number of terms is left out."""
+    rng = random.Random(2)
+    bad = [f"{a}{b}x" for a in "bcdfg" for b in "aeiou"] + [f"vex{a}{b}ard" for a in "bcdfg" for b in "aeiou"]
+    rows, labels = [], []
+    for i in range(800):
+        words = prose(i, 40).split()
+        toxic = i % 4 == 0
+        if toxic:
+            for word in rng.sample(bad, 12):
+                words.insert(rng.randrange(len(words)), word)
+        rows.append(" ".join(words))
+        labels.append((i, int(toxic)))
+    docs = frame(spark, rows)
+    model = T.train(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    terms = set(model["lexicon"])
+    assert {w for w in bad if len(w) == 3} <= {t.strip() for t in terms if t.endswith(" ")}
+    scores = T.scorer(model)
+    matcher = T.Matcher(model["lexicon"], ())
+    assert [h[3] for h in matcher.find(T.fold("a bax and baxter"))] == ["bax "]
+    value = scores([b"you vexbaard and cox and dux", b"a harmless line of words"])[0]
+    assert value[0] >= 0.5 > value[1]
+    assert T.learn_lexicon(frame(spark, ["y" * 5000]).selectExpr("text", "1 AS label")) == {}
+
+
+def test_hits_are_those_of_a_scan_of_all_terms(spark):
+    rng = random.Random(6)
+    letters = "aab"
+    lexicon = {"".join(rng.choice(letters) for _ in range(rng.randint(4, 6))): 4.0 for _ in range(12)}
+    lexicon |= {"ab ": 5.0, "b ": 5.0}
+    matcher = T.Matcher(lexicon, ("aaaa ab",))
+    for seed in range(60):
+        words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 8))) for _ in range(rng.randint(0, 12))]
+        folded = T.fold(" ".join(words))
+        excused = [(i, i + 8) for i in range(len(folded)) if folded.startswith(" aaaa ab ", i)]
+        want = []
+        for term, weight in lexicon.items():
+            for i in range(len(folded)):
+                end = i + len(term)
+                if folded.startswith(" " + term, i) and not any(a <= i and end <= b for a, b in excused):
+                    want.append((i, end, weight, term))
+        assert sorted(matcher.find(folded)) == sorted(want)
