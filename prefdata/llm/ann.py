@@ -1,17 +1,24 @@
 """Approximate nearest neighbours by cosine: hierarchical k-means and best-bin-first search.
 
 A tree of k-means centres is fitted on a bounded sample of distinct directions; every row is
-then put into a leaf of it. A query walks the tree with a priority queue, always opening the node with
-the nearest centre, which puts the leaves in the order in which they are worth a visit. How many
-leaves are visited is calibrated: for a bounded sample of queries the true neighbours
-among all rows are found, and the visits are widened until they hold the wanted share of
-them. Queries and rows meet per leaf; a leaf with many rows or queries is dealt into chunks.
-Scores of visited rows are exact cosines of the original vectors.
+then put into a leaf of it. A leaf that holds many more rows than the sample let expect is divided
+again by a tree of its own, in the task that looks into it, so leaves stay small at any size. A query
+walks a tree with a priority queue, always opening the node with the nearest centre, which puts the
+leaves in the order in which they are worth a visit, and it stops where the queue's best centre is
+farther from the query than the nearest leaf's by more than a margin. So a query between clusters visits
+many leaves and one within a cluster few. The margin is calibrated: for a bounded sample of queries the
+true neighbours among all rows are found, and it is the least with which the walks come to the
+wanted share of them. Recall is then measured by the search itself on other queries, and the margin is
+widened until it is reached.
+
+Rows are dealt into bins of about ``BIN`` rows, whole leaves or chunks of large ones. A query goes
+to a bin once, with its leaves there, and comes back with its best k; so what is shuffled grows with queries and
+bins, not with leaves. Scores of visited rows are exact cosines of the original vectors.
 
 Defined cases: vectors that are null, empty, zero, hold a null or non-finite component or have
 another length than most take no part; a null id neither; rows repeated with the same id count
 each as candidates, a query's own id is never its candidate, and of several query rows with one id the
-smallest vector asks; an empty table gives no rows.
+smallest vector asks; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -30,12 +37,15 @@ from prefdata.llm.vectors import matrix, usable
 K = 5
 EVERY = 50
 SAMPLE = 20_000  # directions that the tree is fitted on, at most
-CALIBRATION = 200  # queries whose true neighbours are found, at most
-RECALL = 0.97  # share of true neighbours that the visits must hold for them
+CALIBRATION = 200  # queries whose true neighbours are found, at most; as many others check the recall
+RECALL = 0.96  # share of true neighbours that the walks of the first must come to
+CHECKED = 0.94  # share that the search must find for the others
 BRANCHES = 8
-ROWS_PER_LEAF = 400
+ROWS_PER_LEAF = 100
 ROUNDS = 10  # of k-means
-CHUNK = 4096  # rows or queries of a leaf in one group, about
+BIN = 20_000  # rows in one task, about
+CHUNK = 4096  # rows of a leaf in one bin, or queries that meet a bin at once, about
+BLOCK = 256  # queries that are compared at once
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -108,21 +118,35 @@ class Tree:
 
     def visits(self, direction: np.ndarray):
         """Leaves, best bin first."""
-        queue = [(0.0, self.root)]
+        return (leaf for leaf, _ in self.walk(direction))
+
+    def walk(self, direction: np.ndarray, margin: float = np.inf):
+        """(leaf, margin that it needs), best bin first, as far as ``margin`` goes.
+
+        What a leaf needs is how far the queue's best centre ever fell below the first leaf's before.
+        """
+        queue, first, need = [(0.0, self.root)], None, 0.0
         while queue:
-            _, node = heapq.heappop(queue)
+            far, node = heapq.heappop(queue)
+            if first is not None:
+                need = max(need, first + far)
+                if need > margin:
+                    return
             if node < 0:
-                yield ~node
+                first = -far if first is None else first
+                yield ~node, need
                 continue
             for near, child in zip(self.centres[node] @ direction, self.children[node]):
                 heapq.heappush(queue, (-float(near), child))
 
 
-def best(ids, vectors, query_ids, queries, k: int) -> list[tuple[int, int, float]]:
-    """(query_id, vec_id, score) of the k nearest rows of each query."""
+def best(ids, vectors, query_ids, queries, k: int, asked=None) -> list[tuple[int, int, float]]:
+    """(query_id, vec_id, score) of the k nearest rows of each query; ``asked``: pairs to look at."""
     out = []
     near_all = unit(queries) @ unit(vectors).T
     near_all[query_ids[:, None] == ids[None, :]] = -np.inf
+    if asked is not None:
+        near_all[~asked] = -np.inf
     for q, near in zip(range(len(queries)), near_all):
         some = np.flatnonzero(near > -np.inf)
         if len(some) > k:
@@ -156,115 +180,184 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k)
 
 
-def _some(rows: DataFrame, most: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of at most ``most`` of the ``n`` rows, chosen by a hash."""
+def _some(rows: DataFrame, most: int, n: int, skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of at most ``most`` of the ``n`` rows, chosen by a hash, after ``skip`` others."""
     at = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(1 << 40))
-    if n > most:
-        rows = rows.filter(at < int((1 << 40) * min(1.0, 1.2 * most / n + 0.001)))
-    chosen = rows.select("vec_id", "v").orderBy(at, "vec_id").limit(most).toArrow()
-    if not chosen.num_rows:
+    if n > skip + most:
+        rows = rows.filter(at < int((1 << 40) * min(1.0, 1.2 * (skip + most) / n + 0.001)))
+    chosen = rows.select("vec_id", "v").orderBy(at, "vec_id").limit(skip + most).toArrow()
+    if chosen.num_rows <= skip:
         return np.zeros(0, np.int64), np.zeros((0, 1))
-    return chosen.column("vec_id").to_numpy(), matrix(pa.concat_arrays(chosen.column("v").chunks))
+    vectors = matrix(pa.concat_arrays(chosen.column("v").chunks))
+    return chosen.column("vec_id").to_numpy()[skip:], vectors[skip:]
 
 
 def fit(rows: DataFrame, n: int) -> Tree:
     """A tree whose leaves hold about ``ROWS_PER_LEAF`` of ``n`` rows, from at most ``SAMPLE`` of them."""
     _, sample = _some(rows, SAMPLE, n)
+    return grown(sample, n)
+
+
+def grown(sample: np.ndarray, n: int) -> Tree:
     directions = np.unique(unit(sample), axis=0) if len(sample) else sample
     leaves = max(1, min(n // ROWS_PER_LEAF, len(directions) // 16))
     return Tree(directions, len(directions) // leaves)
 
 
-def calibrate(tree: Tree, rows: DataFrame, queries: DataFrame, n_queries: int, k: int, recall: float) -> int:
-    """Leaves to visit, so that ``recall`` of the true neighbours of sampled queries lie in them."""
+def calibrate(tree: Tree, rows: DataFrame, queries: DataFrame, n_queries: int, k: int, recall: float) -> float:
+    """The margin with which ``recall`` of the true neighbours of sampled queries lie in visited leaves."""
     ids, vectors = _some(queries, CALIBRATION, n_queries)
     if not len(ids):
-        return 1
+        return 0.0
     truth = _nearest_rows(rows, ids, vectors, k).select("query_id", "vec_id").distinct()
     homes = rows.select("vec_id", "leaf").join(F.broadcast(truth), "vec_id").distinct().collect()
-    place = {
-        q: {leaf: i for i, leaf in enumerate(tree.visits(direction))}
-        for q, direction in zip(ids.tolist(), unit(vectors))
-    }
-    needed = sorted(place[h["query_id"]][h["leaf"]] + 1 for h in homes)
-    return needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)] if needed else 1
+    needs = {q: dict(tree.walk(direction)) for q, direction in zip(ids.tolist(), unit(vectors))}
+    needed = sorted(needs[h["query_id"]][h["leaf"]] for h in homes)
+    return needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)] if needed else 0.0
+
+
+class Index:
+    """Rows with their leaves, dealt into bins; the tree and the margin of the walks."""
+
+    def __init__(self, rows: DataFrame):
+        rows = store(rows.select("vec_id", "v"))
+        self.n = rows.count()
+        self.tree = tree = fit(rows, self.n)
+        self.margin = np.inf
+
+        def place(batches):
+            for batch in batches:
+                leaf = tree.leaf_of(unit(matrix(batch.column("v")))) if len(batch) else []
+                yield {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "leaf": leaf}
+
+        self.placed = store(map_batches(rows, place, "vec_id long, v array<double>, leaf int"))
+        # One number per leaf, of at most SAMPLE / 16 leaves.
+        sizes = {r["leaf"]: r["count"] for r in self.placed.groupBy("leaf").count().collect()}
+        self.sizes = [sizes.get(leaf, 0) for leaf in range(tree.leaves)]
+        self.chunks = [-(-size // CHUNK) for size in self.sizes]
+        self.firsts = np.concatenate([[0], np.cumsum(self.chunks)]).astype(int).tolist()
+        self.bins = max(1, -(-self.n // BIN))
+
+    def by_bin(self) -> DataFrame:
+        """The rows with their bins: chunk after chunk, leaf after leaf, goes to the next bin."""
+        def of_leaf(numbers: list[int]):
+            return F.element_at(F.array(*[F.lit(int(x)) for x in numbers]), F.col("leaf") + 1)
+
+        chunk = F.pmod(F.xxhash64("vec_id"), F.greatest(of_leaf(self.chunks), F.lit(1)))
+        return self.placed.withColumn("bin", F.pmod(of_leaf(self.firsts[:-1]) + chunk, F.lit(self.bins)).cast("int"))
+
+    def search(self, queries: DataFrame, n_queries: int, k: int) -> DataFrame:
+        """(query_id, vec_id, score, rank) of what the walks of queries (vec_id, v) find."""
+        tree, margin, bins = self.tree, self.margin, self.bins
+        sizes, chunks, firsts = self.sizes, self.chunks, self.firsts
+
+        def walk(batches):
+            for batch in batches:
+                vectors, out = matrix(batch.column("v")), []
+                for i, direction in enumerate(unit(vectors) if len(batch) else []):
+                    held, leaves = 0, {}
+                    for leaf, need in tree.walk(direction):
+                        if need > margin and held > k:
+                            break
+                        held += sizes[leaf]
+                        for unit_no in range(firsts[leaf], firsts[leaf] + chunks[leaf]):
+                            leaves.setdefault(unit_no % bins, set()).add(leaf)
+                    out += [(i, b, sorted(own)) for b, own in leaves.items()]
+                picked = pa.array([i for i, _, _ in out], pa.int64())
+                yield {
+                    "query_id": batch.column("vec_id").take(picked),
+                    "q": batch.column("v").take(picked),
+                    "bin": [b for _, b, _ in out],
+                    "leaves": pa.array([own for _, _, own in out], pa.list_(pa.int32())),
+                }
+
+        # The walks are shared out over all cores; some queries at a time meet a bin.
+        tasks = max(queries.sparkSession.sparkContext.defaultParallelism, n_queries // 1000)
+        asked = map_batches(
+            queries.select("vec_id", "v").repartition(tasks, "vec_id"), walk,
+            "query_id long, q array<double>, bin int, leaves array<int>",
+        )
+        parts = max(1, -(-n_queries // CHUNK))
+        left = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+        right = self.by_bin().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        met = (
+            left.groupBy("bin", "part")
+            .cogroup(right.groupBy("bin", "part"))
+            .applyInPandas(_compare(k, margin), "query_id long, vec_id long, score double")
+        )
+        return _ranked(met, k)
 
 
-def search(rows: DataFrame, queries: DataFrame, k: int = K, recall: float = RECALL) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k nearest rows found of each query.
+def _compare(k: int, margin: float):
+    names = ["query_id", "vec_id", "score"]
 
-    Both inputs have (vec_id, v array<double>), without zero vectors.
-    """
-    rows = store(rows.select("vec_id", "v"))
-    asked = store(queries.groupBy("vec_id").agg(F.min("v").alias("v")))
-    n, n_queries = rows.count(), asked.count()
-    tree = fit(rows, n)
+    def run(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
+        if not len(ask) or not len(have):
+            return pd.DataFrame([], columns=names)
+        have = have.sort_values("leaf", kind="stable")
+        leaf, ids, vectors = have["leaf"].to_numpy(), have["vec_id"].to_numpy(), np.stack(have["v"])
+        spans = {}
+        for own in np.unique(leaf):
+            at, to = np.searchsorted(leaf, own), np.searchsorted(leaf, own, "right")
+            # A leaf that the sample was too small for is divided here.
+            deep = to - at > 16 * ROWS_PER_LEAF
+            tree = grown(_sample_of(vectors[at:to]), to - at) if deep else None
+            spans[own] = (at, to, tree, tree.leaf_of(unit(vectors[at:to])) if deep else None)
+        found = []
+        for start in range(0, len(ask), BLOCK):
+            some = ask.iloc[start : start + BLOCK]
+            queries = np.stack(some["q"])
+            directions = unit(queries)
+            asked = np.zeros((len(some), len(ids)), bool)
+            for i, leaves in enumerate(some["leaves"]):
+                for own in leaves:
+                    if own not in spans:
+                        continue
+                    at, to, tree, within = spans[own]
+                    if tree is None:
+                        asked[i, at:to] = True
+                    else:
+                        asked[i, at:to] = np.isin(within, _visited(tree, within, directions[i], margin, k))
+            found += best(ids, vectors, some["query_id"].to_numpy(), queries, k, asked)
+        return pd.DataFrame(found, columns=names)
 
-    def place(batches):
-        for batch in batches:
-            leaf = tree.leaf_of(unit(matrix(batch.column("v")))) if len(batch) else []
-            yield {"vec_id": batch.column("vec_id"), "v": batch.column("v"), "leaf": leaf}
+    return run
 
-    placed = store(map_batches(rows, place, "vec_id long, v array<double>, leaf int"))
-    # One number per leaf, of at most SAMPLE / 16 leaves.
-    sizes = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}
-    visits = calibrate(tree, placed, asked, n_queries, k, recall)
 
-    def walk(batches):
-        for batch in batches:
-            vectors, out = matrix(batch.column("v")), []
-            for i, direction in enumerate(unit(vectors) if len(batch) else []):
-                held = 0
-                for count, leaf in enumerate(tree.visits(direction)):
-                    if count >= visits and held > k:
-                        break
-                    if leaf in sizes:
-                        out.append((i, leaf))
-                        held += sizes[leaf]
-            picked = pa.array([i for i, _ in out], pa.int64())
-            yield {
-                "query_id": batch.column("vec_id").take(picked),
-                "q": batch.column("v").take(picked),
-                "leaf": [leaf for _, leaf in out],
-            }
-
-    walked = store(map_batches(asked, walk, "query_id long, q array<double>, leaf int"))
-    askers = {r["leaf"]: r["count"] for r in walked.groupBy("leaf").count().collect()}
-
-    def chunks(counts: dict[int, int]):
-        many = {leaf: -(-c // CHUNK) for leaf, c in counts.items() if c > CHUNK}
-        if not many:
-            return F.lit(1)
-        table = F.create_map(*[F.lit(int(x)) for pair in many.items() for x in pair])
-        return F.coalesce(table[F.col("leaf")], F.lit(1))
-
-    row_chunks, query_chunks = chunks(sizes), chunks(askers)
-
-    def dealt(df: DataFrame, key: str, own, other, names: tuple[str, str]) -> DataFrame:
-        """Each row in one chunk of its own kind, and beside every chunk of the other."""
-        return df.withColumn(names[0], F.pmod(F.xxhash64(key), own).cast("int")).withColumn(
-            names[1], F.explode(F.sequence(F.lit(0), other - 1))
-        )
+def _visited(tree: Tree, within: np.ndarray, direction: np.ndarray, margin: float, k: int) -> list[int]:
+    """Leaves of a divided leaf that the walk visits, with more than k rows in them."""
+    sizes, held, out = np.bincount(within, minlength=tree.leaves), 0, []
+    for leaf, need in tree.walk(direction):
+        if need > margin and held > k:
+            break
+        held += sizes[leaf]
+        out.append(leaf)
+    return out
 
-    keys = ["leaf", "row_chunk", "query_chunk"]
-    left = dealt(walked, "query_id", query_chunks, row_chunks, ("query_chunk", "row_chunk"))
-    right = dealt(placed, "vec_id", row_chunks, query_chunks, ("row_chunk", "query_chunk"))
 
-    def compare(ask: pd.DataFrame, have: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "vec_id", "score"]
-        if not len(ask) or not len(have):
-            return pd.DataFrame([], columns=names)
-        found = best(
-            have["vec_id"].to_numpy(), np.stack(have["v"]), ask["query_id"].to_numpy(), np.stack(ask["q"]), k
-        )
-        return pd.DataFrame(found, columns=names)
+def _sample_of(vectors: np.ndarray) -> np.ndarray:
+    return vectors[:: max(1, len(vectors) // SAMPLE)][:SAMPLE]
+
+
+def search(rows: DataFrame, queries: DataFrame, k: int = K, recall: float = RECALL, checked: float = CHECKED) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the k nearest rows found of each query.
 
-    met = (
-        left.groupBy(*keys)
-        .cogroup(right.groupBy(*keys))
-        .applyInPandas(compare, "query_id long, vec_id long, score double")
-    )
-    return _ranked(met, k).select("query_id", "rank", "vec_id", "score")
+    Both inputs have (vec_id, v array<double>), without zero vectors.
+    """
+    asked = store(queries.groupBy("vec_id").agg(F.min("v").alias("v")))
+    index, n_queries = Index(rows), asked.count()
+    ids, vectors = _some(asked, CALIBRATION, n_queries, skip=min(CALIBRATION, n_queries // 2))
+    others = asked.filter(F.col("vec_id").isin(ids.tolist()))
+    truth = store(_nearest_rows(index.placed, ids, vectors, k).select("query_id", "vec_id")) if len(ids) else None
+    while True:
+        index.margin = calibrate(index.tree, index.placed, asked, n_queries, k, recall)
+        if truth is None or recall >= 1:
+            break
+        got = index.search(others, len(ids), k).select("query_id", "vec_id").distinct()
+        if got.join(truth.distinct(), ["query_id", "vec_id"], "left_semi").count() >= checked * truth.distinct().count():
+            break
+        recall = min(1.0, recall + (1 - recall) / 2 if recall < 0.995 else 1.0)
+    return index.search(asked, n_queries, k).select("query_id", "rank", "vec_id", "score")
 
 
 def op10_ann(embeddings: DataFrame) -> DataFrame:
