@@ -8,14 +8,15 @@ The trie is cut into shards by a hash of the context. A shard has two levels: it
 below them their next words. Contexts are a rising sequence of hashes, the pointers to their
 ranges another, and the next words a third: each is the word's rank in the shard plus what lies
 before its context, which makes the whole level rise. All three are Elias-Fano coded. Beside each
-next word lies the quantised logarithm of its share c(context w) / (c(context) + M). A lookup finds
+next word lies the quantised logarithm of its share c(context w) / (c(context) + M), rounded down. A lookup finds
 the context, takes its range from the pointers and searches the successor of the word's
-rank relative to the context's base.
+rank relative to the context's base, all on the coded levels as they lie in the shard's image.
 
 Texts are read in blocks. A block asks each shard once for its distinct n-grams, with how often
 its training texts have them; the shard adds these up, builds its part of the trie and answers
-from it. Rows between them are packed arrays, so an n-gram costs a few bytes. The few
-contexts with a large share of all tokens are spread over shards by the next word.
+from it; a block has rows for the shards that it asks, and no others. Rows between them are packed
+arrays, so an n-gram costs a few bytes. The few contexts with a large share of all tokens (words, and
+the n-grams that the level below found frequent) are spread over shards by the next word.
 
 Defined cases: a null text is the empty text, which is an end alone; a null doc_id counts as the
 empty text in the fold; rows repeated count each; without training texts every token has an
@@ -50,10 +51,16 @@ _END = np.uint64(xxhash.xxh3_64_intdigest(b"\x00 end"))
 
 
 class EliasFano:
-    """A rising sequence of unsigned numbers: low bits plane by plane, high bits in unary."""
+    """A rising sequence of unsigned numbers: low bits plane by plane, high bits in unary.
+
+    It is searched as it is coded. Where a high part begins is the place of a zero among the unary bits, found
+    by counts per 64 bits (the only thing that is added when the sequence is opened) and within them by
+    byte; the few numbers with that high part follow, and their low bits are compared.
+    """
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
+        self._counts: dict[bool, np.ndarray] = {}
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -66,7 +73,7 @@ class EliasFano:
         ]
         low = np.concatenate(planes) if planes else _NONE
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
-        bits = np.zeros(int(ones[-1]) + 1 if n else 0, np.uint8)
+        bits = np.zeros((int(ones[-1]) // 64 + 1) * 64 if n else 0, np.uint8)
         bits[ones] = 1
         return cls(n, low_bits, low, np.packbits(bits))
 
@@ -81,8 +88,66 @@ class EliasFano:
     def parts(self) -> list[np.ndarray]:
         return [np.array([self.n, self.low_bits], np.int64), self.low, self.high]
 
+    def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
+        """The place of the kth one, or zero, among the unary bits; k counts from 0."""
+        if ones not in self._counts:
+            found = np.bitwise_count(self.high.view(np.uint64)).astype(np.int64)
+            self._counts[ones] = np.cumsum(found if ones else 64 - found)
+        before = self._counts[ones]
+        word = np.searchsorted(before, k, "right")
+        left = k - np.where(word > 0, before[word - 1], 0)
+        rows = self.high.reshape(-1, 8)[word]
+        rows = rows if ones else ~rows
+        sums = np.cumsum(np.bitwise_count(rows), axis=1, dtype=np.int16)
+        byte = (sums <= left[:, None]).sum(axis=1)
+        every = np.arange(len(k))
+        left = left - np.where(byte > 0, sums[every, byte - 1], 0)
+        return word * 64 + byte * 8 + _PLACE[rows[every, byte], left]
+
+    def _lows(self, at: np.ndarray) -> np.ndarray:
+        """The low bits of the numbers at these places."""
+        out = np.zeros(len(at), np.uint64)
+        byte, shift = at >> 3, (7 - (at & 7)).astype(np.uint8)
+        for k, plane in enumerate(self.low.reshape(self.low_bits, -1) if len(self.low) else ()):
+            out |= ((plane[byte] >> shift) & np.uint8(1)).astype(np.uint64) << np.uint64(k)
+        return out
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The numbers at these places."""
+        high = (self._select(places, True) - places).astype(np.uint64)
+        return high << np.uint64(self.low_bits) | self._lows(places)
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of each wanted number, -1 where the sequence has none: its successor is another."""
+        found = np.full(len(wanted), -1, np.int64)
+        if not self.n or not len(wanted):
+            return found
+        high = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
+        low = wanted & np.uint64((1 << self.low_bits) - 1)
+        last = int(self.at(np.array([self.n - 1]))[0]) >> self.low_bits
+        open_ = np.flatnonzero((high >= 0) & (high <= last))
+        # A high part h begins behind the zero number h - 1.
+        bit = np.zeros(len(open_), np.int64)
+        later = high[open_] > 0
+        bit[later] = self._select(high[open_][later] - 1, False) + 1
+        place = bit - high[open_]
+        while len(open_):
+            one = (self.high[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+            open_, bit, place = open_[one], bit[one], place[one]
+            own = self._lows(place)
+            hit = own == low[open_]
+            found[open_[hit]] = place[hit]
+            further = own < low[open_]
+            open_, bit, place = open_[further], bit[further] + 1, place[further] + 1
+        return found
+
 
 _NONE = np.zeros(0, np.uint8)
+# The place of the kth one in a byte, from its highest bit.
+_PLACE = np.zeros((256, 8), np.int64)
+for _byte in range(256):
+    _ones = [i for i in range(8) if _byte >> (7 - i) & 1]
+    _PLACE[_byte, : len(_ones)] = _ones
 
 
 class Trie:
@@ -93,7 +158,6 @@ class Trie:
     def __init__(self, contexts, pointers, words, below, codes):
         self.levels = contexts, pointers, words, below
         self.codes = codes
-        self._open = None
 
     @classmethod
     def build(cls, context: np.ndarray, word: np.ndarray, share: np.ndarray) -> Trie:
@@ -103,7 +167,7 @@ class Trie:
         pointers = np.append(start, len(context))
         place = np.repeat(np.arange(len(known)), np.diff(pointers))
         below = place * len(words) + np.searchsorted(words, word)
-        codes = np.clip(np.round(-share / QUANTUM), 0, 65535).astype(np.uint16)
+        codes = np.clip(np.ceil(-share / QUANTUM), 0, 65535).astype(np.uint16)  # never above the share
         return cls(*(EliasFano.of(x) for x in (known, pointers, words, below)), codes)
 
     def image(self) -> bytes:
@@ -127,20 +191,25 @@ class Trie:
         return cls(*levels, parts[12])
 
     def shares(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 of the share of each (context, word); -inf where the trie has none."""
-        if self._open is None:
-            self._open = [level.values() for level in self.levels]
-        contexts, pointers, words, below = self._open
+        """log10 of the share of each (context, word); -inf where the trie has none.
+
+        Each context is looked up once, and so is each word; the search for a next word is one for the
+        successor of its rank behind its context's base, within the range that the pointers give.
+        """
+        contexts, pointers, words, below = self.levels
         out = np.full(len(context), -np.inf)
-        if not len(contexts):
+        if not contexts.n or not len(context):
             return out
-        place = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-        rank = np.minimum(np.searchsorted(words, word), len(words) - 1)
-        ok = np.flatnonzero((contexts[place] == context) & (words[rank] == word))
-        # The successor within the context's range: its numbers start from its base.
-        wanted = (place[ok] * len(words) + rank[ok]).astype(np.uint64)
-        at = np.minimum(np.searchsorted(below, wanted), len(below) - 1)
-        hit = (below[at] == wanted) & (at >= pointers[place[ok]]) & (at < pointers[place[ok] + 1])
+        known, which = np.unique(context, return_inverse=True)
+        place = contexts.find(known)
+        inside = np.maximum(place, 0)
+        first, last = pointers.at(inside).astype(np.int64), pointers.at(inside + 1).astype(np.int64)
+        names, number = np.unique(word, return_inverse=True)
+        rank = words.find(names)
+        ok = np.flatnonzero((place[which] >= 0) & (rank[number] >= 0))
+        base = place[which[ok]] * words.n
+        at = below.find((base + rank[number[ok]]).astype(np.uint64))
+        hit = (at >= first[which[ok]]) & (at < last[which[ok]])
         out[ok[hit]] = -QUANTUM * self.codes[at[hit]]
         return out
 
@@ -290,11 +359,12 @@ def _ask(blocks: DataFrame, order: int, shards: int, frequent: np.ndarray) -> Da
             context, word, count, _ = _Block(row).grams(order)
             shard = _shards_of(context, word, shards, frequent)
             at = _asked(context, word, shard, order)
-            edges = np.searchsorted(shard[at], np.arange(shards + 1))
-            own = [at[a:b] for a, b in zip(edges, edges[1:])]
+            # Only shards that are asked get a row: never more rows than n-grams, however many shards.
+            asked, edges = np.unique(shard[at], return_index=True)
+            own = np.split(at, edges[1:])
             yield {
-                "block": [row["block"]] * shards,
-                "shard": list(range(shards)),
+                "block": [row["block"]] * len(asked),
+                "shard": asked.tolist(),
                 "contexts": [_packed_contexts(context[o]) for o in own],
                 "words": [_packed_words(word[o], order) for o in own],
                 "counts": [_packed_counts(count[o]) for o in own],
@@ -362,7 +432,7 @@ def _merged(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sums(rows: pd.DataFrame):
-    """Distinct n-grams of a shard in rising order, their counts, and the place of each asked one."""
+    """Distinct n-grams of a shard in rising order, their counts, and the place of each block's among them."""
     asked = [(c, _words(w, len(c))) for c, w in zip(map(_contexts, rows["contexts"]), rows["words"])]
     context, word = (np.concatenate(side) for side in zip(*asked))
     count = np.concatenate([_counts(c) for c in rows["counts"]])
@@ -371,14 +441,14 @@ def _sums(rows: pd.DataFrame):
     number[order] = np.cumsum(new) - 1
     total = np.bincount(number, weights=count, minlength=int(new.sum())).astype(np.int64)
     ends = np.cumsum([len(w) for _, w in asked])[:-1]
-    return context[order[new]], word[order[new]], total, np.split(number, ends), asked
+    return context[order[new]], word[order[new]], total, np.split(number, ends)
 
 
 def _answer_counts(asked: DataFrame, least: float) -> DataFrame:
     """Level of single words: ('count', block, shard, counts), and of the frequent words ('word', hash, count)."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        _, word, total, numbers, _ = _sums(rows)
+        _, word, total, numbers = _sums(rows)
         shard = int(rows["shard"].iloc[0])
         out = [("count", int(b), shard, _packed_counts(total[n]), 0) for b, n in zip(rows["block"], numbers)]
         out += [("word", int(word[i].astype(np.int64)), shard, b"", int(total[i])) for i in np.flatnonzero(total > least)]
@@ -389,17 +459,18 @@ def _answer_counts(asked: DataFrame, least: float) -> DataFrame:
 
 
 def _answer_shares(
-    asked: DataFrame, frequent: dict[int, int], mass: float, with_counts: bool
+    asked: DataFrame, frequent: dict[int, int], mass: float, least: float | None
 ) -> DataFrame:
-    """A higher level: ('trie', 0, shard, image), and from it ('share', block, shard, codes).
+    """A higher level: a trie is built per shard, and from its image come ('share', block, shard, codes).
 
-    Where a higher level follows, the answers have the counts too, which are its contexts' counts.
+    Where a higher level follows (``least``), the answers have the counts too, which are its contexts' counts, and
+    ('gram', context, shard, next word and count) tells the n-grams that are more frequent than that.
     """
     names = np.array(sorted(frequent), np.uint64)
     totals = np.array([frequent[int(x)] for x in names], np.int64)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        context, word, total, numbers, questions = _sums(rows)
+        context, word, total, numbers = _sums(rows)
         shard = int(rows["shard"].iloc[0])
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1])) if len(context) else np.zeros(0, int)
         whole = np.add.reduceat(total, first) if len(first) else np.zeros(0, np.int64)
@@ -411,12 +482,15 @@ def _answer_shares(
         share = np.log10(total[seen] / (whole[seen] + mass))
         image = Trie.build(context[seen], word[seen], share).image()
         trie = Trie.open(image)
-        out = [("trie", 0, shard, image, b"")]
-        for block, number, (c, w) in zip(rows["block"], numbers, questions):
-            shares = trie.shares(c, w)
-            codes = np.where(np.isfinite(shares), np.round(-np.maximum(shares, -13) / QUANTUM), 65535)
-            counts = _packed_counts(total[number]) if with_counts else b""
-            out.append(("share", int(block), shard, codes.astype("<u2").tobytes(), counts))
+        # Each distinct n-gram is looked up once, in the coded levels; the blocks get copies.
+        found = trie.shares(context, word)
+        codes = np.where(np.isfinite(found), np.round(-np.maximum(found, -13) / QUANTUM), 65535).astype("<u2")
+        out = []
+        for i in np.flatnonzero(total > least) if least is not None else ():
+            out.append(("gram", int(context[i].astype(np.int64)), shard, word[i].tobytes(), total[i].tobytes()))
+        for block, number in zip(rows["block"], numbers):
+            counts = _packed_counts(total[number]) if least is not None else b""
+            out.append(("share", int(block), shard, codes[number].tobytes(), counts))
         return pd.DataFrame(out, columns=["kind", "block", "shard", "data", "counts"])
 
     return asked.groupBy("shard").applyInPandas(
@@ -432,20 +506,22 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     blocks = store(_blocks(docs))
     n_tokens = blocks.agg(F.sum(F.length("low") / 2)).first()[0] or 0
     shards = parts_for(int(n_tokens), SHARD_TOKENS)
-    none = np.zeros(0, np.uint64)
-    answers = [store(_answer_counts(_ask(blocks, 1, shards, none), n_tokens / FREQUENT))]
-    # A row per shard, and at most FREQUENT words.
-    facts = answers[0].filter("kind <> 'count'").select("kind", "block", "n").collect()
-    train_tokens = sum(r["n"] for r in facts if r["kind"] == "vocabulary")
-    vocabulary = sum(r["block"] for r in facts if r["kind"] == "vocabulary")
-    frequent = {r["block"] % (1 << 64): r["n"] for r in facts if r["kind"] == "word"}
-    trained = frequent.pop(int(_END), 0) or blocks.select(F.explode("held").alias("held")).filter("not held").count()
-    if trained > n_tokens / FREQUENT:
-        frequent[int(_START)] = trained
+    least = n_tokens / FREQUENT
+    hots: dict[int, dict[int, int]] = {1: {}}  # contexts of a level with a large share of all tokens, and their counts
+    answers = [store(_answer_counts(_ask(blocks, 1, shards, _names(hots[1])), least))]
+    known = answers[0].filter("kind = 'vocabulary'").agg(F.sum("n"), F.sum("block")).first()
+    train_tokens, vocabulary = known[0] or 0, known[1] or 0
+    # At most FREQUENT words, and below as many n-grams.
+    words = {r["block"] % (1 << 64): r["n"] for r in answers[0].filter("kind = 'word'").select("block", "n").collect()}
+    trained = words.pop(int(_END), 0) or blocks.select(F.explode("held").alias("held")).filter("not held").count()
+    start = {int(_START): trained} if trained > least else {}
+    hots[2] = words | start
     for level in range(2, order + 1):
-        hot = frequent if level == 2 else {}
-        asked = _ask(blocks, level, shards, np.array(sorted(hot), np.uint64))
-        answers.append(store(_answer_shares(asked, hot, mass, level < order)))
+        asked = _ask(blocks, level, shards, _names(hots[level]))
+        answers.append(store(_answer_shares(asked, hots[level], mass, least if level < order else None)))
+        if level < order:
+            grams = answers[-1].filter("kind = 'gram'").select("block", "data", "counts").collect()
+            hots[level + 1] = _grown(grams, words) | start
     replies = None
     for level, answer in enumerate(answers, 1):
         part = answer.filter("kind in ('count', 'share')").select(
@@ -454,7 +530,7 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
             F.col("data" if level == 1 else "counts").alias("counts"),
         )
         replies = part if replies is None else replies.unionByName(part)
-    hot = np.array(sorted(frequent), np.uint64)
+    hot = {level: _names(own) for level, own in hots.items()}
 
     def run(rows: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -465,7 +541,7 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
             for level in range(1, order + 1):
                 own = said[said["level"] == level].drop_duplicates("shard").sort_values("shard")
                 context, word, _, which = block.grams(level)
-                shard = _shards_of(context, word, shards, hot if level == 2 else none)
+                shard = _shards_of(context, word, shards, hot[level])
                 at = _asked(context, word, shard, level)
                 if level > 1:
                     codes[level] = _per_token(at, which, [np.frombuffer(d, "<u2") for d in own["codes"]])
@@ -487,6 +563,25 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     )
 
 
+def _names(contexts: dict[int, int]) -> np.ndarray:
+    return np.array(sorted(contexts), np.uint64)
+
+
+def _grown(grams: list, words: dict[int, int]) -> dict[int, int]:
+    """Contexts made of frequent n-grams, with their counts.
+
+    The last word of a frequent n-gram is a frequent word, so its whole hash is known from the first level.
+    """
+    whole = {int(_next_word(np.uint64(w))): np.uint64(w) for w in words}
+    out = {}
+    for row in grams:
+        word = whole.get(int(np.frombuffer(row["data"], np.uint64)[0]))
+        if word is not None:  # not the end, which no word follows
+            context = np.array([row["block"]], np.int64).view(np.uint64)
+            out[int(_grow(context, word)[0])] = int(np.frombuffer(row["counts"], np.int64)[0])
+    return out
+
+
 def _per_token(at: np.ndarray, which: np.ndarray, parts: list[np.ndarray]) -> np.ndarray:
     values = np.concatenate(parts)
     found = np.empty(len(values), values.dtype)
