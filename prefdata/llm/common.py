@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import math
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,6 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prefdata.sources.scratch import scratch_folder
+
 # A worker forgets its word caches beyond this many entries; they are filled again.
 CACHE_WORDS = 300_000
 
@@ -32,14 +33,11 @@ def crc_fold(key: str, folds: int) -> Column:
 
 
 def store(df: DataFrame) -> DataFrame:
-    """Write once to the folder in ``spark.checkpoint.dir`` and read from there.
+    """Write once to the shared folder (see ``sources.scratch``) and read from there.
 
-    Only a session without that setting (as in tests) gets a folder of Spark's warehouse.
+    ``remove_scratch`` clears what a session has stored.
     """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    folder = folder or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
