@@ -71,6 +71,16 @@ def _with_pairs(replies: DataFrame, reply: str) -> DataFrame:
     )
 
 
+def refused_replies(replies: DataFrame, *keep: str, reply: str = "reply") -> DataFrame:
+    """(``keep``, reply) of the replies that give no row although there is a text: what stands in them is no JSON
+    array of objects with texts, or has no valid pair."""
+    return (
+        _with_pairs(replies.select(*keep, reply), reply)
+        .filter((F.coalesce(F.length(reply), F.lit(0)) > 0) & (F.size("_pairs") == 0))
+        .select(*keep, reply)
+    )
+
+
 def qa_rows(replies: DataFrame, *keep: str, reply: str = "reply") -> DataFrame:
     """Instruction rows out of replies; a reply without valid pairs gives none."""
     return (

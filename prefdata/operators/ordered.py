@@ -245,10 +245,25 @@ def shuffle_key(key: Column | str, seed: int = fixed.SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def seeded_shuffle(df: DataFrame, key: str, seed: int = fixed.SEED) -> DataFrame:
-    """All rows in a seeded order, held in the column ``shuffle_key``."""
+def seeded_shuffle(df: DataFrame, key: str, seed: int = fixed.SEED, parts: int | None = None) -> DataFrame:
+    """All rows in a seeded order, held in the column ``shuffle_key``.
+
+    The order goes by a digest of the row's key, whose leading bits are spread evenly: they say at which
+    share of the order a row stands, so a row's part is known from the row alone. No job samples
+    the keys, rows go to their part directly, and each part is sorted on its own; the parts one
+    after another, as collected or as written files, are the order. It is the same for any number of
+    ``parts`` (as many as the session's shuffles have, unless given) and on any cluster. ``key`` tells rows
+    apart; rows with equal keys stand together.
+    """
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("shuffle_key", shuffle_key(key, seed))
-    return keyed.orderBy("shuffle_key", key)
+    # 31 bits times the number of parts fit a long; a null key goes last.
+    leading = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("bigint")
+    part = F.coalesce(F.shiftright(F.shiftright(leading, 1) * parts, 31), F.lit(parts - 1)).cast("int")
+    return keyed.repartitionById(parts, part).sortWithinPartitions(
+        F.col("shuffle_key").asc_nulls_last(), F.col(key).asc_nulls_last()
+    )
 
 
 def seeded_sample(

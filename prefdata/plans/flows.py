@@ -24,7 +24,8 @@ from prefdata.operators import preference as pref
 from prefdata.operators.generate import Model, answered, batch_generate, generate_once
 from prefdata.operators.ordered import first_rows, seeded_sample
 from prefdata.sources import sinks
-from prefdata.sources.files import read_documents
+from prefdata.sources.files import output_name, read_documents
+from prefdata.sources.named import write_named
 from prefdata.sources.scratch import materialise, materialise_counted
 
 Loader = Callable[[], Model]
@@ -145,7 +146,7 @@ def document_data(
     folder: str,
     load_model: Loader,
     model_name: str,
-    path: str,
+    path: str | None = None,
     size: int = fixed.CHUNK_SIZE,
     overlap: int = fixed.CHUNK_OVERLAP,
     separator: str = BLANK_LINES,
@@ -153,7 +154,10 @@ def document_data(
     most_failed: float = 0.5,
     ledger: str | None = None,
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Question/answer rows about the text files of a folder.
+    """Question/answer rows about the text files of a folder, in a folder of JSON lines.
+
+    Without a ``path`` the rows of each file go to one file beside it, named after it; files that differ in
+    their extension alone share one. All of them appear when all are written, and a file without rows gets none.
 
     Gives the rejected files, and the numbers of chunks asked and failed and of rows. With a greater
     share of failed chunks than ``most_failed`` the run stops. ``ledger``: as in ``preference_data``.
@@ -167,10 +171,24 @@ def document_data(
     )
     replies, seen = _ask(requests, "chunk_id", load_model, model_name, tasks, ledger)
     _stop_if_many(seen, most_failed, seen["example"])
-    rows = sinks.write_jsonl(docs.qa_rows(answered(replies), reply="text"), path)
+    if path is not None:
+        rows = sinks.write_jsonl(docs.qa_rows(answered(replies), reply="text"), path)
+    else:
+        rows = _write_beside(docs.qa_rows(answered(replies), "chunk_id", reply="text"), folder)
     return rejects, {"chunks": seen["asked"], "failed": seen["failed"], "rows": rows}
 
 
+def _write_beside(rows: DataFrame, folder: str) -> int:
+    """Rows (chunk_id, instruction, input, output) in the files named after their documents."""
+    source = F.regexp_extract("chunk_id", r"(?s)^(.*)#\d+$", 1)
+    number = F.regexp_extract("chunk_id", r"(\d+)$", 1).cast("bigint")
+    line = F.to_json(F.struct("instruction", "input", "output"), {"ignoreNullFields": "false"})
+    named = rows.withColumns(
+        {"_source": source, "_number": number, "_place": F.monotonically_increasing_id()}
+    ).withColumn("_name", output_name("_source"))
+    return write_named(named, "_name", ["_source", "_number", "_place"], folder, line)
+
+
 def evaluation_data(
     pairs: DataFrame,
     key: str,

@@ -112,13 +112,13 @@ LAST_LINE = "string_split(text, chr(10))[-1]"
 ONE_REWARD = "SELECT doc_id, {} AS reward FROM documents"
 
 
-def chunks(separator: str) -> str:
+def chunks(separator: str, documents: str = "documents") -> str:
     size, overlap = fixed.CHUNK_SIZE, fixed.CHUNK_OVERLAP
     return f"""paras AS (
   SELECT doc_id, list_filter(list_transform(
     regexp_split_to_array({strip("text")}, '{separator}'),
     lambda x: {strip("x")}), lambda x: x <> '') AS p
-  FROM documents),
+  FROM {documents}),
 fold AS (
   SELECT doc_id, p, 0 AS i, '' AS open, NULL::VARCHAR AS closed FROM paras
   UNION ALL
@@ -137,6 +137,9 @@ chunks AS (
   FROM pieces WHERE length(chunk) >= {fixed.MIN_CHUNK})"""
 
 
+JOINED = f"""(SELECT doc_id // {q.TEXTS_JOINED} AS doc_id, string_agg(text, chr(10) ORDER BY doc_id) AS text
+  FROM documents GROUP BY 1)"""
+
 MARKED = """marked AS (
   SELECT conv_id, string_agg(
     CASE role WHEN 'assistant' THEN chr(10) || chr(10) || 'Assistant: '
@@ -444,6 +447,9 @@ FROM r WINDOW w AS (PARTITION BY conv_id)""",
 WITH RECURSIVE {chunks(q.LINES)} SELECT doc_id, chunk_no, chunk FROM chunks""",
     "doc_chunks_blank_lines": f"""
 WITH RECURSIVE {chunks("\\n{2,}")} SELECT doc_id, chunk_no, chunk FROM chunks""",
+    "doc_chunks_large": f"""
+WITH RECURSIVE {chunks(q.LINES, JOINED)}
+SELECT doc_id AS text_no, chunk_no, chunk FROM chunks""",
     "chunk_stats": f"""
 WITH RECURSIVE {chunks(q.LINES)},
 n AS (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id)
@@ -456,6 +462,8 @@ SELECT doc_id, chunk_no, {text(fixed.QA_REQUEST_HEAD)} || chunk ||
   {text(fixed.QA_REQUEST_TAIL)} AS prompt FROM chunks""",
     "qa_extract": f"""
 WITH {REPLIES} SELECT conv_id, turn, kind, instruction, '' AS input, output FROM qa""",
+    "qa_refused": f"""
+WITH {REPLIES} SELECT conv_id, turn, kind FROM replies ANTI JOIN qa USING (conv_id, turn, kind)""",
     "qa_stats": f"""
 WITH {REPLIES},
 n AS (SELECT kind, count(*) AS n FROM qa GROUP BY kind)

@@ -21,6 +21,7 @@ from prefdata.operators import grpo
 from prefdata.operators import instructions as ins
 from prefdata.operators import ordered
 from prefdata.operators import preference as pref
+from prefdata.operators.large_documents import chunks_of_lines
 from prefdata.operators.skew import spread
 from prefdata.plans import flows, inputs
 from prefdata.sources import files, schemas, sinks
@@ -32,6 +33,7 @@ QUERIES: dict[str, Query] = {}
 LINES = r"\n+"
 PREFIX_ROWS = 300
 QUOTAS = {"instruction": 200, "sentiment": 50}
+TEXTS_JOINED = 10
 PAIRS_WANTED = 500
 PAIRS_ACCEPTED = 700
 KEYWORDS = ["that", "nicht", "avec"]
@@ -452,6 +454,23 @@ def doc_chunks_blank_lines(spark, sf_dir):
     return docs.document_chunks(documents, "doc_id")
 
 
+@query
+def doc_chunks_large(spark, sf_dir):
+    """Ten documents after another are one text; each of them is a piece."""
+    lines = _documents(spark, sf_dir).select(
+        F.floor(F.col("doc_id") / TEXTS_JOINED).alias("key"), F.col("doc_id").alias("piece"),
+        F.posexplode(F.split("text", "\n")).alias("position", "text"),
+    )
+    chunks = chunks_of_lines(lines.withColumn("position", F.col("position").cast("bigint")), by_line=True)
+    return chunks.select(F.col("key").alias("text_no"), "chunk_no", "chunk")
+
+
+@query
+def qa_refused(spark, sf_dir):
+    refused = docs.refused_replies(inputs.replies(_conversations(spark, sf_dir)), "conv_id", "turn", "kind")
+    return refused.drop("reply")
+
+
 @query
 def chunk_stats(spark, sf_dir):
     documents = spread(_documents(spark, sf_dir), "doc_id")

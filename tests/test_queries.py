@@ -1,6 +1,8 @@
 """Every registered query against its SQL, on the smallest tables."""
 
 import os
+import subprocess
+import sys
 from glob import glob
 
 import duckdb
@@ -61,6 +63,18 @@ def test_query_equals_sql(spark, duck, plan_of, name):
     assert got
 
 
+def test_queries_without_a_library_that_only_the_subpackage_needs():
+    """The queries of the first folders are there, with a warning."""
+    code = (
+        "import sys; sys.modules['xxhash'] = sys.modules['ahocorasick'] = None\n"
+        "import __spark_entry__ as e; assert 'hh_parse' in e.queries() and 'op3_jaccard_join' not in e.queries()"
+    )
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    run = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    there = os.path.isdir(os.path.join(root, "prefdata", "llm"))
+    assert run.returncode == 0 and ("are left out" in run.stderr) == there, run.stderr
+
+
 def test_entry(spark):
     rows = entry_module.entry(spark)
     assert rows.columns == [
