@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from prefdata.sources.scratch import scratch_folder
 
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # A worker forgets its word caches beyond this many entries; they are filled again.
 CACHE_WORDS = 300_000
 
@@ -32,13 +34,19 @@ def crc_fold(key: str, folds: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, tidy: bool = False) -> DataFrame:
     """Write once to the shared folder (see ``sources.scratch``) and read from there.
 
-    ``remove_scratch`` clears what a session has stored.
+    ``tidy``: the shuffle files of the job go when it is done, not when the driver happens to collect its garbage;
+    for jobs that shuffle much. ``remove_scratch`` clears what a session has stored.
     """
     spark, path = df.sparkSession, scratch_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_TIDY)
+    try:
+        spark.conf.set(_TIDY, "true" if tidy else before)
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before)
     stored = spark.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored

@@ -51,7 +51,7 @@ _END = np.uint64(xxhash.xxh3_64_intdigest(b"\x00 end"))
 
 
 class EliasFano:
-    """A rising sequence of unsigned numbers: low bits plane by plane, high bits in unary.
+    """A rising sequence of unsigned numbers: low bits in planes of a byte and the rest bit by bit, high bits in unary.
 
     It is searched as it is coded. Where a high part begins is the place of a zero among the unary bits, found
     by counts per 64 bits (the only thing that is added when the sequence is opened) and within them by
@@ -68,8 +68,10 @@ class EliasFano:
         n = len(values)
         top = int(values[-1]) if n else 0
         low_bits = max(0, (top // max(n, 1)).bit_length() - 1) if top >= n else 0
-        planes = [
-            np.packbits(((values >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(low_bits)
+        whole = low_bits // 8
+        planes = [(values >> np.uint64(8 * k)).astype(np.uint8) for k in range(whole)]
+        planes += [
+            np.packbits(((values >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)) for k in range(8 * whole, low_bits)
         ]
         low = np.concatenate(planes) if planes else _NONE
         ones = (values >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
@@ -80,10 +82,7 @@ class EliasFano:
     def values(self) -> np.ndarray:
         """The sequence, from the two bit arrays."""
         high = np.flatnonzero(np.unpackbits(self.high))[: self.n] - np.arange(self.n)
-        found = high.astype(np.uint64) << np.uint64(self.low_bits)
-        for k, plane in enumerate(self.low.reshape(self.low_bits, -1) if len(self.low) else ()):
-            found |= np.unpackbits(plane)[: self.n].astype(np.uint64) << np.uint64(k)
-        return found
+        return high.astype(np.uint64) << np.uint64(self.low_bits) | self._lows(np.arange(self.n))
 
     def parts(self) -> list[np.ndarray]:
         return [np.array([self.n, self.low_bits], np.int64), self.low, self.high]
@@ -106,10 +105,15 @@ class EliasFano:
 
     def _lows(self, at: np.ndarray) -> np.ndarray:
         """The low bits of the numbers at these places."""
-        out = np.zeros(len(at), np.uint64)
-        byte, shift = at >> 3, (7 - (at & 7)).astype(np.uint8)
-        for k, plane in enumerate(self.low.reshape(self.low_bits, -1) if len(self.low) else ()):
-            out |= ((plane[byte] >> shift) & np.uint8(1)).astype(np.uint64) << np.uint64(k)
+        out, whole = np.zeros(len(at), np.uint64), self.low_bits // 8
+        for k in range(whole):
+            out |= self.low[k * self.n : (k + 1) * self.n][at].astype(np.uint64) << np.uint64(8 * k)
+        if self.low_bits % 8:
+            byte, shift = at >> 3, (7 - (at & 7)).astype(np.uint8)
+            rest = np.zeros(len(at), np.uint8)
+            for k, plane in enumerate(self.low[whole * self.n :].reshape(self.low_bits % 8, -1)):
+                rest |= ((plane[byte] >> shift) & np.uint8(1)) << np.uint8(k)
+            out |= rest.astype(np.uint64) << np.uint64(8 * whole)
         return out
 
     def at(self, places: np.ndarray) -> np.ndarray:
@@ -162,11 +166,12 @@ class Trie:
     @classmethod
     def build(cls, context: np.ndarray, word: np.ndarray, share: np.ndarray) -> Trie:
         """From distinct (context, word) in rising order, and log10 of their shares."""
-        known, start = np.unique(context, return_index=True)
-        words = np.unique(word)
+        start = np.flatnonzero(_new(context)) if len(context) else np.zeros(0, np.int64)
+        known = context[start]
+        words, rank = np.unique(word, return_inverse=True)
         pointers = np.append(start, len(context))
         place = np.repeat(np.arange(len(known)), np.diff(pointers))
-        below = place * len(words) + np.searchsorted(words, word)
+        below = place * len(words) + rank
         codes = np.clip(np.ceil(-share / QUANTUM), 0, 65535).astype(np.uint16)  # never above the share
         return cls(*(EliasFano.of(x) for x in (known, pointers, words, below)), codes)
 
@@ -200,10 +205,12 @@ class Trie:
         out = np.full(len(context), -np.inf)
         if not contexts.n or not len(context):
             return out
-        known, which = np.unique(context, return_inverse=True)
+        known, which = _distinct(context)
         place = contexts.find(known)
         inside = np.maximum(place, 0)
-        first, last = pointers.at(inside).astype(np.int64), pointers.at(inside + 1).astype(np.int64)
+        ends, _ = _distinct(np.sort(np.concatenate([inside, inside + 1])))
+        at = pointers.at(ends).astype(np.int64)
+        first, last = at[np.searchsorted(ends, inside)], at[np.searchsorted(ends, inside + 1)]
         names, number = np.unique(word, return_inverse=True)
         rank = words.find(names)
         ok = np.flatnonzero((place[which] >= 0) & (rank[number] >= 0))
@@ -326,6 +333,14 @@ def _new(values: np.ndarray) -> np.ndarray:
     return new
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values and the place of each among them; values that come sorted are not sorted again."""
+    if len(values) and (values[1:] < values[:-1]).any():
+        return np.unique(values, return_inverse=True)
+    new = _new(values)
+    return values[new], np.cumsum(new) - 1
+
+
 def _next_word(word: np.ndarray) -> np.ndarray:
     """The 40 bits of a word's hash that tell the words after one context apart."""
     return word >> np.uint64(24)
@@ -508,7 +523,7 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     shards = parts_for(int(n_tokens), SHARD_TOKENS)
     least = n_tokens / FREQUENT
     hots: dict[int, dict[int, int]] = {1: {}}  # contexts of a level with a large share of all tokens, and their counts
-    answers = [store(_answer_counts(_ask(blocks, 1, shards, _names(hots[1])), least))]
+    answers = [store(_answer_counts(_ask(blocks, 1, shards, _names(hots[1])), least), tidy=True)]
     known = answers[0].filter("kind = 'vocabulary'").agg(F.sum("n"), F.sum("block")).first()
     train_tokens, vocabulary = known[0] or 0, known[1] or 0
     # At most FREQUENT words, and below as many n-grams.
@@ -518,7 +533,7 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     hots[2] = words | start
     for level in range(2, order + 1):
         asked = _ask(blocks, level, shards, _names(hots[level]))
-        answers.append(store(_answer_shares(asked, hots[level], mass, least if level < order else None)))
+        answers.append(store(_answer_shares(asked, hots[level], mass, least if level < order else None), tidy=True))
         if level < order:
             grams = answers[-1].filter("kind = 'gram'").select("block", "data", "counts").collect()
             hots[level + 1] = _grown(grams, words) | start
