@@ -15,6 +15,7 @@ The chunks are those of ``documents.document_chunks`` for the whole text.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -142,26 +143,21 @@ def _follow(lengths: list[int], size: int, overlap: int) -> tuple[list[int], lis
 
     Lengths that have become one are followed as one; a few paragraphs do for that.
     """
-    most, at = size + 1, 0
-    closed = [0] * (most + 1)
-    states = {s: [s] for s in range(most + 1)}  # length now: lengths at the beginning
-    while at < len(lengths) and len(states) > 1:
-        after: dict[int, list[int]] = {}
-        for now, begun in states.items():
-            then, shut = _add(now, lengths[at], size, overlap)
-            for s in begun if shut else ():
-                closed[s] += 1
-            after.setdefault(min(then, most), []).extend(begun)
-        states, at = after, at + 1
-    ends = [0] * (most + 1)
-    for now, begun in states.items():
-        shuts = 0
+    most = size + 1
+    now, closed = np.arange(most + 1), np.zeros(most + 1, np.int64)
+    at = 0
+    while at < len(lengths) and (now != now[0]).any():
+        n = lengths[at]
+        fits = now + n <= size
+        closed += ~fits & (now > 0)
+        now, at = np.minimum(np.where(fits, now, np.minimum(overlap, now)) + n + 1, most), at + 1
+    if at < len(lengths):
+        one, shuts = int(now[0]), 0
         for n in lengths[at:]:
-            now, shut = _add(now, n, size, overlap)
-            now, shuts = min(now, most), shuts + shut
-        for s in begun:
-            ends[s], closed[s] = now, closed[s] + shuts
-    return ends, closed
+            one, shut = _add(one, n, size, overlap)
+            one, shuts = min(one, most), shuts + shut
+        now, closed = np.full(most + 1, one), closed + shuts
+    return now.tolist(), closed.tolist()
 
 
 def _parts(paragraphs: DataFrame, size: int, overlap: int) -> DataFrame:

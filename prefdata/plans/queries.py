@@ -456,12 +456,14 @@ def doc_chunks_blank_lines(spark, sf_dir):
 
 @query
 def doc_chunks_large(spark, sf_dir):
-    """Ten documents after another are one text; each of them is a piece."""
-    lines = _documents(spark, sf_dir).select(
-        F.floor(F.col("doc_id") / TEXTS_JOINED).alias("key"), F.col("doc_id").alias("piece"),
-        F.posexplode(F.split("text", "\n")).alias("position", "text"),
+    """Ten documents after another are one text; five of them are a piece."""
+    lines = _documents(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("_line", "text"))
+    lines = lines.select(
+        F.floor(F.col("doc_id") / TEXTS_JOINED).alias("key"),
+        F.floor(F.col("doc_id") / (TEXTS_JOINED // 2)).alias("piece"),
+        (F.shiftleft("doc_id", 31) + F.col("_line")).alias("position"), "text",
     )
-    chunks = chunks_of_lines(lines.withColumn("position", F.col("position").cast("bigint")), by_line=True)
+    chunks = chunks_of_lines(lines, by_line=True)
     return chunks.select(F.col("key").alias("text_no"), "chunk_no", "chunk")
 
 
