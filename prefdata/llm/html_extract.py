@@ -3,11 +3,13 @@
 A page is divided into blocks, leaving out what markup names as no text of the page (scripts,
 menus, headers, footers, sidebars, notices, adverts, forms, reader comments; within an article names
 count only if they are plain or the element is made of links or a form; a form that is a frame around
-the page's article or paragraphs is none). Where most of the text lies in
-the page's articles (or main part), the blocks in them are the result. Other pages give all their blocks, among
-which templates hide: the token streams of a host's pages are put together, their suffixes are sorted
-by the first ``RUN`` tokens (prefix doubling), and equal neighbours from ``PAGES`` distinct
-pages are boilerplate. Blocks that lie in such runs are removed; the unique runs stay.
+the page's article or paragraphs is none). The token streams of all pages of a host are put together, their suffixes
+are sorted by the first ``RUN`` tokens (prefix doubling), and equal neighbours from ``PAGES`` distinct
+pages are boilerplate. Blocks that lie in such runs are repeated.
+
+Repeated blocks go, and so does what lies around the page's articles (or main part) where most of the other
+text is in them. What markup puts into such an article is checked last: it stays though it is
+repeated, unless its element has a doubtful name.
 
 A host's pages are dealt into parts that fit one task. Each part sorts its own suffixes; how
 many pages have a run is then added up over the parts of the host, so that nothing depends on the
@@ -25,11 +27,10 @@ from html import unescape
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefdata.llm.common import map_batches, store
+from prefdata.llm.common import WordHashes, chain, finish, forget, map_batches, store
 from prefdata.operators.skew import salted_join
 
 RUN = 8  # tokens of a repeated run at least
@@ -136,8 +137,14 @@ def _kind(name: str, attributes: str, in_article: bool) -> int:
 
 
 def blocks(html: str) -> tuple[list[str], bool]:
-    """The page's blocks of text, and whether they are those of a named article."""
-    found: list[tuple[str, str, int]] = []  # part of the page, block, its letters outside links
+    """The page's blocks of text by markup alone, and whether they are those of a named article."""
+    found = _found(html)
+    return _chosen(found, [False] * len(found))
+
+
+def _found(html: str) -> list[tuple[str, str, int, bool]]:
+    """The page's blocks: part of the page, block, its letters outside links, whether its element's name is in doubt."""
+    found: list[tuple[str, str, int, bool]] = []
     # Open element, what it lies in, part of the page, whether it is a link, and where it began if in doubt.
     stack: list[tuple[str, int, str, bool, tuple | None]] = []
     text: list[str] = []
@@ -151,7 +158,7 @@ def blocks(html: str) -> tuple[list[str], bool]:
         block = " ".join(unescape("".join(text)).split())
         text.clear()
         if block:
-            found.append((part, block, own))
+            found.append((part, block, own, False))
         own = 0
 
     def close() -> str:
@@ -161,12 +168,14 @@ def blocks(html: str) -> tuple[list[str], bool]:
             flush()
         if doubt:
             begun, n, m, c, p, a = doubt
-            few = sum(len(b.split()) for _, b, _ in found[begun:]) <= FORM_WORDS
+            few = sum(len(b.split()) for _, b, *_ in found[begun:]) <= FORM_WORDS
             gone = linked - m >= LINKED * max(letters - n, 1) or (controls > c and few)
             if name == "form":
                 gone = mains == a and (gone or few or paragraphs - p < FORM_PARAGRAPHS)
             if gone:
                 del found[begun:]
+            elif mains == a:
+                found[begun:] = [(q, b, size, True) for q, b, size, _ in found[begun:]]
         links -= link
         chrome, part = before, outer
         return name
@@ -236,20 +245,29 @@ def blocks(html: str) -> tuple[list[str], bool]:
         flush()
     while stack:
         close()
-    return _chosen(found)
+    return found
+
 
+PARTS = ("", "main", "article", "main article")
 
-def _chosen(found: list[tuple[str, str, int]]) -> tuple[list[str], bool]:
-    """Of all articles, the main part and the whole page the first that holds as much as what lies around it."""
-    whole = [block for _, block, _ in found]
-    size = {p: sum(n for q, _, n in found if q == p) for p in ("", "main", "article", "main article")}
+
+def _chosen(found: list[tuple[str, str, int, bool]], repeated: list[bool]) -> tuple[list[str], bool]:
+    """Of all articles, the main part and the whole page the first that holds as much as what lies around it.
+
+    What lies around them counts and stays only if it isn't repeated on other pages of the host.
+    """
+    whole = [block for (_, block, _, _), again in zip(found, repeated) if not again]
+    size = dict.fromkeys(PARTS, 0)
+    for (part, _, n, _), again in zip(found, repeated):
+        size[part] += 0 if again and not part else n
     articles = size["article"] + size["main article"]
     named = articles + size["main"]
-    if not any(p for p, _, _ in found) or named < size[""]:
+    if not any(p for p, *_ in found) or named < size[""]:
         return whole, False
-    if any(p.endswith("article") for p, _, _ in found) and articles >= size["main"]:
-        return [b for p, b, _ in found if p.endswith("article")], True
-    return [b for p, b, _ in found if p], True
+    own = [(p, b) for (p, b, _, doubt), again in zip(found, repeated) if p and not (doubt and again)]
+    if any(p.endswith("article") for p, *_ in found) and articles >= size["main"]:
+        return [b for p, b in own if p.endswith("article")], True
+    return [b for _, b in own], True
 
 
 def host_of(url: str | None) -> str:
@@ -260,40 +278,47 @@ def host_of(url: str | None) -> str:
 def _parsed(pages: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            html = batch.column("html").to_pylist()
-            urls = batch.column("url").to_pylist()
-            parsed = [blocks(h or "") for h in html]
+            found = [_found(h or "") for h in batch.column("html").to_pylist()]
             yield {
                 "page_id": batch.column("page_id"),
                 "url": batch.column("url"),
-                "host": [host_of(u) for u in urls],
-                "named": [named or not own for own, named in parsed],
-                "blocks": [own for own, _ in parsed],
-                "tokens": [0 if named else sum(len(b.split()) for b in own) for own, named in parsed],
+                "host": [host_of(u) for u in batch.column("url").to_pylist()],
+                "blocks": [[b for _, b, *_ in own] for own in found],
+                # Part of the page, doubt and letters of each block in a number.
+                "marks": [[PARTS.index(p) * 2 + doubt + n * 8 for p, _, n, doubt in own] for own in found],
+                "tokens": [sum(b.count(" ") + 1 for _, b, *_ in own) for own in found],
             }
 
     return map_batches(
         pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"),
         run,
-        "page_id long, url string, host string, named boolean, blocks array<string>, tokens long",
+        "page_id long, url string, host string, blocks array<string>, marks array<long>, tokens long",
     )
 
 
+def _marked(blocks: list[str], marks: list[int]) -> list[tuple[str, str, int, bool]]:
+    return [(PARTS[m % 8 // 2], b, m // 8, bool(m % 2)) for b, m in zip(blocks, marks)]
+
+
 def _stream(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all pages one after another, page of each token, block of each token.
 
     A token no page has stands between pages, so no run crosses them.
     """
+    names = WordHashes()
     hashes, page, block = [], [], []
     for p, own in enumerate(pages):
         for b, words in enumerate(text.split() for text in own):
-            hashes += map(xxhash.xxh3_64_intdigest, words)
-            page += [p] * len(words)
-            block += [b] * len(words)
-        hashes.append((p * 2 + 1) & 0xFFFFFFFF)
-        page.append(-1 - p)
+            hashes.append(names.of(words))
+            page.append((p, len(words)))
+            block.append(b)
+        hashes.append(np.array([(p * 2 + 1) & 0xFFFFFFFF], np.uint64))
+        page.append((-1 - p, 1))
         block.append(-1)
-    return np.array(hashes, np.uint64), np.array(page, np.int64), np.array(block, np.int64)
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    page, sizes = np.array(page, np.int64).T
+    return np.concatenate(hashes), np.repeat(page, sizes), np.repeat(np.array(block, np.int64), sizes)
 
 
 def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -321,86 +346,95 @@ def runs(pages: list[list[str]], depth: int = RUN) -> tuple[np.ndarray, np.ndarr
     names = np.zeros(n, np.uint64)
     rank = suffix_ranks(tokens, depth)
     first = np.unique(rank, return_index=True)[1]
-    for r, at in enumerate(first):
-        if inside[at]:
-            names[r] = xxhash.xxh3_64_intdigest(tokens[at : at + depth].tobytes())
+    whole = np.flatnonzero(inside[first])
+    name = np.zeros(len(whole), np.uint64)
+    for k in range(depth):
+        name = chain(name, tokens[first[whole] + k])
+    names[whole] = finish(name)
     return names[rank], inside, page, block
 
 
-def _distinct(pages: list[list[str]]) -> list[list[str]]:
-    return [list(p) for p in dict.fromkeys(map(tuple, pages))]
-
-
 def _count_runs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pages of this part that have a run; equal pages count once, in whichever part they are."""
-    name, inside, page, _ = runs(_distinct([list(b) for b in rows["blocks"]]))
+    """Pages of this part that have a run. Each of the host's shards gets its runs; alone, a part knows what is boilerplate."""
+    name, inside, page, _ = runs([list(b) for b in rows["blocks"]])
     seen = np.unique(np.stack([name[inside].view(np.int64), page[inside]]), axis=1)[0]
     names, counts = np.unique(seen, return_counts=True)
-    return pd.DataFrame({"host": rows["host"].iloc[0], "part": rows["part"].iloc[0], "run": names, "pages": counts})
+    parts = int(rows["parts"].iloc[0])
+    if parts == 1:
+        names, counts = names[counts >= PAGES], counts[counts >= PAGES]
+    shard = (names.view(np.uint64) >> np.uint64(32)) % np.uint64(parts)
+    out = []
+    for k in np.unique(shard):
+        own = shard == k
+        out.append((int(k), names[own].tobytes(), np.minimum(counts[own], PAGES).astype(np.uint8).tobytes()))
+    found = pd.DataFrame(out, columns=["shard", "runs", "pages"])
+    return found.assign(host=rows["host"].iloc[0], part=rows["part"].iloc[0])[["host", "part", "shard", "runs", "pages"]]
+
+
+def _boilerplate(rows: pd.DataFrame) -> pd.DataFrame:
+    """Which of its runs are boilerplate, for each part that has runs in this shard."""
+    own = [np.frombuffer(r, np.int64) for r in rows["runs"]]
+    names, which = np.unique(np.concatenate(own), return_inverse=True)
+    pages = np.concatenate([np.frombuffer(n, np.uint8) for n in rows["pages"]])
+    often = names[np.bincount(which, weights=pages) >= PAGES]
+    return rows[["host", "part"]].assign(runs=[r[np.isin(r, often)].tobytes() for r in own])
 
 
-def without_runs(pages: list[list[str]], boilerplate: np.ndarray) -> list[list[str]]:
-    """The pages' blocks that are not covered by boilerplate runs."""
+def repeated(pages: list[list[str]], boilerplate: np.ndarray) -> list[list[bool]]:
+    """Whether each of the pages' blocks is covered by boilerplate runs."""
     name, inside, page, block = runs(pages)
     hit = inside & np.isin(name.view(np.int64), boilerplate)
     covered = np.zeros(len(hit), bool)
     for k in range(RUN):
         covered[k:] |= hit[: len(hit) - k]
-    out = []
-    for p, own in enumerate(pages):
-        here = page == p
-        size = np.bincount(block[here], minlength=len(own))
-        gone = np.bincount(block[here], weights=covered[here], minlength=len(own))
-        out.append([b for b, n, g in zip(own, size, gone) if g < COVERED * max(n, 1)])
-    return out
+    first = np.cumsum([0] + [len(own) for own in pages])
+    text = page >= 0
+    at = first[page[text]] + block[text]
+    size = np.bincount(at, minlength=first[-1])
+    again = np.bincount(at, weights=covered[text], minlength=first[-1]) >= COVERED * np.maximum(size, 1)
+    return [again[a:b].tolist() for a, b in zip(first, first[1:])]
 
 
-def _without_templates(rest: DataFrame) -> DataFrame:
-    """(page_id, url, text) of pages that name no article. ``rest`` is stored.
+def _clean(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    if not len(rows):
+        return pd.DataFrame({"_key": [], "text": [], "n_repeated": []})
+    known = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r, np.int64) for r in found["runs"])])
+    pages = [list(b) for b in rows["blocks"]]
+    again = repeated(pages, known)
+    texts = ["\n\n".join(_chosen(_marked(b, m), g)[0]) for b, m, g in zip(pages, rows["marks"], again)]
+    return rows[["_key"]].assign(text=texts, n_repeated=[sum(g) for g in again])
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """(page_id, url, text, n_chars, n_repeated) of every row; n_repeated: blocks that other pages of the host have too.
 
     The suffix arrays see every distinct page of a host once, however often it is there; its copies get the text of
     that one.
     """
-    key = F.concat_ws(":", *[F.xxhash64(F.lit(k), "host", "blocks").cast("string") for k in range(2)])
-    rows = rest.withColumns({"_key": key, "_row": F.monotonically_increasing_id()})
-    pages = store(
-        rows.groupBy("_key").agg(
-            F.first("host").alias("host"), F.first("blocks").alias("blocks"), F.first("tokens").alias("tokens"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
+    parsed = store(_parsed(pages))
+    key = F.concat_ws(":", *[F.xxhash64(F.lit(k), "host", "blocks", "marks").cast("string") for k in range(2)])
+    rows = parsed.withColumns({"_key": key, "_row": F.monotonically_increasing_id()})
+    distinct = rows.groupBy("_key").agg(
+        *[F.first(c).alias(c) for c in ("host", "blocks", "marks")], F.count(F.lit(1)).alias("n_rows")
     )
-    sizes = pages.groupBy("host").agg(F.sum("tokens").alias("_tokens"))
-    parts = sizes.select("host", F.greatest(F.ceil(F.col("_tokens") / PART_TOKENS), F.lit(1)).cast("int").alias("_parts"))
-    dealt = store(pages.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("_key"), "_parts").cast("int")))
+    sizes = parsed.groupBy("host").agg(F.ceil(F.sum("tokens") / PART_TOKENS).alias("_n"))
+    parts = sizes.select("host", F.greatest("_n", F.lit(1)).cast("int").alias("parts"))
+    dealt = store(distinct.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("_key"), "parts").cast("int")))
     counted = store(
-        dealt.groupBy("host", "part").applyInPandas(_count_runs, "host string, part int, run long, pages long")
+        dealt.groupBy("host", "part").applyInPandas(
+            _count_runs, "host string, part int, shard int, runs binary, pages binary"
+        )
     )
-    often = counted.groupBy("host", "run").agg(F.sum("pages").alias("n")).filter(F.col("n") >= PAGES)
-    known = counted.join(often, ["host", "run"], "left_semi").select("host", "part", "run")
-
-    def clean(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows):
-            return pd.DataFrame({"_key": [], "text": []})
-        left = without_runs([list(b) for b in rows["blocks"]], found["run"].to_numpy(np.int64))
-        return rows[["_key"]].assign(text=["\n\n".join(own) for own in left])
-
-    texts = (
+    known = counted.groupBy("host", "shard").applyInPandas(_boilerplate, "host string, part int, runs binary")
+    texts = store(
         dealt.groupBy("host", "part")
         .cogroup(known.groupBy("host", "part"))
-        .applyInPandas(clean, "_key string, text string")
+        .applyInPandas(_clean, "_key string, text string, n_repeated long")
     )
+    forget(counted)
     slim = rows.select("page_id", "url", "_key", "_row")
-    found = salted_join(slim, store(texts), "_key", ["_row"], pages.select("_key", "n_rows"))
-    return found.select("page_id", "url", "text")
-
-
-def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row."""
-    parsed = store(_parsed(pages))
-    named = parsed.filter("named").select("page_id", "url", F.concat_ws("\n\n", "blocks").alias("text"))
-    rest = parsed.filter("not named")
-    found = named.unionByName(_without_templates(rest)) if rest.limit(1).count() else named
-    return found.withColumn("n_chars", F.length("text").cast("long"))
+    found = salted_join(slim, texts, "_key", ["_row"], dealt.select("_key", "n_rows"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
 
 
 def op8_html(pages: DataFrame) -> DataFrame:

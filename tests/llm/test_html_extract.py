@@ -144,3 +144,21 @@ def test_a_hot_page_is_one_row_for_the_suffix_array(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
     got = {r["page_id"]: r["text"] for r in H.op8_html(df).collect()}
     assert got == {i: prose(i if i < 6 else 99, 30) for i in range(66)}
+
+
+def test_every_page_goes_through_the_suffix_array(spark, monkeypatch):
+    """Pages with a named article too: what repeats there stays, but not in an element whose name is in doubt."""
+    same, notice = prose(500, 20), prose(501, 20)
+    html = "<article><p>{own}</p><p>{same}</p><div class=notice><p>{notice}</p></div></article>"
+    pages = [(k, f"http://h/{k}", html.format(own=prose(k, 40), same=same, notice=notice)) for k in range(6)]
+    pages += [(9, "http://h/9", html.format(own=prose(9, 40), same=prose(502, 20), notice=prose(503, 20)))]
+    # The site's words around a short article are longer than it, but every page has them.
+    around = f"<div>{prose(504, 60)}</div>"
+    pages += [(20 + k, f"http://g/{k}", f"{around}<div>by name {k}</div><article><p>{prose(20 + k, 30)}</article>") for k in range(4)]
+    want = {k: (f"{prose(k, 40)}\n\n{same}", 2) for k in range(6)}
+    want[9] = (f"{prose(9, 40)}\n\n{prose(502, 20)}\n\n{prose(503, 20)}", 0)
+    want.update({20 + k: (prose(20 + k, 30), 1) for k in range(4)})
+    for part_tokens in (500_000, 100):
+        monkeypatch.setattr(H, "PART_TOKENS", part_tokens)
+        got = {r["page_id"]: (r["text"], r["n_repeated"]) for r in H.extract(frame(spark, pages)).collect()}
+        assert got == want
