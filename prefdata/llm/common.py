@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import math
 from collections.abc import Callable, Iterator
 
@@ -50,6 +51,17 @@ def forget(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clear_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of queries that nothing refers to any more, such as those of a table just stored.
+
+    Spark removes them once the driver has collected its garbage, which a driver with little to do does rarely.
+    Its listeners hold the last query until there is another one.
+    """
+    gc.collect()
+    spark.range(1).count()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_batches(
     df: DataFrame, make: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefdata.llm.common import WordHashes, crc_fold, finish, map_batches, parts_for, store, text_bytes
+from prefdata.llm.common import WordHashes, clear_shuffles, crc_fold, finish, map_batches, parts_for, store, text_bytes
 
 ORDER = 3
 MASS = 4.0  # M: weight of the shorter context, in counts
@@ -55,7 +55,8 @@ class EliasFano:
 
     It is searched as it is coded. Where a high part begins is the place of a zero among the unary bits, found
     by counts per 64 bits (the only thing that is added when the sequence is opened) and within them by
-    byte; the few numbers with that high part follow, and their low bits are compared.
+    byte; the numbers with that high part follow up to the next zero, and their low bits are searched by halves,
+    as the next words of one context can all have the same high part.
     """
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
@@ -94,14 +95,19 @@ class EliasFano:
             self._counts[ones] = np.cumsum(found if ones else 64 - found)
         before = self._counts[ones]
         word = np.searchsorted(before, k, "right")
-        left = k - np.where(word > 0, before[word - 1], 0)
-        rows = self.high.reshape(-1, 8)[word]
-        rows = rows if ones else ~rows
-        sums = np.cumsum(np.bitwise_count(rows), axis=1, dtype=np.int16)
-        byte = (sums <= left[:, None]).sum(axis=1)
-        every = np.arange(len(k))
-        left = left - np.where(byte > 0, sums[every, byte - 1], 0)
-        return word * 64 + byte * 8 + _PLACE[rows[every, byte], left]
+        left = (k - np.where(word > 0, before[word - 1], 0)).astype(np.uint8)
+        bits = self.high.view(">u8")[word].astype(np.uint64)
+        bits = bits if ones else ~bits
+        place = np.zeros(len(k), np.uint8)
+        # Halves of the word, of its half and of its quarter: the place lies in the first or behind it.
+        for width in (32, 16, 8):
+            count = np.bitwise_count(bits >> np.uint64(64 - width))
+            behind = left >= count
+            left -= count * behind
+            step = behind * np.uint8(width)
+            place += step
+            bits <<= step.astype(np.uint64)
+        return word * 64 + place + _PLACE[(bits >> np.uint64(56)).astype(np.int64), left]
 
     def _lows(self, at: np.ndarray) -> np.ndarray:
         """The low bits of the numbers at these places."""
@@ -130,19 +136,24 @@ class EliasFano:
         low = wanted & np.uint64((1 << self.low_bits) - 1)
         last = int(self.at(np.array([self.n - 1]))[0]) >> self.low_bits
         open_ = np.flatnonzero((high >= 0) & (high <= last))
-        # A high part h begins behind the zero number h - 1.
-        bit = np.zeros(len(open_), np.int64)
-        later = high[open_] > 0
-        bit[later] = self._select(high[open_][later] - 1, False) + 1
-        place = bit - high[open_]
+        # The numbers with a high part h lie between the zeros number h - 1 and h; none is asked for behind the last.
+        known, which = _distinct(high[open_])
+        inner = _distinct(np.sort(np.concatenate([known, known + 1])))[0]
+        edge = np.where(inner > last, self.n, 0)
+        within = np.flatnonzero((inner > 0) & (inner <= last))
+        edge[within] = self._select(inner[within] - 1, False) + 1 - inner[within]
+        first = edge[np.searchsorted(inner, known)][which]
+        end = edge[np.searchsorted(inner, known + 1)][which]
         while len(open_):
-            one = (self.high[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
-            open_, bit, place = open_[one], bit[one], place[one]
-            own = self._lows(place)
-            hit = own == low[open_]
-            found[open_[hit]] = place[hit]
-            further = own < low[open_]
-            open_, bit, place = open_[further], bit[further] + 1, place[further] + 1
+            some = first < end
+            open_, first, end = open_[some], first[some], end[some]
+            middle = (first + end) >> 1
+            own, asked = self._lows(middle), low[open_]
+            hit = own == asked
+            found[open_[hit]] = middle[hit]
+            below = own < asked
+            first, end = np.where(below, middle + 1, first), np.where(below, end, middle)
+            open_, first, end = open_[~hit], first[~hit], end[~hit]
         return found
 
 
@@ -318,9 +329,9 @@ class _Block:
                 begins = (k == order - 1) | (place[at] < k)
                 context[at] = np.where(begins, symbol, _grow(context[at], symbol))
             number = np.unique(context, return_inverse=True)[1].astype(np.int64)
-            _, first, which = np.unique(
-                number * len(self.words) + self.token, return_index=True, return_inverse=True
-            )
+            distinct, which = np.unique(number * len(self.words) + self.token, return_inverse=True)
+            first = np.empty(len(distinct), np.int64)
+            first[which] = np.arange(len(which))  # any place of each n-gram does
             context, word = context[first], self.words[self.token[first]]
         count = np.bincount(which[self.trains], minlength=len(word)).astype(np.int64)
         return context, word, count, which
@@ -406,12 +417,12 @@ def _words(raw: bytes, n: int) -> np.ndarray:
 def _packed_contexts(context: np.ndarray) -> bytes:
     """Rising contexts as distinct ones and their numbers of words."""
     known, n = np.unique(context, return_counts=True)
-    return np.array([len(known)], "<i8").tobytes() + known.tobytes() + n.astype("<i4").tobytes()
+    return np.array([len(known)], "<i8").tobytes() + known.tobytes() + _packed_counts(n)
 
 
 def _contexts(raw: bytes) -> np.ndarray:
     n = int(np.frombuffer(raw, "<i8", 1)[0])
-    return np.repeat(np.frombuffer(raw, np.uint64, n, 8), np.frombuffer(raw, "<i4", n, 8 + 8 * n))
+    return np.repeat(np.frombuffer(raw, np.uint64, n, 8), _counts(raw[8 + 8 * n :]))
 
 
 def _packed_counts(count: np.ndarray) -> bytes:
@@ -524,6 +535,7 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     least = n_tokens / FREQUENT
     hots: dict[int, dict[int, int]] = {1: {}}  # contexts of a level with a large share of all tokens, and their counts
     answers = [store(_answer_counts(_ask(blocks, 1, shards, _names(hots[1])), least))]
+    clear_shuffles(docs.sparkSession)
     known = answers[0].filter("kind = 'vocabulary'").agg(F.sum("n"), F.sum("block")).first()
     train_tokens, vocabulary = known[0] or 0, known[1] or 0
     # At most FREQUENT words, and below as many n-grams.
@@ -534,6 +546,8 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     for level in range(2, order + 1):
         asked = _ask(blocks, level, shards, _names(hots[level]))
         answers.append(store(_answer_shares(asked, hots[level], mass, least if level < order else None)))
+        del asked
+        clear_shuffles(docs.sparkSession)
         if level < order:
             grams = answers[-1].filter("kind = 'gram'").select("block", "data", "counts").collect()
             hots[level + 1] = _grown(grams, words) | start

@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -93,3 +94,47 @@ def test_trie_answers_what_it_was_given(tmp_path):
     assert np.abs(trie.shares(pairs[:, 0], pairs[:, 1]) - share).max() <= L.QUANTUM
     assert np.isinf(trie.shares(pairs[:, 0], pairs[:, 1] + np.uint64(1))).sum() >= len(pairs) - 5
     assert len(image) < 4 * len(pairs) + 1500
+
+
+def test_a_long_run_under_one_high_part_is_halved(monkeypatch):
+    """All next words of a frequent context lie side by side: steps are as many as a number has bits, not as the run is long."""
+    values = np.concatenate([np.arange(4000) * 3, [2**40, 2**41]]).astype(np.uint64)
+    level = L.EliasFano.of(values)
+    asked = []
+    lows = level._lows
+    monkeypatch.setattr(level, "_lows", lambda at: asked.append(len(at)) or lows(at))
+    wanted = np.append(np.arange(12100), [2**40, 2**40 + 1, 2**41, 2**63]).astype(np.uint64)
+    got = level.find(wanted)
+    place = {int(v): i for i, v in enumerate(values)}
+    assert got.tolist() == [place.get(int(w), -1) for w in wanted]
+    assert len(asked) < 20
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.sets(st.integers(0, 2**62), max_size=60), st.sets(st.integers(0, 300)))
+def test_find_is_a_look_up(large, small):
+    values = sorted(large | small)
+    level = L.EliasFano.of(np.array(values, np.uint64))
+    wanted = sorted(large | {v + 1 for v in large} | set(range(301)))
+    got = level.find(np.array(wanted, np.uint64)).tolist()
+    assert got == [values.index(w) if w in large | small else -1 for w in wanted]
+    if values:
+        assert level.at(np.arange(len(values))).tolist() == values
+
+
+def test_shuffle_files_go_when_a_level_is_answered(spark, tmp_path):
+    from prefdata.llm.common import clear_shuffles, store
+
+    seen = spark._jvm.org.apache.spark.SparkEnv.get().shuffleManager().shuffleBlockResolver()
+    left = []
+    for _ in range(2):
+        store(spark.range(1000).repartition(3, "id"))
+        newest = spark.sparkContext._jsc.sc().newShuffleId() - 1
+        clear_shuffles(spark)
+        for _ in range(50):
+            there = [m for m in range(4) for f in [seen.getDataFile(newest, m)] if f.exists()]
+            if not there:
+                break
+            time.sleep(0.1)
+        left.append(there)
+    assert left == [[], []]
