@@ -10,13 +10,19 @@ open, and the tail that the next chunk begins with. None of them needs the text
 - With its state known, a piece cuts its own paragraphs; of chunks that lie in several pieces it gives its part.
 - The tail is the end of all paragraphs so far, a few characters per piece.
 
-The chunks are those of ``documents.document_chunks`` for the whole text.
+The chunks are those of ``documents.document_chunks`` for the whole text. Rows of a piece come sorted, one piece after
+another, through one function call a task: pieces may be small and many.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +31,8 @@ from prefdata.functions.text import strip
 from prefdata.sources.files import PIECE_BYTES, read_lines
 from prefdata.sources.scratch import materialise
 
+ROWS, CHARACTERS = 10_000, 8 << 20  # that a task gives at once
+
 
 def chunks_of_lines(
     lines: DataFrame,
@@ -45,7 +53,7 @@ def chunks_of_lines(
     else:
         kind = lines.schema["key"].dataType.simpleString()
         schema = f"key {kind}, piece long, place long, text string, from_before boolean, goes_on boolean"
-        paragraphs = _joined(materialise(slim.groupBy("key", "piece").applyInPandas(_fragments, schema)))
+        paragraphs = _joined(materialise(_each(slim, ["key", "piece"], ["position"], _fragments, schema)))
     paragraphs = materialise(
         paragraphs.select("key", "piece", "place", strip("text").alias("text")).filter("text <> ''")
     )
@@ -82,24 +90,65 @@ def large_file_chunks(
     return chunks_of_lines(lines, size, overlap, by_line=by_line).withColumnRenamed("key", "path")
 
 
-def _fragments(lines: pd.DataFrame) -> pd.DataFrame:
+def _each(
+    rows: DataFrame, by: list[str], order: list[str], make: Callable[[tuple, Iterator[tuple]], Iterator[tuple]], schema: str
+) -> DataFrame:
+    """What ``make`` gives for each group of rows that are alike in ``by``, its rows sorted; groups are not held.
+
+    A task takes its groups one after another, which costs nothing per group, as a data frame for each would.
+    """
+    names = [f.split()[0] for f in schema.split(", ")]
+    places = [rows.columns.index(name) for name in by]
+    keys = itemgetter(*places) if len(by) > 1 else lambda row: (row[places[0]],)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        size = 0
+
+        def batch() -> pa.RecordBatch:
+            columns = zip(*out)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, arrow.types)], names=names)
+
+        def read() -> Iterator[tuple]:
+            for given in batches:
+                yield from zip(*[given.column(k).to_pylist() for k in range(given.num_columns)])
+
+        for key, group in groupby(read(), keys):
+            for row in make(key, group):
+                out.append(row)
+                size += sum(len(v) for v in row if isinstance(v, (str, list)))
+                if len(out) >= ROWS or size >= CHARACTERS:
+                    yield batch()
+                    out.clear()
+                    size = 0
+        if out:
+            yield batch()
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    return rows.repartition(*by).sortWithinPartitions(*by, *order).mapInArrow(run, schema)
+
+
+def _fragments(key: tuple, lines: Iterator[tuple]) -> Iterator[tuple]:
     """Paragraphs of a piece, divided by empty lines; the first and last may go on beyond its edges.
 
     A piece of empty lines has one row without a text: no paragraph goes on through it.
     """
-    lines = lines.sort_values("position")
-    texts, out, held = lines["text"].tolist(), [], []
-    for at, line in enumerate(texts):
+    held, place, begins = [], 0, True
+    for *_, line in lines:
         if line:
             held.append(line)
-        if held and (not line or at == len(texts) - 1):
-            begins = at + 1 - len(held) - (not line)
-            out.append((len(out), "\n".join(held), begins == 0, bool(line)))
-            held = []
-    rows = pd.DataFrame(out or [(-1, None, False, False)], columns=["place", "text", "from_before", "goes_on"])
-    rows.insert(0, "piece", lines["piece"].iloc[0])
-    rows.insert(0, "key", lines["key"].iloc[0])
-    return rows
+            continue
+        if held:
+            yield (*key, place, "\n".join(held), begins, False)
+            held, place = [], place + 1
+        begins = False
+    if held:
+        yield (*key, place, "\n".join(held), begins, True)
+    elif not place:
+        yield (*key, -1, None, False, False)
 
 
 def _joined(fragments: DataFrame) -> DataFrame:
@@ -160,58 +209,77 @@ def _follow(lengths: list[int], size: int, overlap: int) -> tuple[list[int], lis
     return now.tolist(), closed.tolist()
 
 
+def _runs(values: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """A list in runs of numbers that stay or rise by one: where each begins, with what, and by how much it rises."""
+    begins, first, rise = [], [], []
+    for at, value in enumerate(values):
+        if begins:
+            length = at - begins[-1]
+            if length == 1 and value - first[-1] in (0, 1):
+                rise[-1] = value - first[-1]
+                continue
+            if length > 1 and value == first[-1] + rise[-1] * length:
+                continue
+        begins.append(at)
+        first.append(value)
+        rise.append(0)
+    return begins, first, rise
+
+
+def _value(begins: list[int], first: list[int], rise: list[int], at: int) -> int:
+    k = bisect_right(begins, at) - 1
+    return first[k] + rise[k] * (at - begins[k])
+
+
 def _parts(paragraphs: DataFrame, size: int, overlap: int) -> DataFrame:
     """(key, piece, number, text, whole): what each piece has of a document's chunks."""
     kind = paragraphs.schema["key"].dataType.simpleString()
 
-    def table(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        ends, closed = _follow(rows["n"].tolist(), size, overlap)
-        tail, texts = "", rows["tail"].tolist()
-        while texts and len(tail) < overlap:
-            tail = texts.pop() + "\n" + tail
-        return pd.DataFrame(
-            {"key": rows["key"].iloc[:1], "piece": rows["piece"].iloc[:1], "ends": [ends], "closed": [closed],
-             "tail": [tail[len(tail) - overlap :] if len(tail) > overlap else tail]}
-        )
-
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        state, number, tail, out = 0, 0, "", []
-        for key, piece, ends, closed, own in rows.sort_values("piece").itertuples(index=False):
-            out.append((key, piece, state, number, tail))
-            number, state = number + int(closed[state]), int(ends[state])
+    def table(key, rows):
+        lengths, tail = [], ""
+        for *_, n, end in rows:
+            lengths.append(n)
+            if overlap:
+                tail = (tail + end + "\n")[-overlap:]
+        ends, closed = _follow(lengths, size, overlap)
+        yield (*key, *_runs(ends), *_runs(closed), tail)
+
+    def walk(key, rows):
+        state, number, tail = 0, 0, ""
+        for _, piece, *runs, own in rows:
+            yield key[0], piece, state, number, tail
+            number, state = number + _value(*runs[3:], state), _value(*runs[:3], state)
             tail = (tail + own)[-overlap:] if overlap else ""
-        return pd.DataFrame(out, columns=["key", "piece", "open", "number", "before"])
 
-    def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        state, number, tail = (rows[c].iloc[0] for c in ("open", "number", "before"))
-        held, begun, out = [], False, []
-        for text in rows["text"]:
+    def cut(key, rows):
+        *_, state, number, tail = next(rows)
+        held, begun = [], False
+        for *_, text, _, _, _ in rows:
             state, shut = _add(state, len(text), size, overlap)
             if shut:
-                out.append((number, "".join(held), begun))
+                yield (*key, number, "".join(held), begun)
                 number, held, begun = number + 1, [tail], True
             held.append(text + "\n")
             tail = (tail + text + "\n")[-overlap:] if overlap else ""
-        out.append((number, "".join(held), False))
-        found = pd.DataFrame(out, columns=["number", "text", "whole"])
-        found.insert(0, "piece", rows["piece"].iloc[0])
-        found.insert(0, "key", rows["key"].iloc[0])
-        return found
+        yield (*key, number, "".join(held), False)
 
     lengths = paragraphs.select(
         "key", "piece", "place", F.length("text").alias("n"), F.right("text", F.lit(overlap)).alias("tail")
     )
-    tables = lengths.groupBy("key", "piece").applyInPandas(
-        table, f"key {kind}, piece long, ends array<int>, closed array<int>, tail string"
+    runs = [f"{name}_{part}" for name in ("ends", "closed") for part in ("begins", "first", "rise")]
+    tables = _each(
+        lengths, ["key", "piece"], ["place"], table,
+        f"key {kind}, piece long, {', '.join(f'{r} array<int>' for r in runs)}, tail string",
     )
     # A row per piece; no text but the tails.
-    states = tables.groupBy("key").applyInPandas(
-        walk, f"key {kind}, piece long, open long, number long, before string"
-    )
-    return (
-        paragraphs.join(states, ["key", "piece"])
-        .groupBy("key", "piece")
-        .applyInPandas(cut, f"key {kind}, piece long, number long, text string, whole boolean")
+    states = _each(tables, ["key"], ["piece"], walk, f"key {kind}, piece long, open long, number long, before string")
+    # What is known of a piece comes before its paragraphs, so no join is needed.
+    nothing = F.lit(None)
+    known = states.select("key", "piece", F.lit(0).alias("_rank"), nothing.cast("long").alias("place"),
+                          nothing.cast("string").alias("text"), "open", "number", "before")
+    own = paragraphs.select("key", "piece", F.lit(1).alias("_rank"), "place", "text", nothing.cast("long").alias("open"),
+                            nothing.cast("long").alias("number"), nothing.cast("string").alias("before"))
+    return _each(
+        known.unionByName(own), ["key", "piece"], ["_rank", "place"], cut,
+        f"key {kind}, piece long, number long, text string, whole boolean",
     )

@@ -89,3 +89,25 @@ def test_a_large_file_is_many_tasks(spark, tmp_path):
     documents, _ = read_documents(spark, str(folder))
     want = sorted(map(tuple, document_chunks(documents, "path").collect()))
     assert got == want and len(got) > 500
+
+
+def test_many_small_pieces_cost_no_data_frame_each(spark, plan_of):
+    """A step takes a task's pieces one after another; lines meet what is known of their piece without a join."""
+    lines = spark.range(4000).selectExpr(
+        "id div 100 as key", "id div 2 as piece", "id as position", "concat('a line that counts ', id) as text"
+    )
+    parts = large._parts(lines.select("key", "piece", lines["position"].alias("place"), "text"), 500, 50)
+    plan = plan_of(parts)
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan and "Join" not in plan
+    got = large.chunks_of_lines(lines, by_line=True).groupBy("key").count().collect()
+    assert len(got) == 40 and len({r["count"] for r in got if r["key"] > 9}) == 1
+
+
+def test_runs_are_the_list():
+    rng = random.Random(2)
+    for _ in range(200):
+        values = [rng.choice([0, 1, 2, 7])]
+        for _ in range(rng.randint(0, 30)):
+            values.append(values[-1] + rng.choice([0, 0, 1, 1, 1, -3, 2]))
+        runs = large._runs(values)
+        assert [large._value(*runs, k) for k in range(len(values))] == values
