@@ -128,15 +128,20 @@ def text_files_scan(spark, sf_dir):
 @query
 def partitioned_pairs(spark, sf_dir):
     path = scratch_folder(spark)
-    pairs = materialise(_pairs(spark, sf_dir))
-    models = F.explode(F.array(F.lit("first"), F.lit("second")))
-    sinks.write_per_model(pairs.withColumn("model", models), path)
+    schema = "doc_id BIGINT, " + schemas.PREFERENCE
+
+    def write(rows: DataFrame, model: str) -> None:
+        # A join's tasks and stored files are large, so that a model's rows need no shuffle to be written.
+        sinks.write_per_model(rows.withColumn("model", F.lit(model)), path, gather=False, compression="lz4")
+
+    write(_pairs(spark, sf_dir), "first")
+    pairs = files.read_jsonl(spark, f"{path}/model=first", schema)
+    write(pairs, "second")
     swapped = pairs.withColumns(
         {"chosen": F.col("rejected"), "rejected": F.col("chosen")}
     )
-    sinks.write_per_model(swapped.withColumn("model", F.lit("second")), path)
-    schema = "doc_id BIGINT, " + schemas.PREFERENCE + ", model STRING"
-    return files.read_jsonl(spark, path, schema)
+    write(swapped, "second")
+    return files.read_jsonl(spark, path, f"{schema}, model STRING")
 
 
 @query

@@ -17,19 +17,23 @@ def write_jsonl(df: DataFrame, path: str) -> int:
     return seen.get["n"]
 
 
-def write_per_model(df: DataFrame, path: str, model: str = "model") -> int:
+def write_per_model(
+    df: DataFrame, path: str, model: str = "model", gather: bool = True, compression: str = "none"
+) -> int:
     """One folder per model; only the folders of the models in ``df`` are replaced. Gives the rows written.
 
     The rebalance hint gathers the rows of a model into few files and splits a model
-    that has a large share of them.
+    that has a large share of them. Without ``gather`` rows are written where they lie and nothing is shuffled:
+    for stored tables, whose tasks are large, and few models. ``compression``: codec of the files.
     """
     seen = Observation()
+    rows = df.hint("rebalance", model) if gather else df
     (
-        df.hint("rebalance", model)
-        .observe(seen, F.count(F.lit(1)).alias("n"))
+        rows.observe(seen, F.count(F.lit(1)).alias("n"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
+        .option("compression", compression)
         .partitionBy(model)
         .json(path)
     )

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from prefdata.functions import prompts
 from prefdata.operators import generate, grpo, preference
@@ -145,3 +146,17 @@ def test_generated_answers_become_pairs(spark, load_upper):
     pairs = preference.preference_pairs(source, generate.answered(answers), "id")
     assert pairs.count() == 6
     assert pairs.first().rejected.startswith("指令: QUESTION")
+
+
+def test_pairs_are_written_per_model_without_a_shuffle(spark, tmp_path):
+    stored = str(tmp_path / "stored")
+    spark.range(3000).selectExpr("id", "repeat('some text ', 20) as text").write.parquet(stored)
+    rows, path = spark.read.parquet(stored), str(tmp_path / "out")
+    shuffles = spark.sparkContext._jsc.sc().newShuffleId()
+    for text, model in (("a", "first"), ("b", "second"), ("c", "second")):
+        tagged = rows.withColumns({"mark": F.lit(text), "model": F.lit(model)})
+        assert sinks.write_per_model(tagged, path, gather=False, compression="gzip") == 3000
+    assert spark.sparkContext._jsc.sc().newShuffleId() == shuffles + 1
+    back = spark.read.json(path)
+    assert {(r["model"], r["mark"], r["n"]) for r in back.groupBy("model", "mark").agg(F.count("*").alias("n")).collect()} == {
+        ("first", "a", 3000), ("second", "c", 3000)}
