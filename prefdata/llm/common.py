@@ -128,6 +128,38 @@ def finish(hashes: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """An array by planes of a byte, compressed; shuffles hold it as it is."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(planes).to_bytes(4, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+
+
+def unpacked(raw: bytes, kind: type) -> np.ndarray:
+    size, width = int.from_bytes(raw[:4], "little"), np.dtype(kind).itemsize
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(raw[4:], size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
+
+
+def packed_rising(values: np.ndarray) -> bytes:
+    """Rising unsigned numbers by the steps between them."""
+    steps = values.copy()
+    steps[1:] -= values[:-1]
+    return packed(steps)
+
+
+def unpacked_rising(raw: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(unpacked(raw, kind), dtype=kind)
+
+
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the known ones, which are sorted."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def salt(key: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts))
 

@@ -11,9 +11,10 @@ Repeated blocks go, and so does what lies around the page's articles (or main pa
 text is in them. What markup puts into such an article is checked last: it stays though it is
 repeated, unless its element has a doubtful name.
 
-A host's pages are dealt into parts that fit one task. Each part sorts its own suffixes; how
-many pages have a run is then added up over the parts of the host, so that nothing depends on the
-dealing.
+Pages stay where they were parsed: a part is a row of pages of any hosts, stored once. A part sorts the suffixes of its
+own pages, host by host, and how many distinct pages have a run is added up over the parts, so that nothing depends on the
+dealing. What is shuffled is runs, never texts: first a few bits of each run's hash, which leave over the runs that may be
+boilerplate, then the whole hashes of those.
 
 Defined cases: a null html is empty and gives the empty text, as does a page without text; a null
 url is a host of its own; rows repeated exactly count as one page of the host and each
@@ -23,20 +24,28 @@ give their text; an empty table gives no rows; other columns are not looked at.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html import unescape
+from itertools import chain as one_by_one
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefdata.llm.common import WordHashes, chain, finish, forget, map_batches, store
-from prefdata.operators.skew import salted_join
+from prefdata.llm.common import (
+    WordHashes, among, chain, clear_shuffles, finish, map_batches, packed, packed_rising, parts_for, store, unpacked, unpacked_rising,
+)
+from prefdata.sources.buckets import Buckets, bucket_count, write_rows
 
 RUN = 8  # tokens of a repeated run at least
 PAGES = 3  # distinct pages that it is found on at least
 COVERED = 0.7  # of a block's tokens, for it to go
-PART_TOKENS = 500_000
+PART_TOKENS = 1_000_000  # or TOKEN_CHARS times as many characters
+TOKEN_CHARS = 16
+SHARD_RUNS = 2_000_000  # runs that are counted in one task, about
+SHORT_BITS = 27  # of a run's hash within its shard: other runs with the same bits are few
 
 # Elements by what they hold, and words that name such parts in attributes.
 NO_TEXT = frozenset(
@@ -276,49 +285,72 @@ def host_of(url: str | None) -> str:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
+    """Parts of about ``PART_TOKENS``: pages of a task one after another, their blocks the lines of one text."""
+
+    def part(rows: list[tuple], tokens: int) -> dict:
+        page_id, url, key, lines, marks = zip(*rows)
+        return {
+            "page_id": [list(page_id)],
+            "url": [list(url)],
+            "key": [list(key)],
+            "text": ["\n".join(one_by_one(*lines))],
+            "n_blocks": [[len(own) for own in lines]],
+            "marks": [list(one_by_one(*marks))],
+            "tokens": [tokens],
+        }
+
     def run(batches):
+        rows, tokens, room = [], 0, PART_TOKENS
         for batch in batches:
-            found = [_found(h or "") for h in batch.column("html").to_pylist()]
-            yield {
-                "page_id": batch.column("page_id"),
-                "url": batch.column("url"),
-                "host": [host_of(u) for u in batch.column("url").to_pylist()],
-                "blocks": [[b for _, b, *_ in own] for own in found],
+            for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
+                found = _found(html or "")
+                lines = [b for _, b, *_ in found]
                 # Part of the page, doubt and letters of each block in a number.
-                "marks": [[PARTS.index(p) * 2 + doubt + n * 8 for p, _, n, doubt in own] for own in found],
-                "tokens": [sum(b.count(" ") + 1 for _, b, *_ in own) for own in found],
-            }
+                marks = [PARTS.index(p) * 2 + doubt + n * 8 for p, _, n, doubt in found]
+                name = "\n".join([host_of(url), *lines, *map(str, marks)])
+                rows.append((page_id, url, xxhash.xxh3_128_digest(name), lines, marks))
+                n = sum(b.count(" ") + 1 for b in lines)
+                tokens, room = tokens + n, room - 1 - max(n, sum(map(len, lines)) // TOKEN_CHARS)
+                if room <= 0:
+                    yield part(rows, tokens)
+                    rows, tokens, room = [], 0, PART_TOKENS
+        if rows:
+            yield part(rows, tokens)
 
     return map_batches(
-        pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"),
+        pages.select(F.col("page_id").cast("long").cast("string").alias("page_id"), "url", "html"),
         run,
-        "page_id long, url string, host string, blocks array<string>, marks array<long>, tokens long",
-    )
+        # Ids are texts here: pandas would make a double of a null's neighbours.
+        "page_id array<string>, url array<string>, key array<binary>, text string, n_blocks array<int>, "
+        "marks array<long>, tokens long",
+    ).withColumn("part", F.monotonically_increasing_id())
 
 
 def _marked(blocks: list[str], marks: list[int]) -> list[tuple[str, str, int, bool]]:
     return [(PARTS[m % 8 // 2], b, m // 8, bool(m % 2)) for b, m in zip(blocks, marks)]
 
 
-def _stream(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _stream(pages: list[list[str]], hosts: list[str] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Token hashes of all pages one after another, page of each token, block of each token.
 
-    A token no page has stands between pages, so no run crosses them.
+    A token no page has stands between pages, so no run crosses them. With hosts equal words of two hosts are two tokens.
     """
-    names = WordHashes()
-    hashes, page, block = [], [], []
-    for p, own in enumerate(pages):
-        for b, words in enumerate(text.split() for text in own):
-            hashes.append(names.of(words))
-            page.append((p, len(words)))
-            block.append(b)
-        hashes.append(np.array([(p * 2 + 1) & 0xFFFFFFFF], np.uint64))
-        page.append((-1 - p, 1))
-        block.append(-1)
-    if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    page, sizes = np.array(page, np.int64).T
-    return np.concatenate(hashes), np.repeat(page, sizes), np.repeat(np.array(block, np.int64), sizes)
+    words = [text.split() for own in pages for text in own]
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    n_blocks = np.fromiter(map(len, pages), np.int64, len(pages))
+    page_of_block = np.repeat(np.arange(len(pages)), n_blocks)
+    block_in_page = np.arange(len(words)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
+    own = np.repeat(page_of_block, sizes)
+    hashes = WordHashes().of(list(one_by_one(*words)))
+    if hosts is not None:
+        hashes = chain(WordHashes().of(hosts)[own], hashes)
+    at = np.arange(len(own)) + own
+    ends = np.cumsum(np.bincount(own, minlength=len(pages)) + 1) - 1
+    tokens = np.zeros(len(own) + len(pages), np.uint64)
+    page, block = np.zeros((2, len(tokens)), np.int64)
+    tokens[at], page[at], block[at] = hashes, own, np.repeat(block_in_page, sizes)
+    tokens[ends], page[ends], block[ends] = np.arange(len(pages)) * 2 + 1, -1 - np.arange(len(pages)), -1
+    return tokens, page, block
 
 
 def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
@@ -330,110 +362,208 @@ def suffix_ranks(tokens: np.ndarray, depth: int) -> np.ndarray:
     k = 1
     while k < depth:
         behind = np.full(len(rank), -1, np.int64)
-        behind[: len(rank) - k] = rank[k:]
+        behind[: max(0, len(rank) - k)] = rank[k:]
         rank = np.unique(rank * (len(rank) + 2) + behind + 1, return_inverse=True)[1].astype(np.int64)
         k *= 2
     return rank
 
 
+def _inside(page: np.ndarray, depth: int) -> np.ndarray:
+    """Whether a whole run within a page begins at each token."""
+    inside, whole = np.zeros(len(page), bool), max(0, len(page) - depth + 1)
+    inside[:whole] = (page[:whole] >= 0) & (page[:whole] == page[depth - 1 :])
+    return inside
+
+
+def _names(tokens: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes of the runs that begin at these tokens."""
+    name = np.zeros(len(at), np.uint64)
+    for k in range(depth):
+        name = chain(name, tokens[at + k])
+    return finish(name)
+
+
 def runs(pages: list[list[str]], depth: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash of the run at each suffix, whole run within a page, page, block)."""
     tokens, page, block = _stream(pages)
-    n = len(tokens)
-    inside = np.zeros(n, bool)
-    if n >= depth:
-        inside[: n - depth + 1] = (page[: n - depth + 1] >= 0) & (page[: n - depth + 1] == page[depth - 1 :])
-    names = np.zeros(n, np.uint64)
+    inside = _inside(page, depth)
     rank = suffix_ranks(tokens, depth)
+    names = np.zeros(len(tokens), np.uint64)
     first = np.unique(rank, return_index=True)[1]
     whole = np.flatnonzero(inside[first])
-    name = np.zeros(len(whole), np.uint64)
-    for k in range(depth):
-        name = chain(name, tokens[first[whole] + k])
-    names[whole] = finish(name)
+    names[whole] = _names(tokens, first[whole], depth)
     return names[rank], inside, page, block
 
 
-def _count_runs(rows: pd.DataFrame) -> pd.DataFrame:
-    """Pages of this part that have a run. Each of the host's shards gets its runs; alone, a part knows what is boilerplate."""
-    name, inside, page, _ = runs([list(b) for b in rows["blocks"]])
-    seen = np.unique(np.stack([name[inside].view(np.int64), page[inside]]), axis=1)[0]
-    names, counts = np.unique(seen, return_counts=True)
-    parts = int(rows["parts"].iloc[0])
-    if parts == 1:
-        names, counts = names[counts >= PAGES], counts[counts >= PAGES]
-    shard = (names.view(np.uint64) >> np.uint64(32)) % np.uint64(parts)
-    out = []
-    for k in np.unique(shard):
-        own = shard == k
-        out.append((int(k), names[own].tobytes(), np.minimum(counts[own], PAGES).astype(np.uint8).tobytes()))
-    found = pd.DataFrame(out, columns=["shard", "runs", "pages"])
-    return found.assign(host=rows["host"].iloc[0], part=rows["part"].iloc[0])[["host", "part", "shard", "runs", "pages"]]
-
-
-def _boilerplate(rows: pd.DataFrame) -> pd.DataFrame:
-    """Which of its runs are boilerplate, for each part that has runs in this shard."""
-    own = [np.frombuffer(r, np.int64) for r in rows["runs"]]
-    names, which = np.unique(np.concatenate(own), return_inverse=True)
-    pages = np.concatenate([np.frombuffer(n, np.uint8) for n in rows["pages"]])
-    often = names[np.bincount(which, weights=pages) >= PAGES]
-    return rows[["host", "part"]].assign(runs=[r[np.isin(r, often)].tobytes() for r in own])
-
-
-def repeated(pages: list[list[str]], boilerplate: np.ndarray) -> list[list[bool]]:
-    """Whether each of the pages' blocks is covered by boilerplate runs."""
-    name, inside, page, block = runs(pages)
-    hit = inside & np.isin(name.view(np.int64), boilerplate)
+class _Part:
+    """A row of ``_parsed``; a page that it has several times is one of its distinct pages."""
+
+    def __init__(self, rows: pd.DataFrame):
+        row = rows.iloc[0]
+        self.part, self.page_id, self.url = int(row["part"]), row["page_id"], list(row["url"])
+        edges = np.cumsum([0, *row["n_blocks"]])
+        lines, marks = row["text"].split("\n") if edges[-1] else [], list(row["marks"])
+        place: dict[bytes, int] = {}
+        self.which = [place.setdefault(bytes(k), len(place)) for k in row["key"]]
+        self.first = np.unique(self.which, return_index=True)[1]
+        self.blocks = [lines[edges[i] : edges[i + 1]] for i in self.first]
+        self.marks = [marks[edges[i] : edges[i + 1]] for i in self.first]
+        self.tokens, self.page, self.block = _stream(self.blocks, [host_of(self.url[i]) for i in self.first])
+        self.inside = np.flatnonzero(_inside(self.page, RUN))
+
+    def teaches(self, said: pd.DataFrame) -> np.ndarray:
+        """Which of the distinct pages are counted here; of the others a copy in another part is."""
+        own = [p for p in said["pages"] if p is not None]
+        return np.isin(self.first, own[0]) if own else np.zeros(len(self.first), bool)
+
+    def names(self) -> np.ndarray:
+        return _names(self.tokens, self.inside, RUN)
+
+
+def _by_shard(part: int, runs: np.ndarray, pages: np.ndarray, shard: np.ndarray) -> pd.DataFrame:
+    """A row for each shard that has some of the runs; they come in the order of shard and run."""
+    asked, edges = np.unique(shard, return_index=True)
+    ends = np.append(edges[1:], len(runs))
+    out = [(int(k), part, packed_rising(runs[a:b]), packed(pages[a:b])) for k, a, b in zip(asked, edges, ends)]
+    return pd.DataFrame(out, columns=["shard", "part", "runs", "pages"])
+
+
+_ASKED = "shard int, part long, runs binary, pages binary"
+
+
+def _shard_of(name: np.ndarray, shards: int) -> np.ndarray:
+    return ((name >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
+def _short(name: np.ndarray, shards: int) -> np.ndarray:
+    """A run's shard and the last bits of its hash."""
+    return _shard_of(name, shards) << SHORT_BITS | (name & np.uint64((1 << SHORT_BITS) - 1)).astype(np.int64)
+
+
+def _ask_short(shards: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """Of each run of a part the shard and a few bits, with how many pages have it, from the part's suffix array."""
+
+    def run(rows: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return _by_shard(0, *np.zeros((3, 0), np.int64))
+        part, n = _Part(rows), len(rows["key"].iloc[0])
+        rank = suffix_ranks(part.tokens, RUN)[part.inside]
+        # Each run of a page once; equal runs lie side by side.
+        once, at = np.unique(rank * n + part.page[part.inside], return_index=True)
+        begins = np.flatnonzero(np.diff(once // n, prepend=-1))
+        teaches = part.teaches(said)[once % n].astype(np.int64)
+        pages = np.add.reduceat(teaches, begins) if len(begins) else teaches
+        short = _short(_names(part.tokens, part.inside[at[begins]], RUN), shards)
+        order = np.argsort(short)
+        begins = np.flatnonzero(np.diff(short[order], prepend=-1))
+        pages = np.add.reduceat(pages[order], begins) if len(begins) else pages
+        short = short[order][begins]
+        own = short & ((1 << SHORT_BITS) - 1)
+        return _by_shard(part.part, own.astype(np.uint32), np.minimum(pages, PAGES).astype(np.uint8), short >> SHORT_BITS)
+
+    return run
+
+
+def _ask_names(shards: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """The whole hashes of the runs whose few bits are on enough pages, with how many of the part's pages have each."""
+
+    def run(rows: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return _by_shard(0, *np.zeros((3, 0), np.int64))
+        part = _Part(rows)
+        names = part.names()
+        asked = [(int(s) << SHORT_BITS) + unpacked_rising(r, np.uint32).astype(np.int64)
+                 for s, r in zip(said["shard"], said["runs"]) if r is not None]
+        some = np.flatnonzero(among(_short(names, shards), np.sort(np.concatenate([np.zeros(0, np.int64), *asked]))))
+        name, page = names[some], part.page[part.inside[some]]
+        shard = _shard_of(name, shards)
+        order = np.lexsort((page, name, shard))
+        name, page, shard = name[order], page[order], shard[order]
+        new = np.ones(len(name), bool)
+        new[1:] = name[1:] != name[:-1]
+        other = new.copy()
+        other[1:] |= page[1:] != page[:-1]
+        begins = np.flatnonzero(new)
+        teaches = part.teaches(said)[page] & other
+        pages = np.add.reduceat(teaches.astype(np.int64), begins) if len(begins) else np.zeros(0, np.int64)
+        return _by_shard(part.part, name[begins], np.minimum(pages, PAGES).astype(np.uint8), shard[begins])
+
+    return run
+
+
+def _often(kind: type) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Which of its runs are on enough pages of all parts, for each part that has runs in this shard."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        own = [unpacked_rising(r, kind) for r in rows["runs"]]
+        names, which = np.unique(np.concatenate(own), return_inverse=True)
+        pages = np.concatenate([unpacked(p, np.uint8) for p in rows["pages"]])
+        often = np.bincount(which, weights=pages, minlength=len(names)) >= PAGES
+        hit = np.split(often[which], np.cumsum([len(r) for r in own])[:-1])
+        found = rows[["shard", "part"]].assign(runs=[packed_rising(r[h]) for r, h in zip(own, hit)])
+        return found[[bool(h.any()) for h in hit]]
+
+    return run
+
+
+def repeated(part: _Part, boilerplate: np.ndarray) -> list[list[bool]]:
+    """Whether each block of the part's distinct pages is covered by boilerplate runs (rising hashes)."""
+    hit = np.zeros(len(part.tokens), bool)
+    hit[part.inside] = among(part.names(), boilerplate)
     covered = np.zeros(len(hit), bool)
     for k in range(RUN):
-        covered[k:] |= hit[: len(hit) - k]
-    first = np.cumsum([0] + [len(own) for own in pages])
-    text = page >= 0
-    at = first[page[text]] + block[text]
+        covered[k:] |= hit[: max(0, len(hit) - k)]
+    first = np.cumsum([0] + [len(own) for own in part.blocks])
+    text = part.page >= 0
+    at = first[part.page[text]] + part.block[text]
     size = np.bincount(at, minlength=first[-1])
     again = np.bincount(at, weights=covered[text], minlength=first[-1]) >= COVERED * np.maximum(size, 1)
     return [again[a:b].tolist() for a, b in zip(first, first[1:])]
 
 
-def _clean(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+def _clean(rows: pd.DataFrame, said: pd.DataFrame) -> pd.DataFrame:
     if not len(rows):
-        return pd.DataFrame({"_key": [], "text": [], "n_repeated": []})
-    known = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r, np.int64) for r in found["runs"])])
-    pages = [list(b) for b in rows["blocks"]]
-    again = repeated(pages, known)
-    texts = ["\n\n".join(_chosen(_marked(b, m), g)[0]) for b, m, g in zip(pages, rows["marks"], again)]
-    return rows[["_key"]].assign(text=texts, n_repeated=[sum(g) for g in again])
+        return pd.DataFrame({"page_id": [], "url": [], "text": [], "n_repeated": []})
+    part = _Part(rows)
+    known = np.sort(np.concatenate([np.zeros(0, np.uint64), *(unpacked_rising(r, np.uint64) for r in said["runs"])]))
+    again = repeated(part, known)
+    texts = ["\n\n".join(_chosen(_marked(b, m), g)[0]) for b, m, g in zip(part.blocks, part.marks, again)]
+    return pd.DataFrame({
+        "page_id": pd.array([None if i is None else int(i) for i in part.page_id], dtype="Int64"),
+        "url": part.url,
+        "text": [texts[i] for i in part.which],
+        "n_repeated": [sum(again[i]) for i in part.which],
+    })
+
+
+def _counted(parts: Buckets, said: DataFrame, ask: Callable, kind: type) -> DataFrame:
+    """(shard, part, runs): the runs of each part that are on enough pages; ``ask`` chooses those that are counted."""
+    asked = parts.read().groupBy("part").cogroup(said.groupBy("part")).applyInPandas(ask, _ASKED)
+    return store(asked.groupBy("shard").applyInPandas(_often(kind), "shard int, part long, runs binary"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_repeated) of every row; n_repeated: blocks that other pages of the host have too.
 
-    The suffix arrays see every distinct page of a host once, however often it is there; its copies get the text of
-    that one.
+    Every distinct page of a host counts once, however often it is there.
     """
-    parsed = store(_parsed(pages))
-    key = F.concat_ws(":", *[F.xxhash64(F.lit(k), "host", "blocks", "marks").cast("string") for k in range(2)])
-    rows = parsed.withColumns({"_key": key, "_row": F.monotonically_increasing_id()})
-    distinct = rows.groupBy("_key").agg(
-        *[F.first(c).alias(c) for c in ("host", "blocks", "marks")], F.count(F.lit(1)).alias("n_rows")
-    )
-    sizes = parsed.groupBy("host").agg(F.ceil(F.sum("tokens") / PART_TOKENS).alias("_n"))
-    parts = sizes.select("host", F.greatest("_n", F.lit(1)).cast("int").alias("parts"))
-    dealt = store(distinct.join(parts, "host").withColumn("part", F.pmod(F.xxhash64("_key"), "parts").cast("int")))
-    counted = store(
-        dealt.groupBy("host", "part").applyInPandas(
-            _count_runs, "host string, part int, shard int, runs binary, pages binary"
-        )
+    spark = pages.sparkSession
+    parts = write_rows(_parsed(pages), "part", 2 * bucket_count(spark))
+    shards = parts_for(parts.read().agg(F.sum("tokens")).first()[0] or 0, SHARD_RUNS)
+    keys = parts.read_files().select("part", F.posexplode("key").alias("at", "key"))
+    firsts = keys.groupBy("key").agg(F.min(F.struct("part", "at")).alias("first")).groupBy("first.part")
+    none = F.lit(None)
+    counts_here = store(firsts.agg(F.collect_list("first.at").alias("pages"))).select(
+        "part", none.cast("int").alias("shard"), none.cast("binary").alias("runs"), "pages"
     )
-    known = counted.groupBy("host", "shard").applyInPandas(_boilerplate, "host string, part int, runs binary")
-    texts = store(
-        dealt.groupBy("host", "part")
-        .cogroup(known.groupBy("host", "part"))
-        .applyInPandas(_clean, "_key string, text string, n_repeated long")
+    short = _counted(parts, counts_here, _ask_short(shards), np.uint32)
+    clear_shuffles(spark)
+    asked = short.withColumn("pages", none.cast("array<int>"))
+    known = _counted(parts, counts_here.unionByName(asked), _ask_names(shards), np.uint64)
+    clear_shuffles(spark)
+    found = parts.read().groupBy("part").cogroup(known.groupBy("part")).applyInPandas(
+        _clean, "page_id long, url string, text string, n_repeated long"
     )
-    forget(counted)
-    slim = rows.select("page_id", "url", "_key", "_row")
-    found = salted_join(slim, texts, "_key", ["_row"], dealt.select("_key", "n_rows"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_repeated")
 
 

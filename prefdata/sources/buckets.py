@@ -61,6 +61,16 @@ def write_buckets(df: DataFrame, key: str, n: int | None = None) -> Buckets:
     return table
 
 
+def write_rows(df: DataFrame, key: str, n: int) -> Buckets:
+    """``write_buckets`` for rows of some megabytes each: a file has few of them, so they are stored by the task that
+    makes them and never shuffled."""
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession)
+    table = Buckets(spark, f"prefdata_{uuid.uuid4().hex}", path, key, n)
+    rows = df.write.mode("overwrite").option("compression", "zstd").option("path", path)
+    rows.bucketBy(n, key).saveAsTable(table.name, format="parquet")
+    return table
+
+
 def _write(df: DataFrame, name: str, path: str, key: str, n: int, mode: str) -> None:
     # A bucket's rows meet in few tasks, so that there are few files; a large bucket is shared out.
     rows = df.hint("rebalance", key)

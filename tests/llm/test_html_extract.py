@@ -162,3 +162,34 @@ def test_every_page_goes_through_the_suffix_array(spark, monkeypatch):
         monkeypatch.setattr(H, "PART_TOKENS", part_tokens)
         got = {r["page_id"]: (r["text"], r["n_repeated"]) for r in H.extract(frame(spark, pages)).collect()}
         assert got == want
+
+
+def test_texts_are_not_shuffled(spark, plan_of):
+    """Pages stay where they were parsed; what is sent is the runs that are boilerplate."""
+    plan = plan_of(H.extract(frame(spark, [soup(k) for k in range(6)])))
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    sent = plan[plan.index("Exchange") :].splitlines()[1]
+    assert "runs" in sent and "text" not in sent and "marks" not in sent
+
+
+@pytest.mark.parametrize("bits,shard,part", [(1, 2_000_000, 1_000_000), (3, 40, 150), (27, 40, 60)])
+def test_few_bits_of_a_run_decide_nothing(spark, monkeypatch, bits, shard, part):
+    """Other runs with the same bits are told apart by their whole hashes; parts and shards don't matter."""
+    monkeypatch.setattr(H, "SHORT_BITS", bits)
+    monkeypatch.setattr(H, "SHARD_RUNS", shard)
+    monkeypatch.setattr(H, "PART_TOKENS", part)
+    template = prose(700, 12)
+    # A page twice in a part and in others; two pages of another host, which are too few.
+    htmls = [f"<div>{template}</div><div>{prose(k, 30)}</div>" for k in (0, 1, 2, 2, 3, 2, 2)]
+    rows = [(k, f"http://h.org/{k}", html) for k, html in enumerate(htmls)]
+    rows += [(10 + k, f"http://i.org/{k}", f"<div>{template}</div><div>{prose(k % 2, 30)}</div>") for k in range(6)]
+    got = {r["page_id"]: (r["text"], r["n_repeated"]) for r in H.extract(frame(spark, rows).repartition(3)).collect()}
+    want = {k: (prose(j, 30), 1) for k, j in enumerate((0, 1, 2, 2, 3, 2, 2))}
+    want.update({10 + k: (f"{template}\n\n{prose(k % 2, 30)}", 0) for k in range(6)})
+    assert got == want
+
+
+def test_large_ids_beside_none(spark):
+    rows = [(None, "http://a/1", "<p>one"), (2**62 + 1, "http://a/2", "<p>two"), (-(2**62) - 1, "http://a/3", "")]
+    got = sorted((r["text"], r["page_id"]) for r in H.extract(frame(spark, rows).coalesce(1)).collect())
+    assert got == [("", -(2**62) - 1), ("one", None), ("two", 2**62 + 1)]
