@@ -12,10 +12,11 @@ next word lies the quantised logarithm of its share c(context w) / (c(context) +
 the context, takes its range from the pointers and searches the successor of the word's
 rank relative to the context's base, all on the coded levels as they lie in the shard's image.
 
-Texts are read in blocks. A block asks each shard once for its distinct n-grams, with how often
+Texts are read in blocks, which stay in the buckets where they are stored. A block asks each shard once for its distinct n-grams, with how often
 its training texts have them; the shard adds these up, builds its part of the trie and answers
 from it; a block has rows for the shards that it asks, and no others. Rows between them are packed
-arrays, so an n-gram costs a few bytes. The few contexts with a large share of all tokens (words, and
+arrays, so an n-gram costs a few bytes: a shard has a range of the contexts' hashes, so that a block sends the steps
+between them, which are as small for many shards as for few. The few contexts with a large share of all tokens (words, and
 the n-grams that the level below found frequent) are spread over shards by the next word.
 
 Defined cases: a null text is the empty text, which is an end alone; a null doc_id counts as the
@@ -32,7 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prefdata.llm.common import WordHashes, clear_shuffles, crc_fold, finish, map_batches, parts_for, store, text_bytes
+from prefdata.llm.common import (
+    WordHashes, among, clear_shuffles, crc_fold, finish, map_batches, packed, packed_rising, parts_for, store, text_bytes, unpacked,
+    unpacked_rising,
+)
+from prefdata.sources.buckets import bucket_count, write_rows
 
 ORDER = 3
 MASS = 4.0  # M: weight of the shorter context, in counts
@@ -41,6 +46,7 @@ HELD_OUT = 10  # texts whose crc32(doc_id) is 0 modulo this don't train
 BLOCK_TOKENS = 1_000_000
 SHARD_TOKENS = 2_000_000  # tokens per shard, about
 FREQUENT = 1000  # a context with more than 1/FREQUENT of all tokens is spread over shards
+FEW_WORDS = 1000  # next words that are not numbered
 QUANTUM = 2e-4  # step of a quantised log10 share; 16 bits reach down to 10**-13
 
 _START = np.uint64(xxhash.xxh3_64_intdigest(b"\x00 start"))
@@ -240,27 +246,26 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         hashes = WordHashes()
-        local: dict[bytes, int] = {}
+        local = _Numbers()
         ids, held, sizes, tokens = [], [], [], []
         n = 0
 
         def block():
-            # Frequent words get small numbers, which the files store well.
+            # Frequent words get small numbers, which the files store well; equally frequent ones rise.
             token = np.concatenate(tokens)
             word = np.append(hashes.of(list(local)), _END)
             token[token < 0] = len(local)
-            used, number, count = np.unique(token, return_inverse=True, return_counts=True)
-            order = np.argsort(-count, kind="stable")
+            order = np.lexsort((word, -np.bincount(token)))
             new = np.empty(len(order), np.uint32)
             new[order] = np.arange(len(order), dtype=np.uint32)
             name = xxhash.xxh3_64_intdigest(np.array([n, *(i or 0 for i in ids)], np.int64).tobytes())
-            whole = new[number]
+            whole = new[token]
             return {
                 "block": [np.uint64(name).astype(np.int64)],
                 "ids": [list(ids)],
                 "held": [list(held)],
                 "sizes": [list(sizes)],
-                "words": [word[used[order]].tobytes()],
+                "words": [packed_rising(word[order])],
                 "low": [whole.astype("<u2").tobytes()],
                 "high": [(whole >> 16).astype("<u2").tobytes()],
             }
@@ -269,8 +274,6 @@ def _blocks(docs: DataFrame) -> DataFrame:
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text"))
             for doc_id, held_out, text in zip(*columns):
                 words = text.lower().split()
-                for w in set(words).difference(local):
-                    local[w] = len(local)
                 found = np.empty(len(words) + 1, np.int32)
                 found[:-1] = np.fromiter(map(local.__getitem__, words), np.int32, len(words))
                 found[-1] = -1
@@ -300,22 +303,31 @@ def _blocks(docs: DataFrame) -> DataFrame:
     )
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class _Block:
     """A row of ``_blocks``, with its distinct n-grams of an order."""
 
     def __init__(self, row: dict):
         self.ids, self.held = row["ids"], np.array(row["held"], bool)
         self.sizes = np.array(row["sizes"], np.int64)
-        self.words = np.frombuffer(row["words"], np.uint64)
+        self.words = unpacked_rising(row["words"], np.uint64)
         low, high = np.frombuffer(row["low"], "<u2"), np.frombuffer(row["high"], "<u2")
         self.token = low.astype(np.int64) | high.astype(np.int64) << 16
         self.first = np.cumsum(self.sizes) - self.sizes
         self.trains = np.repeat(~self.held, self.sizes)
+        self.by_word = np.argsort(_next_word(self.words), kind="stable")
 
     def grams(self, order: int):
         """(context hash, word hash, training count) of the distinct n-grams, and which each token ends.
 
-        At a text's beginning the context is the start and what there is after it.
+        Above single words they come in the order of context and next word. At a text's beginning the context is the start and what there is after it.
         """
         if order == 1:
             word, which = self.words, self.token
@@ -328,11 +340,12 @@ class _Block:
                 symbol = np.where(place[at] == k - 1, _START, self.words[self.token[at - k]])
                 begins = (k == order - 1) | (place[at] < k)
                 context[at] = np.where(begins, symbol, _grow(context[at], symbol))
-            number = np.unique(context, return_inverse=True)[1].astype(np.int64)
-            distinct, which = np.unique(number * len(self.words) + self.token, return_inverse=True)
-            first = np.empty(len(distinct), np.int64)
-            first[which] = np.arange(len(which))  # any place of each n-gram does
-            context, word = context[first], self.words[self.token[first]]
+            known, number = np.unique(context, return_inverse=True)
+            rank = np.empty(len(self.words), np.int64)
+            rank[self.by_word] = np.arange(len(self.words))
+            distinct, which = np.unique(number * len(self.words) + rank[self.token], return_inverse=True)
+            context = known[distinct // len(self.words)]
+            word = self.words[self.by_word[distinct % len(self.words)]]
         count = np.bincount(which[self.trains], minlength=len(word)).astype(np.int64)
         return context, word, count, which
 
@@ -357,12 +370,11 @@ def _next_word(word: np.ndarray) -> np.ndarray:
     return word >> np.uint64(24)
 
 
-def _asked(context: np.ndarray, word: np.ndarray, shard: np.ndarray, order: int) -> np.ndarray:
-    """The order of a block's questions: by shard, context and word. Contexts come sorted."""
-    if order > 1:
-        rank = np.cumsum(_new(context)).astype(np.uint64)
-        word = rank << np.uint64(40) | _next_word(word)
-    at = np.argsort(word)
+def _asked(word: np.ndarray, shard: np.ndarray, order: int) -> np.ndarray:
+    """The order of a block's questions: by shard, context and word. N-grams come sorted, single words don't."""
+    at = np.argsort(word) if order == 1 else np.arange(len(word))
+    if (np.diff(shard[at]) >= 0).all():
+        return at
     return at[np.argsort(shard[at].astype(np.uint16 if shard.max(initial=0) < 1 << 16 else np.int64), kind="stable")]
 
 
@@ -371,9 +383,13 @@ def _grow(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _shards_of(context, word, shards: int, frequent: np.ndarray) -> np.ndarray:
-    spread = np.isin(context, frequent) if len(frequent) else np.zeros(len(context), bool)
-    key = finish(np.where(spread, _grow(context, word), context) if context.any() else word)
-    return (key % np.uint64(shards)).astype(np.int64)
+    """Each shard has a range of the contexts, of the single words, and of the n-grams of frequent contexts."""
+    key = context if context.any() else word
+    if len(frequent):
+        spread = np.flatnonzero(among(context, frequent))
+        key = key.copy()
+        key[spread] = _grow(context[spread], word[spread])
+    return ((key >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
 def _ask(blocks: DataFrame, order: int, shards: int, frequent: np.ndarray) -> DataFrame:
@@ -384,7 +400,7 @@ def _ask(blocks: DataFrame, order: int, shards: int, frequent: np.ndarray) -> Da
         for row in (b.slice(k, 1).to_pylist()[0] for b in batches for k in range(b.num_rows)):
             context, word, count, _ = _Block(row).grams(order)
             shard = _shards_of(context, word, shards, frequent)
-            at = _asked(context, word, shard, order)
+            at = _asked(word, shard, order)
             # Only shards that are asked get a row: never more rows than n-grams, however many shards.
             asked, edges = np.unique(shard[at], return_index=True)
             own = np.split(at, edges[1:])
@@ -400,40 +416,59 @@ def _ask(blocks: DataFrame, order: int, shards: int, frequent: np.ndarray) -> Da
 
 
 def _packed_words(word: np.ndarray, order: int) -> bytes:
-    """Single words whole; next words by the 40 bits of ``_next_word``."""
+    """Single words whole; next words by the 40 bits of ``_next_word``, or by their numbers among the distinct ones."""
     if order == 1:
         return word.tobytes()
-    return _next_word(word).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+    word = _next_word(word)
+    if len(word) >= FEW_WORDS:
+        known, number = np.unique(word, return_inverse=True)
+        names = packed_rising(known)
+        coded = len(names).to_bytes(4, "little") + names + packed(number.astype(np.uint32))
+        if len(coded) < 4 * len(word):
+            return coded
+    return word.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
 
 def _words(raw: bytes, n: int) -> np.ndarray:
     if len(raw) == 8 * n:
         return np.frombuffer(raw, np.uint64)
+    if len(raw) < 5 * n:
+        end = 4 + int.from_bytes(raw[:4], "little")
+        return unpacked_rising(raw[4:end], np.uint64)[unpacked(raw[end:], np.uint32)]
     whole = np.zeros((n, 8), np.uint8)
     whole[:, :5] = np.frombuffer(raw, np.uint8).reshape(n, 5)
     return whole.view("<u8").ravel()
 
 
 def _packed_contexts(context: np.ndarray) -> bytes:
-    """Rising contexts as distinct ones and their numbers of words."""
-    known, n = np.unique(context, return_counts=True)
-    return np.array([len(known)], "<i8").tobytes() + known.tobytes() + _packed_counts(n)
+    """Rising contexts as the steps between distinct ones and their numbers of words."""
+    start = np.flatnonzero(_new(context))
+    known = packed_rising(context[start])
+    return len(known).to_bytes(4, "little") + known + _packed_counts(np.diff(np.append(start, len(context))))
 
 
 def _contexts(raw: bytes) -> np.ndarray:
-    n = int(np.frombuffer(raw, "<i8", 1)[0])
-    return np.repeat(np.frombuffer(raw, np.uint64, n, 8), _counts(raw[8 + 8 * n :]))
+    end = 4 + int.from_bytes(raw[:4], "little")
+    return np.repeat(unpacked_rising(raw[4:end], np.uint64), _counts(raw[end:]))
 
 
 def _packed_counts(count: np.ndarray) -> bytes:
-    """A byte each, and the places and values of the few above."""
+    return packed(np.frombuffer(_plain_counts(count), np.uint8))
+
+
+def _counts(raw: bytes) -> np.ndarray:
+    return _of_plain(unpacked(raw, np.uint8))
+
+
+def _plain_counts(count: np.ndarray) -> bytes:
+    """A byte each, and the places and values of the few above. Stored files hold many of these better than packed ones."""
     large = np.flatnonzero(count >= 255)
     small = np.minimum(count, 255).astype(np.uint8)
     head = np.array([len(large), len(count)], "<i8").tobytes()
     return head + large.astype("<i8").tobytes() + count[large].astype("<i8").tobytes() + small.tobytes()
 
 
-def _counts(raw: bytes) -> np.ndarray:
+def _of_plain(raw) -> np.ndarray:
     m, n = (int(x) for x in np.frombuffer(raw, "<i8", 2))
     count = np.frombuffer(raw, np.uint8, n, 16 + 16 * m).astype(np.int64)
     count[np.frombuffer(raw, "<i8", m, 16)] = np.frombuffer(raw, "<i8", m, 16 + 8 * m)
@@ -476,7 +511,7 @@ def _answer_counts(asked: DataFrame, least: float) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         _, word, total, numbers = _sums(rows)
         shard = int(rows["shard"].iloc[0])
-        out = [("count", int(b), shard, _packed_counts(total[n]), 0) for b, n in zip(rows["block"], numbers)]
+        out = [("count", int(b), shard, _plain_counts(total[n]), 0) for b, n in zip(rows["block"], numbers)]
         out += [("word", int(word[i].astype(np.int64)), shard, b"", int(total[i])) for i in np.flatnonzero(total > least)]
         out.append(("vocabulary", int((total > 0).sum()), shard, b"", int(total.sum())))
         return pd.DataFrame(out, columns=["kind", "block", "shard", "data", "n"])
@@ -515,7 +550,7 @@ def _answer_shares(
         for i in np.flatnonzero(total > least) if least is not None else ():
             out.append(("gram", int(context[i].astype(np.int64)), shard, word[i].tobytes(), total[i].tobytes()))
         for block, number in zip(rows["block"], numbers):
-            counts = _packed_counts(total[number]) if least is not None else b""
+            counts = _plain_counts(total[number]) if least is not None else b""
             out.append(("share", int(block), shard, codes[number].tobytes(), counts))
         return pd.DataFrame(out, columns=["kind", "block", "shard", "data", "counts"])
 
@@ -529,7 +564,8 @@ def _answer_shares(
 
 def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    blocks = store(_blocks(docs))
+    stored = write_rows(_blocks(docs), "block", bucket_count(docs.sparkSession))
+    blocks = stored.read_files()
     n_tokens = blocks.agg(F.sum(F.length("low") / 2)).first()[0] or 0
     shards = parts_for(int(n_tokens), SHARD_TOKENS)
     least = n_tokens / FREQUENT
@@ -571,18 +607,18 @@ def score(docs: DataFrame, order: int = ORDER, mass: float = MASS) -> DataFrame:
                 own = said[said["level"] == level].drop_duplicates("shard").sort_values("shard")
                 context, word, _, which = block.grams(level)
                 shard = _shards_of(context, word, shards, hot[level])
-                at = _asked(context, word, shard, level)
+                at = _asked(word, shard, level)
                 if level > 1:
                     codes[level] = _per_token(at, which, [np.frombuffer(d, "<u2") for d in own["codes"]])
                 if level == 1 or level < order:
-                    counts[level] = _per_token(at, which, [_counts(d) for d in own["counts"]])
+                    counts[level] = _per_token(at, which, [_of_plain(d) for d in own["counts"]])
             out.append(_scores(block, counts, codes, mass, train_tokens, vocabulary, trained))
         return pd.concat(out, ignore_index=True)
 
     names = "block long, ids array<long>, held array<boolean>, sizes array<int>, words binary, low binary, high binary"
     assert [f.split()[0] for f in names.split(", ")] == blocks.columns
     return (
-        blocks.groupBy("block")
+        stored.read().groupBy("block")
         .cogroup(replies.groupBy("block"))
         .applyInPandas(
             run,

@@ -138,3 +138,30 @@ def test_shuffle_files_go_when_a_level_is_answered(spark, tmp_path):
             time.sleep(0.1)
         left.append(there)
     assert left == [[], []]
+
+
+@pytest.mark.parametrize("shards", [1, 40])
+def test_an_asked_gram_costs_few_bytes(spark, shards):
+    """Contexts cost the steps between them, however many shards there are; next words that recur cost their numbers."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{w}" for w in rng.zipf(1.3, 400) % 5000) for _ in range(100)]
+    blocks = L._blocks(frame(spark, texts).coalesce(1))
+    asked = L._ask(blocks, 3, shards, np.zeros(0, np.uint64)).collect()
+    [row] = blocks.collect()
+    context, word, count, _ = L._Block(row.asDict()).grams(3)
+    got = []
+    for r in asked:
+        own = L._contexts(r["contexts"])
+        got += zip(own.tolist(), L._words(r["words"], len(own)).tolist(), L._counts(r["counts"]).tolist())
+    assert got == list(zip(context.tolist(), L._next_word(word).tolist(), count.tolist()))
+    used = sum(len(r["contexts"]) + len(r["words"]) + len(r["counts"]) for r in asked)
+    contexts = len(np.unique(context))
+    assert used < 7 * contexts + 5.2 * len(word) + 250 * shards
+    if shards == 1:
+        assert sum(len(r["words"]) for r in asked) < 4 * len(word)
+
+
+def test_blocks_are_not_shuffled(spark, plan_of):
+    plan = plan_of(L.score(frame(spark, [prose(k, 30) for k in range(6)])))
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert "high" not in plan[plan.index("Exchange") :]
